@@ -23,6 +23,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _path(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     hadoop_path, fs = _path(spark, path)
     if not fs.exists(hadoop_path):

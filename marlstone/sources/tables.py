@@ -83,6 +83,8 @@ class TableStore:
     def open_stream_version(self, layer: str, table: str) -> int:
         """Start an empty version with a checkpoint of its own."""
         version = self.stream_version(layer, table) + 1
+        # The folder first, so that a reader finds an empty table and not a missing one.
+        files.make_folder(self.spark, f"{self.version_path(layer, table, version)}/data")
         files.write_text(self.spark, f"{self._folder(layer, table)}/_streaming/{version}", "")
         return version
 
