@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.operators.unions import same_types, union_all
-from marlstone.schemas import merge_schemas
+from marlstone.schemas import INGEST_METADATA, merge_schemas
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
@@ -78,20 +78,18 @@ def read_landing_files(
     literal = [_literal_path(p) for p in paths]
     if format == "json":
         widened = merge_schemas(known, spark.read.json(literal).schema)
-        rows = with_ingest_metadata(spark.read.schema(widened).json(literal))
-        return rows, widened
+        return with_ingest_metadata(spark.read.schema(widened).json(literal)), widened
     by_header = csv_headers(spark, paths)
-    groups = {header: csv_schema(header, known) for header in sorted(by_header)}
+    schemas = {header: csv_schema(header, known) for header in by_header}
     widened = known
-    for schema in groups.values():
+    for schema in schemas.values():
         widened = merge_schemas(widened, schema)
+    target = T.StructType(widened.fields + INGEST_METADATA.fields)
     parts = [
         with_ingest_metadata(
             spark.read.schema(schema).option("header", True)
             .csv([_literal_path(p) for p in by_header[header]])
         )
-        for header, schema in groups.items()
+        for header, schema in schemas.items()
     ]
-    rows = union_all(*parts)
-    target = T.StructType(widened.fields + rows.schema.fields[-3:])
-    return same_types(rows, target), widened
+    return union_all(*[same_types(part, target) for part in parts]), widened

@@ -41,7 +41,8 @@ def _append_new_files(store: TableStore, entity: Entity, folder: str, max_files:
         target = f"{data}/batch-{batch_id}"
         if files.exists(spark, f"{target}/_SUCCESS"):
             return
-        paths = sorted(row.path for row in batch.collect())
+        # A listing can name a file with glob marks more than once.
+        paths = sorted({row.path for row in batch.collect()})
         if not paths:
             return
         stored = store.stored_schema("bronze", entity.bronze)

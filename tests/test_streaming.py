@@ -1,0 +1,207 @@
+import json
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from marlstone.plans.silver import cleansed
+from marlstone.schemas import ENTITIES, bronze_schema, merge_schemas
+from marlstone.sources.landing import infer_landing_schema
+from marlstone.sources.tables import SourceRewritten, TableStore
+from marlstone.streaming.bronze import refresh_bronze
+from marlstone.streaming.refresh import full_refresh, run_medallion
+from marlstone.streaming.silver import refresh_silver
+
+
+def drop_file(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(text)
+
+
+@pytest.fixture()
+def place(spark, tmp_path):
+    return str(tmp_path / "landing"), TableStore(spark, str(tmp_path / "tables"))
+
+
+def test_each_file_once_and_no_op_rerun(spark, place):
+    landing, store = place
+    for i in range(3):
+        drop_file(f"{landing}/sellers", f"d{i}.csv",
+                  f"seller_id,seller_name,seller_city,seller_state\ns{i}, Name {i},old town, tx\n")
+        refresh_bronze(store, "sellers", landing)
+        counts = refresh_silver(store, "sellers")
+        assert counts["rows_checked"] == 1
+    refresh_bronze(store, "sellers", landing)
+    assert refresh_silver(store, "sellers").get("rows_checked", 0) == 0
+    bronze = store.read("bronze", "br_sellers")
+    assert bronze.count() == 3
+    assert bronze.where(F.col("_source_file").isNull() | F.col("_source_file_ts").isNull()
+                        | F.col("_ingested_at").isNull()).count() == 0
+    assert sorted(r._source_file for r in bronze.collect()) == ["d0.csv", "d1.csv", "d2.csv"]
+    silver = store.read("silver", "slv_sellers")
+    assert {tuple(r) for r in silver.collect()} == {(f"s{i}", f"Name {i}", "Old Town", "TX") for i in range(3)}
+    batch = cleansed("sellers", bronze)
+    assert batch.exceptAll(silver).count() == 0 and silver.exceptAll(batch).count() == 0
+
+
+def test_many_files_in_small_batches(spark, place):
+    landing, store = place
+    for i in range(7):
+        drop_file(f"{landing}/sellers", f"[{i}] x.csv",
+                  f"seller_id,seller_name,seller_city,seller_state\ns{i},n,c,s\n")
+    refresh_bronze(store, "sellers", landing, max_files=2)
+    assert sorted(r.seller_id for r in store.read("bronze", "br_sellers").collect()) == [f"s{i}" for i in range(7)]
+
+
+def test_csv_columns_are_matched_by_name_and_added(spark, place):
+    landing, store = place
+    folder = f"{landing}/products"
+    drop_file(folder, "a.csv", "product_id,product_category,product_name,base_price,weight_grams\np1,c,n,1.5,10\n")
+    refresh_bronze(store, "products", landing)
+    refresh_silver(store, "products")
+    drop_file(folder, "b.csv", "product_id,product_category,product_name,base_price,weight_grams,color\np2,c,n,2.5,20,red\n")
+    drop_file(folder, "c.csv", "base_price,COLOR,product_id,weight_grams\n3.5,blue,p3,oops\n")
+    refresh_bronze(store, "products", landing)
+    refresh_silver(store, "products")
+    rows = {r.product_id: r for r in store.read("bronze", "br_products").collect()}
+    assert {k: (r.base_price, r.weight_grams, r.product_name, r.color) for k, r in rows.items()} == {
+        "p1": (1.5, 10, "n", None), "p2": (2.5, 20, "n", "red"), "p3": (3.5, None, None, "blue")}
+    silver = store.read("silver", "slv_products")
+    assert silver.columns == ["product_id", "product_category", "product_name", "base_price", "weight_grams"]
+    assert silver.count() == 3
+
+
+def test_json_fields_are_added_also_inside_structs(spark, place):
+    landing, store = place
+    folder = f"{landing}/reviews"
+    base = {"review_id": "r1", "order_id": "o1", "score": 5, "comment": " ok ", "review_date": "2024-01-02",
+            "meta": {"verified": True, "helpful_votes": 3}}
+    drop_file(folder, "a.json", json.dumps(base) + "\n")
+    refresh_bronze(store, "reviews", landing)
+    more = {**base, "review_id": "r2", "source": "app", "meta": {**base["meta"], "device": "phone"}}
+    without = {k: v for k, v in {**base, "review_id": "r3"}.items() if k != "meta"}
+    drop_file(folder, "b.json", json.dumps(more) + "\n" + json.dumps(without) + "\n")
+    refresh_bronze(store, "reviews", landing)
+    rows = {r.review_id: r for r in store.read("bronze", "br_reviews").collect()}
+    assert rows["r1"].source is None and rows["r2"].source == "app"
+    assert rows["r1"].meta.device is None and rows["r2"].meta.device == "phone"
+    refresh_silver(store, "reviews")
+    flat = {r.review_id: (r.verified, r.helpful_votes, r.comment) for r in store.read("silver", "slv_reviews").collect()}
+    assert flat == {"r1": (True, 3, "ok"), "r2": (True, 3, "ok"), "r3": (None, None, "ok")}
+
+
+def test_payments_explode_keeps_copies(spark, place):
+    landing, store = place
+    lines = [
+        {"order_id": "o1", "payment_type": "boleto", "installments": [
+            {"installment_no": 1, "amount": 2.0, "paid": True}, {"installment_no": 2, "amount": -2.0, "paid": False}]},
+        {"order_id": "o2", "payment_type": "cash", "installments": []},
+        {"order_id": "o3", "payment_type": "cash"},
+        {"order_id": None, "payment_type": "voucher", "installments": [{"installment_no": 1, "amount": 1.0}]},
+    ]
+    text = "".join(json.dumps(x) + "\n" for x in lines)
+    for name in ("a.json", "b.json"):
+        drop_file(f"{landing}/payments", name, text)
+    refresh_bronze(store, "payments", landing)
+    counts = refresh_silver(store, "payments")
+    assert counts == {"rows_checked": 6, "valid_order_ref": 2, "non_negative_amount": 2, "known_payment_type": 0}
+    rows = [tuple(r) for r in store.read("silver", "slv_payments").collect()]
+    assert sorted(rows) == sorted(2 * [("o1", "boleto", 1, 2.0, True), ("o1", "boleto", 2, -2.0, False)])
+
+
+def test_stream_dedup_across_runs(spark, place):
+    landing, store = place
+    header = "order_id,customer_id,order_status,order_date,order_total\n"
+    drop_file(f"{landing}/orders", "a.csv", header + "o1,c1, PAID ,03-05-2024,5.0\no1,c1, PAID ,03-05-2024,5.0\n")
+    refresh_bronze(store, "orders", landing)
+    refresh_silver(store, "orders")
+    drop_file(f"{landing}/orders", "b.csv", header + "o1,c1, PAID ,03-05-2024,5.0\no2,,paid,,\n")
+    refresh_bronze(store, "orders", landing)
+    counts = refresh_silver(store, "orders")
+    assert counts["has_customer"] == 1
+    rows = [tuple(r) for r in store.read("silver", "slv_orders").collect()]
+    assert rows == [("o1", "c1", "paid", "03-05-2024", datetime(2024, 3, 5), 5.0)]
+
+
+def test_rewritten_source_is_refused_until_full_refresh(spark, place):
+    landing, store = place
+    drop_file(f"{landing}/sellers", "a.csv", "seller_id,seller_name,seller_city,seller_state\ns1,n,c,s\n")
+    refresh_bronze(store, "sellers", landing)
+    refresh_silver(store, "sellers")
+    store.open_stream_version("bronze", "br_sellers")
+    refresh_bronze(store, "sellers", landing)
+    with pytest.raises(SourceRewritten):
+        refresh_silver(store, "sellers")
+    assert store.read("silver", "slv_sellers").count() == 1
+    full_refresh(store, "sellers", landing)
+    assert store.read("silver", "slv_sellers").count() == 1
+    assert store.read("bronze", "br_sellers").count() == 1
+    refresh_silver(store, "sellers")
+
+
+def test_views_show_the_newest_finished_version(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        store.read("gold", "v")
+    store.publish(spark.range(1), "gold", "v")
+    before = store.read("gold", "v")
+    store.publish(spark.range(5), "gold", "v")
+    os.makedirs(f"{tmp_path}/gold/v/v=3")  # a write that never finished
+    assert store.read("gold", "v").count() == 5 and before.count() == 1
+    assert store.publish(spark.range(2), "gold", "v") == 4
+    with pytest.raises(ValueError):
+        store.read("platinum", "v")
+
+
+def test_schema_merge_and_inference(spark, tmp_path):
+    known = ENTITIES["sellers"].schema
+    assert merge_schemas(known, known) == known
+    wider = merge_schemas(known, ENTITIES["sellers"].schema.add("extra", "double"))
+    assert wider.names[-1] == "extra" and bronze_schema(wider).names[-1] == "_ingested_at"
+    drop_file(str(tmp_path / "x"), "a.csv", "a,b,c\n1,x,2.5\n2,y,\n")
+    assert infer_landing_schema(spark, str(tmp_path / "x"), "csv").simpleString() == "struct<a:int,b:string,c:double>"
+
+
+def test_whole_run_on_literal_files(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    files = {
+        "customers": "customer_id,customer_name,email,city,state,signup_date\n"
+                     "c1,Ann,ann@x.example,old town,tx,2024-01-01\nc1,Ann,ann@x.example,new town,ca,02/01/2024\n"
+                     "c2,Bob,,port,ny,2024-01-03\n,No,,x,y,2024-01-03\n",
+        "products": "product_id,product_category,product_name,base_price,weight_grams\n"
+                    "p1, Toys ,Top,10,5\np2,Toys,Bad,-1,5\n",
+        "sellers": "seller_id,seller_name,seller_city,seller_state\ns1,S,c,tx\n",
+        "orders": "order_id,customer_id,order_status,order_date,order_total\n"
+                  "o1,c1,Paid,2024-01-15,30\no2,c2,placed,2024-02-15,5\no3,c2,canceled,2024-02-16,5\n",
+        "order_items": "order_id,item_seq,product_id,seller_id,quantity,unit_price\n"
+                       "o1,1,p1,s1,2,10\no1,2,p2,s1,1,7.5\no2,1,p1,s9,1,\no9,1,p1,s1,1,1\n",
+    }
+    for entity, text in files.items():
+        drop_file(f"{landing}/{entity}", "a.csv", text)
+    drop_file(f"{landing}/payments", "a.json", json.dumps(
+        {"order_id": "o1", "payment_type": "boleto", "installments": [{"installment_no": 1, "amount": 1.0, "paid": True}]}))
+    drop_file(f"{landing}/reviews", "a.json", json.dumps(
+        {"review_id": "r1", "order_id": "o1", "score": 4, "review_date": "2024-01-02",
+         "meta": {"verified": True, "helpful_votes": 2}}))
+    counts = run_medallion(spark, landing, str(tmp_path / "tables"))
+    assert counts["products"]["positive_price"] == 1 and counts["customers"]["valid_customer_id"] == 1
+    store = TableStore(spark, str(tmp_path / "tables"))
+    versions = {(r.customer_id, r.state, r.is_current) for r in store.read("gold", "dim_customer_keyed").collect()}
+    assert versions == {("c1", "TX", False), ("c1", "CA", True), ("c2", "NY", True)}
+    assert store.read("gold", "dim_customer").schema["email"].metadata["sensitivity"] == "pii"
+    fact = {(r.order_id, r.item_seq): (r.product_sk == -1, r.seller_sk is None, r.date_sk, r.revenue)
+            for r in store.read("gold", "fct_sales").collect()}
+    assert fact == {("o1", 1): (False, False, 20240115, 20.0), ("o1", 2): (True, False, 20240115, 7.5),
+                    ("o2", 1): (False, True, 20240215, None)}
+    by_state = {r.state: (r.customer_count, r.order_count, r.total_revenue) for r in
+                store.read("gold", "mv_sales_by_state").collect()}
+    assert by_state == {"CA": (1, 1, 27.5), "NY": (1, 1, None)}
+    by_category = {r.product_category: tuple(r)[1:] for r in store.read("gold", "mv_sales_by_category").collect()}
+    assert by_category == {"toys": (2, 1, 3, 20.0, 10.0), "unknown": (1, 1, 1, 7.5, 7.5)}
+    funnel = {r.order_status: tuple(r)[1:] for r in store.read("gold", "mv_order_funnel").collect()}
+    assert funnel == {"paid": (1, 27.5, 13.75), "placed": (1, None, None), "canceled": (1, None, None)}
+    # A second run without new files changes nothing.
+    assert run_medallion(spark, landing, str(tmp_path / "tables"))["orders"].get("rows_checked", 0) == 0
+    assert store.read("gold", "fct_sales").count() == 3
