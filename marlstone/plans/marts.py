@@ -19,6 +19,15 @@ def _cents(amount: Column) -> Column:
     return F.round(amount, 2)
 
 
+def _revenue() -> Column:
+    """Line revenue as an exact decimal.
+
+    It is already rounded to the cent, and a sum of decimals does not depend on
+    the order of the rows, so a re-run or a re-tried task gives the same mart.
+    """
+    return F.col("revenue").cast("decimal(18,2)")
+
+
 def mv_revenue_daily(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Orders, lines, units and revenue per calendar day.
 
@@ -28,8 +37,8 @@ def mv_revenue_daily(fact: DataFrame, dates: DataFrame) -> DataFrame:
         F.countDistinct("order_id").alias("order_count"),
         F.count(F.lit(1)).alias("line_item_count"),
         F.sum("quantity").alias("units_sold"),
-        _cents(F.sum("revenue")).alias("total_revenue"),
-        _cents(F.avg("revenue")).alias("avg_line_revenue"),
+        _cents(F.sum(_revenue())).alias("total_revenue"),
+        _cents(F.avg(_revenue())).alias("avg_line_revenue"),
     )
     days = dates.select("date_sk", "full_date", "year", "quarter", "month", "month_name", "is_weekend")
     return per_day.join(days, "date_sk").select(
@@ -53,7 +62,7 @@ def mv_sales_by_category(fact: DataFrame, products: DataFrame) -> DataFrame:
         .agg(
             F.countDistinct("order_id").alias("order_count"),
             F.sum("quantity").alias("units_sold"),
-            _cents(F.sum("revenue")).alias("total_revenue"),
+            _cents(F.sum(_revenue())).alias("total_revenue"),
             _cents(F.avg("unit_price")).alias("avg_unit_price"),
         )
     )
@@ -76,7 +85,7 @@ def mv_sales_by_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """
     per_order = (
         fact.where(F.col("customer_sk").isNotNull()).groupBy("customer_sk", "order_id")
-        .agg(F.sum("quantity").alias("units"), F.sum("revenue").alias("revenue"))
+        .agg(F.sum("quantity").alias("units"), F.sum(_revenue()).alias("revenue"))
     )
     per_version = per_order.groupBy("customer_sk").agg(
         F.count("order_id").alias("orders"),
@@ -108,7 +117,7 @@ def mv_order_funnel(orders: DataFrame, fact: DataFrame) -> DataFrame:
     on either side and no line is moved for the join.
     """
     per_order = fact.groupBy("order_id").agg(
-        F.sum("revenue").alias("revenue"), F.count("revenue").alias("lines")
+        F.sum(_revenue()).alias("revenue"), F.count("revenue").alias("lines")
     )
     return (
         orders.select("order_id", "order_status").join(per_order, "order_id", "left")
