@@ -28,6 +28,8 @@ def main() -> None:
         "spark.driver.memory": "16g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Python call sites in error messages cost time at every column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1_000_000).selectExpr("sum(id)").collect()  # start-up is not part of a query

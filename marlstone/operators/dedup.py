@@ -38,7 +38,10 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str) -> DataFram
     Ties on the sequence are broken by the remaining columns.
     """
     keys = list(keys)
-    ranked = [sequence] + [c for c in df.columns if c not in keys and c != sequence]
+    others = [c for c in df.columns if c not in keys and c != sequence]
+    if not others:
+        return df.groupBy(*keys).agg(F.max(sequence).alias(sequence)).select(*df.columns)
+    ranked = [sequence, *others]
     winner = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_winner"))
     return winner.select(
         *[F.col(c) if c in keys else F.col("_winner").getField(c).alias(c) for c in df.columns]

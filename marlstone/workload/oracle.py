@@ -517,6 +517,23 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT product_id, sum(revenue) AS revenue FROM fct GROUP BY product_id)
             ORDER BY revenue DESC, product_id LIMIT 10"""),
     }
+    sql["br_order_items"] = sql["ingest_csv"]
+    sql["br_reviews"] = sql["ingest_fixed_schema"]
+    sql["br_payments"] = _sql(_PAYMENTS, "SELECT order_id, payment_type, CAST(n AS INTEGER) AS installment_count "
+                                         "FROM log_payments")
+    sql["br_orders"] = _sql(_ORDERS, "SELECT order_id, customer_id, raw_status AS order_status, order_date, "
+                                     "order_total FROM log_orders")
+    sql["br_products"] = _sql(_PRODUCTS, """
+        SELECT product_id, '  ' || upper(product_category) || ' ' AS product_category,
+          ' ' || product_name || ' ' AS product_name, base_price, weight_grams FROM log_products""")
+    sql["br_sellers"] = _sql(_SELLERS, """
+        SELECT seller_id, ' ' || seller_name AS seller_name, ' ' || lower(seller_city) || '  ' AS seller_city,
+          ' ' || lower(seller_state) || ' ' AS seller_state FROM log_sellers""")
+    sql["br_customers"] = _sql(_CUSTOMERS, """
+        SELECT customer_id, customer_name,
+          CASE WHEN email LIKE '%.example' THEN ' ' || email || ' ' ELSE email END AS email,
+          CASE WHEN city LIKE 'Port%' THEN '  ' || lower(city) || ' ' ELSE 'NEW ' || lower(substr(city, 5)) END AS city,
+          ' ' || lower(state) || ' ' AS state, signup_date FROM log_customers""")
     columns = ("order_id, item_seq, customer_id, valid_from, product_id, seller_id, date_sk, quantity, "
                "CAST(unit_price AS DOUBLE) AS unit_price, CAST(revenue AS DOUBLE) AS revenue, order_status")
     sql["fct_sales"] = _sql(_FACT, f"SELECT {columns} FROM fct")

@@ -114,6 +114,27 @@ def ingest_json(shop):
     )
 
 
+def _register_bronze(entity: str) -> None:
+    def ingested(shop):
+        landing_root, store = _fresh(shop, f"br-{entity}")
+        _land(shop, entity, landing_root)
+        bronze.refresh_bronze(store, entity, landing_root)
+        rows = store.read("bronze", f"br_{entity}")
+        if entity == "reviews":
+            rows = rows.withColumns({
+                "verified": F.col("meta.verified"), "helpful_votes": F.col("meta.helpful_votes")})
+        if entity == "payments":
+            rows = rows.withColumn("installment_count", F.coalesce(F.size("installments"), F.lit(-1)))
+        return rows.select(*[
+            c for c in rows.columns if not c.startswith("_") and c not in ("meta", "installments")])
+
+    query(ingested, f"br_{entity}")
+
+
+for _name in RAW:
+    _register_bronze(_name)
+
+
 @query
 def ingest_fixed_schema(shop):
     landing_root, store = _fresh(shop, "ingest-fixed")

@@ -13,8 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.functions.keys import surrogate_key
 from marlstone.functions.timestamps import MESSY_FORMATS
-from marlstone.operators.history import END, START, current_versions
+from marlstone.operators.dedup import latest_by_key
+from marlstone.operators.history import END, START
 from marlstone.operators.quality import RULES, apply_rules
 from marlstone.plans import dimensions, facts
 from marlstone.plans.silver import CLEANERS
@@ -224,15 +226,26 @@ class Shop:
     def customers(self) -> DataFrame:
         return dimensions.dim_customer_keyed(self.customer_history())
 
+    def _latest(self, *columns: str) -> DataFrame:
+        """Newest row per customer; silver has one row per customer and time already."""
+        log = self.silver("customers").select("customer_id", "signup_ts", *columns)
+        return latest_by_key(log, ["customer_id"], "signup_ts").where(F.col("signup_ts").isNotNull())
+
     def current_customers(self) -> DataFrame:
         """The current rows of ``customers`` without building the history."""
-        current = current_versions(self.change_log(), ["customer_id"], "signup_ts")
+        current = self._latest("customer_name", "email", "city", "state")
         return dimensions.dim_customer_keyed(
             current.withColumns({START: F.col("signup_ts"), END: F.lit(None).cast("timestamp")})
         )
 
+    def _current_keys(self) -> DataFrame:
+        return self._latest().select(
+            surrogate_key("customer_id", "signup_ts").alias("customer_sk"),
+            "customer_id", F.lit(True).alias("is_current"),
+        )
+
     def fact(self, customer_as_of: str = "current") -> DataFrame:
-        customers = self.customers() if customer_as_of == "event" else self.current_customers()
+        customers = self.customers() if customer_as_of == "event" else self._current_keys()
         return facts.fct_sales(
             self.silver("order_items"), self.silver("orders"), customers,
             self.products(), self.sellers(), self.dates(), customer_as_of,
