@@ -131,36 +131,46 @@ def version_start_at(
     A join on the key with a range condition would build every (row, version) pair
     of a key first.  Here rows and version starts are laid on one time line per key
     and the last start is carried forward, which is linear.  Hot keys are sliced by
-    time, and their rows are spread over ``salts`` copies of their version starts.
+    time; where one slice is still hot, its rows are spread over ``salts`` copies of
+    the version starts of that slice.
     """
     keys = list(keys)
+    sliced_keys = [*keys, "_slice"]
     row_columns = rows.columns
     both_keys = rows.select(*keys).unionByName(versions.select(*keys))
     hot = F.broadcast(hot_keys(both_keys, keys, hot_rows))
     slice_no = _slice_of(F.col("_at"), rows.schema[at].dataType)
-    any_null_key = F.lit(False)
+
+    row_times = rows.select(*keys, F.col(at).alias("_at")).where(F.col("_at").isNotNull())
+    hot_times = row_times.join(hot, keys).select(*keys, slice_no.alias("_slice"))
+    hot_slices = F.broadcast(
+        hot_keys(hot_times, sliced_keys, hot_rows).withColumnRenamed("_hot", "_hot_slice")
+    )
+
+    # Rows without a key or a time match nothing; they are only kept apart.
+    matches_nothing = F.col("_at").isNull()
     for key in keys:
-        any_null_key = any_null_key | F.col(key).isNull()
+        matches_nothing = matches_nothing | F.col(key).isNull()
     spread = F.xxhash64(*[F.col(f"_row.{c}") for c in row_columns])
-
+    salt = F.when(F.col("_hot_slice"), F.pmod(spread, F.lit(salts))).otherwise(0).cast("int")
     row_side = (
         rows.select(*keys, F.col(at).alias("_at"), F.struct(*row_columns).alias("_row"))
         .join(hot, keys, "left")
-        .withColumn("_slice", F.when(any_null_key, spread).when(F.col("_hot"), slice_no))
-        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(spread, F.lit(salts))).otherwise(0).cast("int"))
+        .withColumn("_slice", F.when(matches_nothing, spread).when(F.col("_hot"), slice_no))
+        .join(hot_slices, sliced_keys, "left")
+        .withColumn("_salt", salt)
     )
     version_side = (
         versions.select(*keys, F.col(start).alias("_at"), F.col(start).alias("_start"))
         .join(hot, keys, "left")
         .withColumn("_slice", F.when(F.col("_hot"), slice_no))
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    time_line = row_side.unionByName(
-        version_side.withColumn("_salt", F.explode(copies)), allowMissingColumns=True
-    )
+    copies = F.when(F.col("_hot_slice"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copied_versions = version_side.join(hot_slices, sliced_keys, "left").withColumn("_salt", F.explode(copies))
+    time_line = row_side.unionByName(copied_versions, allowMissingColumns=True)
     # At equal times a version comes before the rows it applies to.
     so_far = (
-        Window.partitionBy(*keys, "_slice", "_salt")
+        Window.partitionBy(*sliced_keys, "_salt")
         .orderBy("_at", F.col("_row").isNotNull())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -170,14 +180,13 @@ def version_start_at(
     # The last start of all earlier slices, for every slice that has rows or versions.
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = (
-        row_side.where(F.col("_hot")).select(*keys, "_slice")
-        .unionByName(version_side.where(F.col("_hot")).select(*keys, "_slice", "_start"), True)
-        .groupBy(*keys, "_slice").agg(F.max("_start").alias("_start"))
+        hot_times.unionByName(version_side.where(F.col("_hot")).select(*sliced_keys, "_start"), True)
+        .groupBy(*sliced_keys).agg(F.max("_start").alias("_start"))
     )
-    carried = slices.select(*keys, "_slice", F.max("_start").over(earlier).alias("_carried"))
-    return matched.join(carried, [*keys, "_slice"], "left").select(
-        *[F.col(f"_row.{c}").alias(c) for c in row_columns],
-        F.coalesce(F.col("_start"), F.col("_carried")).alias(into),
+    carried = slices.select(*sliced_keys, F.max("_start").over(earlier).alias("_carried"))
+    found = F.when(F.col("_at").isNotNull(), F.coalesce(F.col("_start"), F.col("_carried")))
+    return matched.join(carried, sliced_keys, "left").select(
+        *[F.col(f"_row.{c}").alias(c) for c in row_columns], found.alias(into)
     )
 
 

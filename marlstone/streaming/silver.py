@@ -12,6 +12,8 @@ from marlstone.schemas import ENTITIES
 from marlstone.sources.tables import TableStore
 
 OBSERVED = "dq"
+# Bounds a micro-batch, so that a first load of a large table proceeds in steps.
+MAX_FILES_PER_BATCH = 10_000
 
 
 def append_stream(store: TableStore, df: DataFrame, layer: str, table: str) -> StreamingQuery:
@@ -37,7 +39,7 @@ def observed_counts(query: StreamingQuery) -> dict[str, int]:
     return dict(counts)
 
 
-def refresh_silver(store: TableStore, entity: str, max_files: int | None = None) -> dict[str, int]:
+def refresh_silver(store: TableStore, entity: str, max_files: int = MAX_FILES_PER_BATCH) -> dict[str, int]:
     """Cleanse the bronze rows that are new since the last run; returns the rule counts."""
     source, target = ENTITIES[entity].bronze, ENTITIES[entity].silver
     if not store.stream_version("silver", target):
