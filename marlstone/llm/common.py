@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from marlstone.session import scratch_path
 
@@ -65,13 +67,6 @@ def word_hasher() -> Memo:
     return Memo(xxhash.xxh3_64_intdigest)
 
 
-def batches_of(frames: Iterator, size: int) -> Iterator:
-    """Cut pandas frames into frames of at most ``size`` rows."""
-    for frame in frames:
-        for i in range(0, len(frame), size):
-            yield frame.iloc[i:i + size]
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit integers (in place)."""
     x ^= x >> np.uint64(32)
@@ -84,3 +79,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def logistic(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
+
+
+def map_batches(df: DataFrame, schema: str | T.StructType, make) -> DataFrame:
+    """``mapInArrow`` with ``make() -> (batch -> dict of columns)``; ``make`` runs once per task."""
+    target = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(target)
+
+    def run(batches):
+        work = make()
+        for batch in batches:
+            if batch.num_rows:
+                columns = work(batch)
+                yield pa.RecordBatch.from_arrays(
+                    [columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type)
+                     for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, target)

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from marlstone.llm import exact_dedup, quality_rules
+from marlstone.llm import exact_dedup, packing, piece_dropout, quality_rules, token_files, warc
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op5_token_files": token_files.op5_token_files,
+    "op7_warc": warc.op7_warc,
     "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_piece_dropout": piece_dropout.op10_piece_dropout,
 }
 
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op7_warc": warc.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
 }
