@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
-from marlstone.llm import exact_dedup, packing, piece_dropout, quality_rules, token_files, warc
+from marlstone.llm import (
+    exact_dedup,
+    language_id,
+    packing,
+    piece_dropout,
+    quality_rank,
+    quality_rules,
+    token_files,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_token_files": token_files.op5_token_files,
+    "op6_quality_rank": quality_rank.op6_quality_rank,
     "op7_warc": warc.op7_warc,
+    "op8_language_id": language_id.op8_language_id,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_piece_dropout": piece_dropout.op10_piece_dropout,
 }
