@@ -5,8 +5,8 @@ ends of the word), from the counts of its own class.  What a class has not seen,
 backoff counts that both classes share: in how many different contexts a byte triple, then a byte,
 occurs.  So an expression that is rare in both classes weighs little, and an unknown form of a toxic
 stem still weighs much.  A text's evidence is the difference of the two log-likelihoods, normalised by
-length: over the whole text, and in its most toxic window.  A logistic fit on rows that the counts
-have not seen turns both into a probability.
+length: over the whole text, and in its most toxic windows.  A logistic fit on rows that the counts
+have not seen turns them into a probability.
 
 All labelled training rows are counted.  Contexts are hashed into tables of fixed size, so the
 model that executors receive does not grow with the corpus.
@@ -27,7 +27,8 @@ from marlstone.llm.labels import fit_logistic, labelled_texts, share
 
 GRAM_BITS, CONTEXT_BITS = 22, 20
 DISCOUNT = 0.75
-WINDOW = 32
+# Words in the windows whose worst place counts besides the whole text.
+WINDOWS = (32, 4)
 # One in so many training rows is kept from the counts, and of those at most so many calibrate.
 CALIBRATE_ONE_IN, CALIBRATION_ROWS = 8, 20_000
 CUT = 0.7
@@ -67,7 +68,7 @@ class ToxicityModel:
     mark: np.ndarray      # fingerprint of what the slot stands for
     seen: np.ndarray
     context: np.ndarray   # log ratio of any unseen byte after a context, by slot
-    weights: np.ndarray   # of: 1, whole text, worst window
+    weights: np.ndarray   # of: 1, whole text, worst windows
 
     def word_scores(self, words: list[bytes]) -> np.ndarray:
         """Difference of the log-likelihoods of each word."""
@@ -78,22 +79,34 @@ class ToxicityModel:
         return np.add.reduceat(np.where(known, self.gram[at], unseen), starts)
 
     def evidence(self, texts: list, memo: dict) -> np.ndarray:
-        """Per text: difference per word over the whole text, and in its worst window."""
-        out = np.zeros((len(texts), 2))
+        """Per text: difference per distinct word over the whole text, and per word in its worst windows.
+
+        A word counts where it first occurs: repeating one says nothing new about the text.
+        """
+        out = np.zeros((len(texts), 1 + len(WINDOWS)))
         for i, text in enumerate(texts):
             words = ascii_words(text)
             if not words:
                 continue
-            missing = [w for w in set(words) if w not in memo]
+            first = dict.fromkeys(words)
+            missing = [w for w in first if w not in memo]
             if missing:
                 if len(memo) + len(missing) > 400_000:
                     memo.clear()
-                    missing = list(set(words))
+                    missing = list(first)
                 memo.update(zip(missing, self.word_scores(missing).tolist()))
-            run = np.fromiter(map(memo.__getitem__, words), float, len(words)).cumsum()
-            window = run[WINDOW:] - run[:-WINDOW]
-            first = run[min(WINDOW, len(run)) - 1]
-            out[i] = run[-1] / len(run), max(first, window.max(initial=first)) / WINDOW
+            scores = np.fromiter(map(memo.__getitem__, first), float, len(first))
+            if len(first) == len(words):
+                placed = scores
+            else:
+                at = dict(zip(reversed(words), range(len(words) - 1, -1, -1)))
+                placed = np.zeros(len(words))
+                placed[np.fromiter(map(at.__getitem__, first), np.int64, len(first))] = scores
+            run = np.concatenate([[0.0], placed.cumsum()])
+            out[i, 0] = run[-1] / len(first)
+            for k, size in enumerate(WINDOWS, 1):
+                size = min(size, len(words))
+                out[i, k] = (run[size:] - run[:-size]).max() / WINDOWS[k - 1]
         return out
 
 
@@ -184,7 +197,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, learn, label: str = "toxi
     keys = grams["key"].to_numpy(np.int64).astype(np.uint64)
     model = ToxicityModel(
         np.zeros(1 << GRAM_BITS, np.float32), np.zeros(1 << GRAM_BITS, np.uint8), np.zeros(1 << GRAM_BITS, bool),
-        np.zeros(1 << CONTEXT_BITS, np.float32), np.array([-20.0, 0.0, 0.0]))
+        np.zeros(1 << CONTEXT_BITS, np.float32), np.array([-20.0] + [0.0] * (1 + len(WINDOWS))))
     if len(keys):
         ratio, model.context = log_ratios(keys, grams["toxic"].to_numpy(float), grams["ordinary"].to_numpy(float))
         at = grams["slot"].to_numpy(np.int64)
@@ -192,19 +205,19 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, learn, label: str = "toxi
     held = labels.where(F.col(label).isNotNull() & learn & left_out).count()
     few = share(F.col("doc_id"), min(1.0, CALIBRATION_ROWS / max(held, 1)), SEED + 1)
     sample = labelled_texts(docs, labels, label, learn & left_out & few)
-    rows = measured(sample, model).select("label", "whole", "worst").toPandas()
-    y = (rows["label"].to_numpy() == 1).astype(float)
+    rows = measured(sample, model).select("label", "x").collect()
+    y = np.array([r["label"] == 1 for r in rows], float)
     if 0 < y.sum() < len(y):
-        x = np.column_stack([np.ones(len(y)), rows[["whole", "worst"]].to_numpy(float)])
-        model.weights = fit_logistic(x, y, 1e-4, np.array([0.0, 1.0, 1.0]))
+        x = np.column_stack([np.ones(len(y)), np.array([r["x"] for r in rows])])
+        model.weights = fit_logistic(x, y, 1e-4, np.array([0.0] + [1.0] * (1 + len(WINDOWS))))
     return model
 
 
 def measured(rows: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``rows`` (which must have a column ``text``) with the two measures ``whole`` and ``worst``."""
+    """``rows`` (which must have a column ``text``) with ``x``, the measures of its evidence."""
     sent = rows.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))  # tables of fixed size
     kept = [c for c in rows.columns if c != "text"]
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ", whole double, worst double"
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ", x array<double>"
 
     def make():
         memo: dict = {}
@@ -213,8 +226,7 @@ def measured(rows: DataFrame, model: ToxicityModel) -> DataFrame:
         def work(batch):
             texts = batch.column("text")
             found = [known.evidence(texts.slice(i, 64).to_pylist(), memo) for i in range(0, batch.num_rows, 64)]
-            both = np.concatenate(found)
-            return {c: batch.column(c) for c in kept} | {"whole": both[:, 0], "worst": both[:, 1]}
+            return {c: batch.column(c) for c in kept} | {"x": np.concatenate(found).tolist()}
 
         return work
 
@@ -229,8 +241,10 @@ def toxicity(docs: DataFrame, model: ToxicityModel, carry: list[str] | None = No
     any name only travel in ``row``.
     """
     rows = docs.select(F.struct(*(carry or ["*"])).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    bias, whole, worst = (float(w) for w in model.weights)
-    logit = F.lit(bias) + F.lit(whole) * F.col("whole") + F.lit(worst) * F.col("worst")
+    bias, *weights = (float(w) for w in model.weights)
+    logit = F.lit(bias)
+    for k, weight in enumerate(weights):
+        logit = logit + F.lit(weight) * F.col("x")[k]
     return measured(rows, model).select("row", (1 / (1 + F.exp(-logit))).alias("score")).withColumn(
         "predicted", (F.col("score") >= CUT).cast("int"))
 
