@@ -5,6 +5,7 @@ from __future__ import annotations
 from marlstone.llm import (
     exact_dedup,
     language_id,
+    near_dedup,
     packing,
     piece_dropout,
     quality_rank,
@@ -15,6 +16,7 @@ from marlstone.llm import (
 )
 
 QUERIES = {
+    "op1_minhash_forest": near_dedup.op1_minhash_forest,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_toxicity": toxicity.op4_toxicity,
