@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from marlstone.llm import (
     exact_dedup,
     language_id,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_piece_dropout": piece_dropout.op10_piece_dropout,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
