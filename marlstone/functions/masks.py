@@ -11,10 +11,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Group names, the region granted to the BI group, mask texts.
-ENGINEERS = "ecom_engineers"
-ANALYSTS = "ecom_analysts"
-BI_READER = "ecom_bi_reader"
+# Defaults: group names and the region granted to the BI group.  Fixed values: mask texts.
+ENGINEERS = "engineers"
+ANALYSTS = "analysts"
+BI_READER = "bi_reader"
 BI_REGION = "TX"
 EMAIL_MASK = "***@***.***"
 PII_MASK = "***REDACTED-PII***"

@@ -16,15 +16,15 @@ def tidy(value: Column | str) -> Column:
 
 
 def title_case(value: Column | str) -> Column:
-    """Proper nouns such as cities."""
+    """Trimmed, each word with a capital first letter."""
     return F.initcap(tidy(value))
 
 
 def code_upper(value: Column | str) -> Column:
-    """Code-like values written in capitals, such as states."""
+    """Trimmed and in capitals."""
     return F.upper(tidy(value))
 
 
 def code_lower(value: Column | str) -> Column:
-    """Code-like values written in small letters, such as statuses and categories."""
+    """Trimmed and in small letters."""
     return F.lower(tidy(value))

@@ -81,6 +81,12 @@ def _metric_columns(rules: Sequence[Rule]) -> list[Column]:
     ]
 
 
+def violates_drop_rule(rules: Sequence[Rule]) -> Column:
+    """True for rows that some drop rule keeps out; never NULL."""
+    broken = [rule.violated() for rule in rules if rule.action == DROP]
+    return F.coalesce(reduce(lambda a, b: a | b, broken), F.lit(False)) if broken else F.lit(False)
+
+
 def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that meet every drop rule; warn rules do not filter."""
     predicates = [F.expr(rule.predicate) for rule in rules if rule.action == DROP]

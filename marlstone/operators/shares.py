@@ -45,5 +45,6 @@ def top_k(df: DataFrame, value: str, k: int, tie_breakers: Sequence[str] = ()) -
 
 def top_k_share(df: DataFrame, value: str, k: int, tie_breaker: str) -> DataFrame:
     """The ``k`` largest rows with their share of the total of all rows."""
-    shared = df.withColumn("share_pct", share_of_total(F.col(value)))
-    return top_k(shared, value, k, [tie_breaker])
+    total = df.agg(F.sum(value)).scalar()
+    largest = top_k(df, value, k, [tie_breaker])
+    return largest.withColumn("share_pct", safe_ratio(F.col(value) * F.lit(_HUNDRED), total))

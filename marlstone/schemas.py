@@ -55,7 +55,10 @@ ENTITIES = {
 }
 
 # Columns every bronze table carries besides the landed ones.
+RESCUED = "_rescued_data"
 INGEST_METADATA = T.StructType([
+    # The line as it came, where a value does not fit its column or a field has none.
+    T.StructField(RESCUED, T.StringType()),
     T.StructField("_source_file", T.StringType()),
     T.StructField("_source_file_ts", T.TimestampType()),
     T.StructField("_ingested_at", T.TimestampType()),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,12 +49,15 @@ def build_session(app_name: str = "marlstone", master: str | None = None, **conf
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) falls back to a folder of
-    this machine.
+    Only a session on this machine alone falls back to a folder of it; on a cluster
+    each executor would write to its own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder all executors reach (master is {master})")
     fallback = os.path.join(tempfile.gettempdir(), "marlstone-shared")
     os.makedirs(fallback, exist_ok=True)
     return fallback

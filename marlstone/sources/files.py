@@ -28,6 +28,30 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a name that does not exist yet."""
+    source_path, fs = _path(spark, source)
+    target_path, _ = _path(spark, target)
+    fs.mkdirs(target_path.getParent())
+    if fs.exists(target_path) or not fs.rename(source_path, target_path):
+        raise FileExistsError(f"cannot move {source} to {target}")
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, read by the driver without a Spark job."""
+    hadoop_path, fs = _path(spark, path)
+    jvm = spark._jvm
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    codec = codecs.getCodec(hadoop_path)
+    stream = fs.open(hadoop_path)
+    try:
+        content = codec.createInputStream(stream) if codec is not None else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(content, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     hadoop_path, fs = _path(spark, path)
     if not fs.exists(hadoop_path):

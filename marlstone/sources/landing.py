@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.operators.unions import same_types, union_all
-from marlstone.schemas import INGEST_METADATA, merge_schemas
+from marlstone.schemas import INGEST_METADATA, RESCUED, merge_schemas
+from marlstone.sources import files
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
@@ -37,14 +39,21 @@ def _literal_path(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
+def keeping_raw(reader, schema: T.StructType):
+    """A batch or stream reader that keeps lines which do not fit the schema in ``_rescued_data``."""
+    return reader.schema(T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])).option(
+        "columnNameOfCorruptRecord", RESCUED)
+
+
 def csv_headers(spark: SparkSession, paths: Sequence[str], threads: int = 16) -> dict[tuple[str, ...], list[str]]:
     """Group CSV files by their header line.
 
-    Each lookup reads only the first line of one file.  The caller bounds the
-    number of files (one micro-batch of a file stream).
+    Each lookup opens one file and reads its first line, without a Spark job.  The
+    caller bounds the number of files (one micro-batch of a file stream).
     """
     def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(_literal_path(path)).columns)
+        line = files.first_line(spark, path).removeprefix("\ufeff")
+        return tuple(name or f"_c{i}" for i, name in enumerate(next(csv.reader([line]), [])))
 
     groups: dict[tuple[str, ...], list[str]] = {}
     with ThreadPoolExecutor(threads) as pool:
@@ -73,12 +82,15 @@ def read_landing_files(
 
     CSV columns are matched by header name: files are read in groups of equal
     headers, so reordered or added columns end up where they belong.  A value that
-    does not fit its column's type becomes NULL and is left to the quality rules.
+    does not fit its column's type becomes NULL and is left to the quality rules; the
+    whole line then stays in ``_rescued_data``, as do lines with too many or too few fields.
     """
     literal = [_literal_path(p) for p in paths]
     if format == "json":
-        widened = merge_schemas(known, spark.read.json(literal).schema)
-        return with_ingest_metadata(spark.read.schema(widened).json(literal)), widened
+        seen = spark.read.option("columnNameOfCorruptRecord", RESCUED).json(literal).schema
+        seen = T.StructType([field for field in seen.fields if field.name != RESCUED])
+        widened = merge_schemas(known, seen)
+        return with_ingest_metadata(keeping_raw(spark.read, widened).json(literal)), widened
     by_header = csv_headers(spark, paths)
     schemas = {header: csv_schema(header, known) for header in by_header}
     widened = known
@@ -87,7 +99,7 @@ def read_landing_files(
     target = T.StructType(widened.fields + INGEST_METADATA.fields)
     parts = [
         with_ingest_metadata(
-            spark.read.schema(schema).option("header", True)
+            keeping_raw(spark.read, schema).option("header", True)
             .csv([_literal_path(p) for p in by_header[header]])
         )
         for header, schema in schemas.items()

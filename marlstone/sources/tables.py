@@ -94,6 +94,17 @@ class TableStore:
     def checkpoint_path(self, layer: str, table: str) -> str:
         return f"{self.version_path(layer, table, self.stream_version(layer, table))}/checkpoint"
 
+    def batch_path(self, layer: str, table: str, kind: str, batch_id: int) -> str:
+        """Where a micro-batch keeps its ``staging``, ``quarantine`` or ``dq`` part."""
+        version = self.version_path(layer, table, self.stream_version(layer, table))
+        return f"{version}/{kind}/batch-{batch_id}"
+
+    def read_parts(self, layer: str, table: str, kind: str, schema: T.StructType | str) -> DataFrame:
+        """The ``quarantine`` or ``dq`` rows of all micro-batches of a streaming table."""
+        folder = self.batch_path(layer, table, kind, 0).rpartition("/")[0]
+        files.make_folder(self.spark, folder)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
+
     def stored_schema(self, layer: str, table: str) -> T.StructType | None:
         folder = f"{self.version_path(layer, table, self.stream_version(layer, table))}/schema"
         numbers = [int(n) for n in files.child_names(self.spark, folder) if n.isdigit()]

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.schemas import ENTITIES, Entity, bronze_schema
+from marlstone.schemas import ENTITIES, INGEST_METADATA, Entity, bronze_schema
 from marlstone.sources import files
-from marlstone.sources.landing import read_landing_files, with_ingest_metadata
+from marlstone.sources.landing import keeping_raw, read_landing_files, with_ingest_metadata
 from marlstone.sources.tables import TableStore
 
 # Bounds what one micro-batch lists on the driver.
@@ -17,9 +17,10 @@ _FILE_LISTING = "path string, modificationTime timestamp, length bigint, content
 
 def stream_landing(spark: SparkSession, path: str, entity: Entity, max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
     """Streaming rows of landing files that all follow the entity's schema."""
-    reader = spark.readStream.schema(entity.schema).option("maxFilesPerTrigger", max_files)
+    reader = keeping_raw(spark.readStream, entity.schema).option("maxFilesPerTrigger", max_files)
     if entity.format == "csv":
-        reader = reader.option("header", True)
+        # A header that differs from the schema fails the stream; columns are never mixed up.
+        reader = reader.option("header", True).option("enforceSchema", False)
     return with_ingest_metadata(reader.format(entity.format).load(path))
 
 
@@ -28,7 +29,8 @@ def _append_new_files(store: TableStore, entity: Entity, folder: str, max_files:
 
     The stream carries only the paths of new files (its checkpoint remembers which
     ones are done); each batch reads its files grouped by header and writes one
-    folder.  A repeated batch finds its finished folder and does nothing.
+    folder, outside the table until it is complete.  A repeated batch finds its
+    folder in the table and does nothing, or starts over where it never got there.
     """
     spark = store.spark
     data = store.stream_path("bronze", entity.bronze)
@@ -39,17 +41,19 @@ def _append_new_files(store: TableStore, entity: Entity, folder: str, max_files:
 
     def append(batch: DataFrame, batch_id: int) -> None:
         target = f"{data}/batch-{batch_id}"
-        if files.exists(spark, f"{target}/_SUCCESS"):
+        if files.exists(spark, target):
             return
         # A listing can name a file with glob marks more than once.
         paths = sorted({row.path for row in batch.collect()})
         if not paths:
             return
         stored = store.stored_schema("bronze", entity.bronze)
-        landed = stored[:-3] if stored else entity.schema
+        landed = stored[:-len(INGEST_METADATA)] if stored else entity.schema
         rows, widened = read_landing_files(spark, paths, entity.format, landed)
         store.store_schema("bronze", entity.bronze, bronze_schema(widened))
-        rows.write.mode("overwrite").parquet(target)
+        staging = store.batch_path("bronze", entity.bronze, "staging", batch_id)
+        rows.write.mode("overwrite").parquet(staging)
+        files.rename(spark, staging, target)
 
     (
         listing.writeStream.foreachBatch(append)

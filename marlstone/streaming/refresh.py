@@ -5,18 +5,24 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from marlstone.operators.governance import tag_column
+from marlstone.operators.history import unsequenced
 from marlstone.plans import dimensions, marts
 from marlstone.plans.facts import fct_sales
 from marlstone.schemas import ENTITIES
 from marlstone.session import configure
-from marlstone.sources.calendar import FIRST_DAY, LAST_DAY
+from marlstone.sources.calendar import calendar_days, calendar_span
 from marlstone.sources.tables import TableStore
 from marlstone.streaming.bronze import refresh_bronze
 from marlstone.streaming.silver import refresh_silver
 
 
-def refresh_gold(store: TableStore, first: str = FIRST_DAY, last: str = LAST_DAY) -> None:
-    """Rebuild every gold table from the silver tables of this moment."""
+def refresh_gold(store: TableStore, first: str | None = None, last: str | None = None) -> None:
+    """Rebuild every gold table from the silver tables of this moment.
+
+    The calendar spans the orders, so no sale falls outside it, unless bounds are given.
+    Changes of customers without a date have no place in the history; they are kept in
+    ``dim_customer_quarantine``.
+    """
     def silver(name):
         return store.read("silver", f"slv_{name}")
 
@@ -24,7 +30,9 @@ def refresh_gold(store: TableStore, first: str = FIRST_DAY, last: str = LAST_DAY
         return store.read("gold", name)
 
     customer_history = dimensions.dim_customer(silver("customers"))
-    store.publish(dimensions.dim_date(store.spark, first, last), "gold", "dim_date")
+    days = calendar_days(store.spark, first, last) if first and last else calendar_span(silver("orders"), "order_ts")
+    store.publish(dimensions.describe_days(days), "gold", "dim_date")
+    store.publish(unsequenced(silver("customers"), "signup_ts"), "gold", "dim_customer_quarantine")
     store.publish(dimensions.dim_product(silver("products")), "gold", "dim_product")
     store.publish(dimensions.dim_seller(silver("sellers")), "gold", "dim_seller")
     store.publish(tag_column(customer_history, "email", "sensitivity", "pii"), "gold", "dim_customer")
@@ -46,23 +54,27 @@ def refresh_gold(store: TableStore, first: str = FIRST_DAY, last: str = LAST_DAY
 
 def run_medallion(
     spark: SparkSession, landing_root: str, table_root: str,
-    first: str = FIRST_DAY, last: str = LAST_DAY, evolve: bool = True,
+    first: str | None = None, last: str | None = None, evolve: bool = True,
 ) -> dict[str, dict[str, int]]:
-    """Ingest what is new, cleanse it, rebuild gold; returns the rule counts per entity."""
+    """Ingest what is new, cleanse it, rebuild gold.
+
+    Returns the rule counts per entity, and the rows kept out of the customer history.
+    """
     store = TableStore(configure(spark), table_root)
     for entity in ENTITIES:
         refresh_bronze(store, entity, landing_root, evolve)
     counts = {entity: refresh_silver(store, entity) for entity in ENTITIES}
     refresh_gold(store, first, last)
-    return counts
+    return counts | {"dim_customer_quarantine": {"rows": store.read("gold", "dim_customer_quarantine").count()}}
 
 
 def full_refresh(
     store: TableStore, entity: str, landing_root: str, layer: str = "bronze", evolve: bool = True
 ) -> None:
-    """Rebuild one streaming table, and the table built from it, from the start.
+    """Rebuild one streaming table, and all tables built from it, from the start.
 
-    Old versions stay on storage for running readers; gold follows at its next run.
+    Old versions stay on storage for running readers.  Gold is rebuilt where all silver
+    tables exist.
     """
     tables = ENTITIES[entity]
     if layer == "bronze":
@@ -70,3 +82,5 @@ def full_refresh(
         refresh_bronze(store, entity, landing_root, evolve)
     store.open_stream_version("silver", tables.silver)
     refresh_silver(store, entity)
+    if all(store.stream_version("silver", e.silver) for e in ENTITIES.values()):
+        refresh_gold(store)

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from marlstone.plans.silver import cleansed
+from marlstone.operators.quality import RULES, dq_metrics, violates_drop_rule
+from marlstone.plans.silver import CLEANERS
 from marlstone.schemas import ENTITIES
+from marlstone.sources import files
 from marlstone.sources.tables import TableStore
 
-OBSERVED = "dq"
 # Bounds a micro-batch, so that a first load of a large table proceeds in steps.
 MAX_FILES_PER_BATCH = 10_000
 
+DQ_SCHEMA = ("table_name string, rule string, action string, rows_checked long, rows_passed long, "
+             "rows_failed long, rows_dropped long, batch_id long")
+
 
 def append_stream(store: TableStore, df: DataFrame, layer: str, table: str) -> StreamingQuery:
     """Append a stream to a streaming table until its input is used up."""
@@ -29,21 +32,67 @@ def append_stream(store: TableStore, df: DataFrame, layer: str, table: str) -> S
     return query
 
 
-def observed_counts(query: StreamingQuery) -> dict[str, int]:
-    """Rule counts of a finished run, summed over the batches Spark still reports."""
-    counts: Counter[str] = Counter()
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(OBSERVED)
-        if row is not None:
-            counts.update({k: v for k, v in row.asDict().items() if v is not None})
-    return dict(counts)
+def append_checked(store: TableStore, cleaned: DataFrame, entity: str) -> None:
+    """Append a cleaned stream: good rows to silver, dropped ones to quarantine, rule counts to ``dq``.
+
+    A batch is written once, split by a flag, and moved into place when complete.  Its
+    counts come from the stored rows of both parts, so a re-run task cannot count twice,
+    and a repeated batch finds what it wrote before.
+    """
+    spark, table = store.spark, ENTITIES[entity].silver
+    store.store_schema("silver", table, cleaned.schema)
+    rules = RULES[entity]
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        data = f"{store.stream_path('silver', table)}/batch-{batch_id}"
+        held = store.batch_path("silver", table, "quarantine", batch_id)
+        counts = store.batch_path("silver", table, "dq", batch_id)
+        if files.exists(spark, data):
+            # Only the stream's own state has to be brought up to date.
+            batch.write.format("noop").mode("overwrite").save()
+        else:
+            staging = store.batch_path("silver", table, "staging", batch_id)
+            flagged = batch.withColumn("dropped", violates_drop_rule(rules))
+            flagged.write.mode("overwrite").partitionBy("dropped").parquet(staging)
+            for part, target in (("dropped=true", held), ("dropped=false", data)):
+                if files.exists(spark, f"{staging}/{part}"):
+                    if not files.exists(spark, target):
+                        files.rename(spark, f"{staging}/{part}", target)
+                else:
+                    files.make_folder(spark, target)
+        if not files.exists(spark, f"{counts}/_SUCCESS"):
+            checked = spark.read.schema(batch.schema).parquet(data, held)
+            dq_metrics(checked, rules, table).withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1).write.mode(
+                "overwrite").parquet(counts)
+
+    (
+        cleaned.writeStream.foreachBatch(append)
+        .option("checkpointLocation", store.checkpoint_path("silver", table))
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+
+
+def stored_metrics(store: TableStore, entity: str) -> DataFrame:
+    """Rule counts of every micro-batch of a silver table."""
+    return store.read_parts("silver", ENTITIES[entity].silver, "dq", DQ_SCHEMA)
+
+
+def quarantined(store: TableStore, entity: str) -> DataFrame:
+    """The rows that drop rules kept out of a silver table."""
+    table = ENTITIES[entity].silver
+    return store.read_parts("silver", table, "quarantine", store.stored_schema("silver", table))
 
 
 def refresh_silver(store: TableStore, entity: str, max_files: int = MAX_FILES_PER_BATCH) -> dict[str, int]:
-    """Cleanse the bronze rows that are new since the last run; returns the rule counts."""
+    """Cleanse the bronze rows that are new since the last run; returns the rule counts of this run."""
     source, target = ENTITIES[entity].bronze, ENTITIES[entity].silver
     if not store.stream_version("silver", target):
         store.open_stream_version("silver", target)
     store.bind_source("silver", target, "bronze", source)
-    rows = cleansed(entity, store.read_stream("bronze", source, max_files), OBSERVED)
-    return observed_counts(append_stream(store, rows, "silver", target))
+    last = stored_metrics(store, entity).agg(F.max("batch_id")).first()[0]
+    append_checked(store, CLEANERS[entity](store.read_stream("bronze", source, max_files)), entity)
+    new = stored_metrics(store, entity).where(F.col("batch_id") > (-1 if last is None else last))
+    per_rule = new.groupBy("rule").agg(F.sum("rows_checked").alias("n"), F.sum("rows_failed").alias("failed")).collect()
+    if not per_rule:
+        return {}
+    return {"rows_checked": per_rule[0]["n"]} | {r["rule"]: r["failed"] for r in per_rule}

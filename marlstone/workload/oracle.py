@@ -342,8 +342,18 @@ def oracle_sql() -> dict[str, str]:
                                    "CAST(unit_price AS DOUBLE) AS unit_price FROM log_items"),
         "ingest_json": _sql(_PAYMENTS, """
             SELECT order_id, payment_type, CAST(n AS INTEGER) AS installment_count,
+              CASE WHEN n >= 0 THEN array_to_string(list_transform(generate_series(1, n),
+                lambda i: i || ':' || (i <= 2)), ',') END AS numbers_and_states,
+              CASE WHEN n > 0 THEN round(total / n * n, 2) WHEN n = 0 THEN 0 END AS amount_sum,
               CASE WHEN n > 0 THEN total / n END AS first_amount,
               CASE WHEN n > 0 THEN true END AS first_paid FROM log_payments"""),
+        "ingest_rescued": """
+            SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+              CASE WHEN p_partkey % 10 <> 0 THEN CAST(p_size AS DOUBLE) END AS base_price, p_size AS weight_grams,
+              CASE WHEN p_partkey % 10 = 0 OR p_partkey % 15 = 0 THEN concat_ws(',', p_partkey, p_type, p_name,
+                CASE WHEN p_partkey % 10 = 0 THEN '12.50 USD' ELSE CAST(p_size AS VARCHAR) END, p_size,
+                CASE WHEN p_partkey % 15 = 0 THEN 'EXTRA' END) END AS _rescued_data
+            FROM part""",
         "ingest_fixed_schema": _sql(_REVIEWS, """
             SELECT review_id, order_id, score, '  ' || comment || ' ' AS comment, review_date,
               verified, helpful_votes FROM clean_reviews"""),
@@ -360,7 +370,7 @@ def oracle_sql() -> dict[str, str]:
                         "CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS order_ts, "
                         "o_totalprice AS order_total FROM orders",
         "append_only_guard": _sql(_SELLERS, "SELECT true AS refused, count(*) AS row_count FROM slv_sellers"),
-        "stream_table_scan": "SELECT event_id, user_id, event_type, value FROM events",
+        "stream_table_scan": "SELECT * FROM events",
         "batch_table_scan": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
         "literal_row_union": _sql(_PRODUCTS, """
             SELECT product_category, count(*) AS product_count FROM slv_products GROUP BY 1
@@ -435,8 +445,8 @@ def oracle_sql() -> dict[str, str]:
         "struct_flatten_reviews": _sql(_REVIEWS, "SELECT review_id, score, verified, helpful_votes FROM clean_reviews"),
         "dedup_lineitem": _first(
             "l_orderkey, l_linenumber",
-            "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus",
-            "(SELECT * EXCLUDE (l_shipdate) FROM lineitem)"),
+            "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate",
+            "lineitem"),
         "dedup_distinct_keys": "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem",
         "stream_dedup": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
         "scd2_customer": _sql(_CHANGES, "SELECT * FROM versions"),
@@ -544,6 +554,7 @@ def oracle_sql() -> dict[str, str]:
             select = "SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM slv_order_items"
         sql[f"slv_{entity}"] = _sql(parts, select)
         sql[f"dq_metrics_{entity}"] = _metrics_sql(entity)
+    sql["dq_metrics_stream"] = " UNION ALL ".join(f"SELECT * FROM ({_metrics_sql(e)})" for e in _RULE_SQL)
     for role, sees_mail, where in (
         ("engineer", True, "true"), ("analyst", False, "true"), ("bi_reader", False, "state = 'TX'"),
     ):

@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as spark_entry
+from marlstone.workload import oracle
+from marlstone.workload.queries import QUERIES
 from oracle_check import compare, connect
 
 SF = "/root/testdata/sf0.001"
-# At this scale these take long for what they add to tests/test_streaming.py.
-SLOW = {"medallion_run", "full_refresh"}
 
 
 @pytest.fixture(scope="module")
@@ -16,10 +16,11 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(oracle.oracle_sql())
+    assert set(QUERIES) <= set(spark_entry.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in spark_entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, connection, name):
     assert compare(spark, connection, SF, name) == ""
 

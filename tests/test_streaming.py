@@ -4,15 +4,18 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from marlstone.plans.kpis import totals
 from marlstone.plans.silver import cleansed
 from marlstone.schemas import ENTITIES, bronze_schema, merge_schemas
 from marlstone.sources.landing import infer_landing_schema
 from marlstone.sources.tables import SourceRewritten, TableStore
 from marlstone.streaming.bronze import refresh_bronze
 from marlstone.streaming.refresh import full_refresh, run_medallion
-from marlstone.streaming.silver import refresh_silver
+from marlstone.session import shared_folder
+from marlstone.streaming.silver import quarantined, refresh_silver, stored_metrics
 
 
 def plain(row):
@@ -117,6 +120,86 @@ def test_payments_explode_keeps_copies(spark, place):
     assert sorted(rows) == sorted(2 * [("o1", "boleto", 1, 2.0, True), ("o1", "boleto", 2, -2.0, False)])
 
 
+def test_rule_counts_of_more_batches_than_spark_reports(spark, place):
+    landing, store = place
+    for i in range(8):
+        drop_file(f"{landing}/products", f"{i}.csv", "product_id,product_category,product_name,base_price,weight_grams\n"
+                  f"p{i},c,n,{i - 4},\n")
+        refresh_bronze(store, "products", landing)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 3)
+    try:
+        counts = refresh_silver(store, "products", max_files=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert counts == {"rows_checked": 8, "valid_product_id": 0, "positive_price": 5, "weight_present": 8}
+    assert stored_metrics(store, "products").select("batch_id").distinct().count() == 8
+    assert store.read("silver", "slv_products").count() == 3 and quarantined(store, "products").count() == 5
+
+
+def lose_commit(checkpoint):
+    for name in ("0", ".0.crc"):
+        os.replace(f"{checkpoint}/commits/{name}", f"{checkpoint}/lost-{name.strip('.')}")
+
+
+def test_a_repeated_batch_neither_doubles_rows_nor_counts(spark, place):
+    landing, store = place
+    line = json.dumps({"order_id": "o1", "payment_type": "boleto", "installments": [
+        {"installment_no": i, "amount": 1.0, "paid": True} for i in range(4)]}) + "\n"
+    drop_file(f"{landing}/payments", "a.json", line)
+    refresh_bronze(store, "payments", landing)
+    # The batch was written, but the stream did not get to note it.
+    lose_commit(store.checkpoint_path("bronze", "br_payments"))
+    refresh_bronze(store, "payments", landing)
+    assert refresh_silver(store, "payments")["rows_checked"] == 4
+    lose_commit(store.checkpoint_path("silver", "slv_payments"))
+    refresh_silver(store, "payments")
+    assert store.read("silver", "slv_payments").count() == 4
+    assert stored_metrics(store, "payments").where("rule = 'valid_order_ref'").first().rows_checked == 4
+
+
+def test_a_half_written_batch_is_written_again(spark, place):
+    landing, store = place
+    drop_file(f"{landing}/sellers", "a.csv", "seller_id,seller_name,seller_city,seller_state\ns1,n,c,s\n")
+    store.open_stream_version("bronze", "br_sellers")
+    half = store.batch_path("bronze", "br_sellers", "staging", 0)
+    spark.range(3).write.parquet(half)
+    refresh_bronze(store, "sellers", landing)
+    assert store.read("bronze", "br_sellers").count() == 1
+
+
+def test_lines_that_do_not_fit_are_kept_whole(spark, place):
+    landing, store = place
+    header = "product_id,product_category,product_name,base_price,weight_grams\n"
+    bad = ["p1,c,n,12.50 USD,10", "p2,c,n,1.5,oops", "p3,c,n,1.5,10,EXTRA"]
+    drop_file(f"{landing}/products", "a.csv", header + "\n".join([*bad, "p4,c,n,1.5,10"]) + "\n")
+    refresh_bronze(store, "products", landing)
+    rows = {r.product_id: r for r in store.read("bronze", "br_products").collect()}
+    assert [rows[f"p{i}"]._rescued_data for i in (1, 2, 3, 4)] == [*bad, None]
+    assert rows["p1"].base_price is None and rows["p3"].weight_grams == 10
+    broken = ['{"review_id": "r1", "score": "many"}', '{"review_id": ']
+    drop_file(f"{landing}/reviews", "a.json", "\n".join([*broken, '{"review_id": "r2", "score": 3}']) + "\n")
+    for evolve, folder in ((True, store), (False, TableStore(spark, store.root + "-fixed"))):
+        refresh_bronze(folder, "reviews", landing, evolve=evolve)
+        got = folder.read("bronze", "br_reviews")
+        assert {r._rescued_data for r in got.collect()} == {*broken, None} and got.count() == 3
+
+
+def test_fixed_schema_refuses_another_header(spark, place):
+    landing, store = place
+    drop_file(f"{landing}/sellers", "a.csv", "seller_state,seller_id,seller_name,seller_city\ntx,s1,n,c\n")
+    with pytest.raises(StreamingQueryException):
+        refresh_bronze(store, "sellers", landing, evolve=False)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    with pytest.raises(RuntimeError):
+        shared_folder(type("Session", (), {"conf": Conf()}))
+
+
 def test_stream_dedup_across_runs(spark, place):
     landing, store = place
     header = "order_id,customer_id,order_status,order_date,order_total\n"
@@ -191,7 +274,10 @@ def test_whole_run_on_literal_files(spark, tmp_path):
     drop_file(f"{landing}/reviews", "a.json", json.dumps(
         {"review_id": "r1", "order_id": "o1", "score": 4, "review_date": "2024-01-02",
          "meta": {"verified": True, "helpful_votes": 2}}))
+    with open(f"{landing}/customers/a.csv", "a") as f:
+        f.write("c3,Cy,,port,ny,some day\n")
     counts = run_medallion(spark, landing, str(tmp_path / "tables"))
+    assert counts["dim_customer_quarantine"] == {"rows": 1}
     assert counts["products"]["positive_price"] == 1 and counts["customers"]["valid_customer_id"] == 1
     store = TableStore(spark, str(tmp_path / "tables"))
     versions = {(r.customer_id, r.state, r.is_current) for r in store.read("gold", "dim_customer_keyed").collect()}
@@ -211,3 +297,12 @@ def test_whole_run_on_literal_files(spark, tmp_path):
     # A second run without new files changes nothing.
     assert run_medallion(spark, landing, str(tmp_path / "tables"))["orders"].get("rows_checked", 0) == 0
     assert store.read("gold", "fct_sales").count() == 3
+    # The calendar follows the orders: a sale of another decade keeps its revenue.
+    drop_file(f"{landing}/orders", "b.csv", "order_id,customer_id,order_status,order_date,order_total\no7,c1,paid,1999-05-01,9\n")
+    drop_file(f"{landing}/order_items", "b.csv",
+              "order_id,item_seq,product_id,seller_id,quantity,unit_price\no7,1,p1,s1,3,4\n")
+    run_medallion(spark, landing, str(tmp_path / "tables"))
+    assert plain(totals(store.read("gold", "mv_revenue_daily")).first()) == (39.5, 3)
+    before = store.read("gold", "mv_order_funnel").count()
+    full_refresh(store, "orders", landing)
+    assert store.read("gold", "mv_order_funnel").count() == before and store.finished_version("gold", "fct_sales") == 4
