@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
 import numpy as np
@@ -63,6 +64,17 @@ class Memo(dict):
         return value
 
 
+def per_process(key: tuple, make):
+    """What ``make`` returns, kept for the next tasks of the same worker process.
+
+    Functions travel by value, so a module's globals last only as long as a task; ``sys`` lasts.
+    """
+    kept = sys.__dict__.setdefault("_llm_kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def word_hasher() -> Memo:
     return Memo(xxhash.xxh3_64_intdigest)
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm import files
-from marlstone.llm.common import stored, table
+from marlstone.llm.common import per_process, stored, table
 from marlstone.llm.tokens import ByteBpe
 from marlstone.session import scratch_path
 
@@ -130,7 +130,7 @@ def write_token_shards(
     stay neighbours, an empty table gives no shard, other columns are not read.
     """
     def make():
-        encoder = ByteBpe(tokenizer, end_id)
+        encoder = per_process(("byte_bpe", tokenizer, end_id), lambda: ByteBpe(tokenizer, end_id))
 
         def run(batches):
             path, writer, total = None, None, 0

@@ -9,11 +9,16 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
+
 from marlstone.llm.common import encoded
 
-_DOUBLE_SPACE = re.compile(r"\s\s")
+_DOUBLE_SPACE = re.compile(r"\s\s|\x00")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
-MEMO_CHUNKS = 400_000
+# A full stop or comma between a letter or digit and a space is a token run of its own.
+_STOP = re.compile(r"(?<=[A-Za-z0-9])([.,])(?= |$)")
+_STOP_BYTES = re.compile(rb"(?<=[a-z0-9])([.,])(?=\s|$)")
+MEMO_CHUNKS = 600_000
 
 
 class ChunkEncoder:
@@ -26,6 +31,9 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end_id.to_bytes(4, "little")
         self.memo: dict = {}
+        # A special token ends whatever stands before it, so it separates chunks encoded in one go.
+        self.mark_id, mark = next(iter(self.tokenizer.get_added_tokens_decoder().items()))
+        self.mark = mark.content
 
     def chunks(self, text: str | None) -> list:
         raise NotImplementedError
@@ -33,21 +41,37 @@ class ChunkEncoder:
     def as_text(self, chunk) -> str:
         return chunk
 
+    def learn(self, chunks: list) -> None:
+        texts = [self.as_text(c) for c in chunks]
+        rare = [k for k, t in enumerate(texts) if "<|" in t]
+        if rare:
+            for k in rare:
+                ids = self.tokenizer.encode(texts[k], add_special_tokens=False).ids
+                self.memo[chunks[k]] = np.array(ids, "<u4").tobytes()
+            skip = set(rare)
+            chunks, texts = zip(*[(c, t) for k, (c, t) in enumerate(zip(chunks, texts)) if k not in skip] or [((), ())])
+        if not texts:
+            return
+        joined = self.tokenizer.encode_batch_fast([self.mark.join(texts) + self.mark], add_special_tokens=False)
+        ids = np.array(joined[0].ids, "<u4")
+        ends = np.flatnonzero(ids == self.mark_id).tolist()
+        flat = ids.tobytes()
+        begin = 0
+        for chunk, end in zip(chunks, ends, strict=True):
+            self.memo[chunk] = flat[4 * begin:4 * end]
+            begin = end + 1
+
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text and the end id."""
         cut = [self.chunks(text) for text in texts]
-        out: list[bytes] = []
-        for chunks in cut:
-            missing = [c for c in set(chunks) if c not in self.memo]
-            if missing:
-                if len(self.memo) + len(missing) > MEMO_CHUNKS:
-                    self.memo.clear()
-                    missing = list(set(chunks))
-                found = self.tokenizer.encode_batch_fast([self.as_text(c) for c in missing], add_special_tokens=False)
-                for chunk, encoding in zip(missing, found):
-                    self.memo[chunk] = b"".join([i.to_bytes(4, "little") for i in encoding.ids])
-            out.append(b"".join(map(self.memo.__getitem__, chunks)) + self.end)
-        return out
+        wanted = set().union(*cut)
+        missing = [c for c in wanted if c not in self.memo]
+        if len(self.memo) + len(missing) > MEMO_CHUNKS:
+            self.memo.clear()
+            missing = list(wanted)
+        for k in range(0, len(missing), 4096):
+            self.learn(missing[k:k + 4096])
+        return [b"".join(map(self.memo.__getitem__, chunks)) + self.end for chunks in cut]
 
 
 class ByteBpe(ChunkEncoder):
@@ -56,16 +80,20 @@ class ByteBpe(ChunkEncoder):
     def chunks(self, text):
         if not text:
             return []
-        # A single space between two other characters always begins a token.
-        parts = _SAFE_CUT.split(text) if _DOUBLE_SPACE.search(text) else text.split(" ")
-        return [parts[0], *[" " + p for p in parts[1:]]]
+        if _DOUBLE_SPACE.search(text):
+            # A single space between two other characters always begins a token.
+            parts = _SAFE_CUT.split(text)
+            return [parts[0], *[" " + p for p in parts[1:]]]
+        # No white space runs: every space begins a token, every line end is one.
+        cut = _STOP.sub("\0\\1", text).replace(" ", "\0 ").replace("\n", "\0\n\0")
+        return cut.split("\0")
 
 
 class WordBpe(ChunkEncoder):
-    """BPE with word ends: white space only separates."""
+    """BPE with word ends and lower case: white space only separates."""
 
     def chunks(self, text):
-        return encoded(text).split()
+        return _STOP_BYTES.sub(rb" \1", encoded(text).lower()).split()
 
     def as_text(self, chunk):
         return chunk.decode()
