@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import map_batches, stored, table
+from marlstone.llm.common import map_batches, per_process, stored, table
 from marlstone.llm.tokens import WordBpe
 
 CAPACITY = 4096
@@ -68,7 +68,7 @@ def tokenized_pieces(
 ) -> DataFrame:
     """One row per piece, with its rank among the pieces of its length in the same task."""
     def make():
-        encoder = WordBpe(tokenizer, end_id)
+        encoder = per_process(("word_bpe", tokenizer, end_id), lambda: WordBpe(tokenizer, end_id))
         seen: Counter = Counter()
         part = TaskContext.get().partitionId()
 
