@@ -26,7 +26,8 @@ def labelled_texts(
     known = labels.select(F.col(ident).alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where(F.col("label").isNotNull() & learn).groupBy("doc_id").agg(F.max("label").alias("label"))
     texts = docs.select(F.col(ident).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(learn)
-    return texts.join(known, "doc_id")
+    # One plan at every size: labels grow with the documents, so they are never broadcast.
+    return texts.join(known.hint("merge"), "doc_id")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, penalise: np.ndarray | None = None, steps: int = 60):
