@@ -19,6 +19,17 @@ def test_without_dropout_it_is_the_library(prose):
         assert ids(engine.encode(text)) == library.encode(text or "")
 
 
+def test_both_agendas_agree(prose, monkeypatch):
+    texts = [*TEXTS, prose(3, 300)]
+    listed = [pd.MergeDropout(MODEL, 0.2).encode(t, 1) for t in texts]
+    monkeypatch.setattr(pd, "SHORT", 3)
+    assert [pd.MergeDropout(MODEL, 0.2).encode(t, 1) for t in texts] == listed
+
+
+def test_no_piece_joins_across_a_cut():
+    assert not any("\n" in p or pd._STOP.search(p) for p in pd.PieceModel(MODEL).id)
+
+
 def test_dropout_varies_and_decodes(prose):
     engine = pd.MergeDropout(MODEL, 0.3)
     for text in [*TEXTS, "own ▁ mark▁▁", prose(1, 200)]:
