@@ -7,10 +7,11 @@ node's candidates are the neighbours with the longest common prefix, which lie d
 order where the region is dense and right below the root where it is sparse.
 
 Candidates are confirmed on the full sets.  Only what can still change the result is looked at
-again: regions that hold more than one component.  There every node outside the
-region's largest component meets all nodes of other components, in blocks; first the
-most similar ones of each block, then, once those are joined, all that remain.  So no pair of a region is
-lost, and the pairs inside large groups of copies are never formed.
+again: regions that hold more than one component.  There every node outside the region's largest
+component meets all nodes of other components, in blocks that carry the full sets: signatures and sizes
+rule most pairs out, the sets decide about the rest, and each block returns only a spanning forest of
+its links.  So no link of a region is lost, and neither the pairs inside large groups of copies nor those
+of many texts just below the limit are ever written out.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ HASHES = TREES * ROOT
 # Two sets at the similarity limit agree in so many of the 64 hashes but for a few in a million.
 LEAST_AGREEING = 40
 NEIGHBOURS = 3
-BLOCK = 1024
-FIRST_OF_BLOCK = 2
+BLOCK = 2048
+# Digests are first compared by so many of their bits.
+CELL_BITS = 18
 SIMILARITY = 85
 WIDTH = 3
 
@@ -176,62 +178,119 @@ def neighbour_pairs(regions: DataFrame, similarity: int) -> DataFrame:
         F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct()
 
 
-def open_pairs(regions: DataFrame, components: DataFrame, similarity: int, first: int | None) -> DataFrame:
-    """Pairs of a region in different components that may be similar: per node and block the ``first`` or all."""
+def digests_of(texts: DataFrame, width: int) -> DataFrame:
+    """(node, digests): the hashed shingle set of each node, sorted, as little-endian 64-bit integers."""
+    def make():
+        hasher = word_hasher()
+
+        def work(batch):
+            sets = [hashed_set(ascii_words(t.as_py()), hasher, width) for t in batch.column("text")]
+            return {"node": batch.column("node"), "digests": [s.astype("<u8").tobytes() for s in sets]}
+
+        return work
+
+    return map_batches(texts.select("node", "text"), "node binary, digests binary", make)
+
+
+class Block:
+    """Targets of one block of a region, kept while its probes pass by."""
+
+    def __init__(self, rows: list[dict], similarity: int):
+        self.similarity = similarity
+        self.nodes = [r["node"] for r in rows]
+        self.label = np.array([r["component"] for r in rows], object)
+        self.sizes = np.array([r["n_shingles"] for r in rows])
+        self.sigs = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint8).reshape(len(rows), HASHES)
+        self.sets = [np.frombuffer(r["digests"], "<u8") for r in rows]
+        self.cells = [(s >> np.uint64(64 - CELL_BITS)).astype(np.int32) for s in self.sets]
+        self.marked = np.zeros(1 << CELL_BITS, bool)
+        self.joined: dict = {}
+
+    def root(self, component):
+        while component in self.joined:
+            component = self.joined[component]
+        return component
+
+    def links(self, probe: dict):
+        """Targets that link the probe to components it isn't linked with yet, one of each."""
+        size, own = probe["n_shingles"], self.root(probe["component"])
+        agreeing = _agreeing(self.sigs, np.frombuffer(probe["sig"], np.uint8))
+        good = (agreeing >= LEAST_AGREEING) & _sizes_allow(self.sizes, size, self.similarity) & (self.label != own)
+        at = np.flatnonzero(good)
+        if not len(at):
+            return
+        digests = np.frombuffer(probe["digests"], "<u8")
+        own_cells = (digests >> np.uint64(64 - CELL_BITS)).astype(np.int32)
+        self.marked[own_cells] = True
+        cells = [self.cells[j] for j in at]
+        # Digests in marked cells: never fewer than the common ones.
+        most = np.add.reduceat(self.marked[np.concatenate(cells)], np.cumsum([0, *map(len, cells[:-1])]), dtype=np.int64)
+        self.marked[own_cells] = False
+        near = 100 * most >= self.similarity * (size + self.sizes[at] - np.minimum(most, size))
+        for j in at[near]:
+            if self.label[j] == own:
+                continue
+            common = len(np.intersect1d(self.sets[j], digests, assume_unique=True))
+            if 100 * common >= self.similarity * (size + self.sizes[j] - common):
+                self.joined[own] = other = self.label[j]
+                self.label[self.label == own] = other
+                own = other
+                yield self.nodes[j]
+
+
+def open_pairs(regions: DataFrame, components: DataFrame, texts: DataFrame, width: int, similarity: int) -> DataFrame:
+    """Similar pairs between components of a region: every node outside the largest component meets all others.
+
+    Targets and probes are dealt in blocks, so a task holds one block of targets however large the region is.
+    A block returns a spanning forest of what it links, never all pairs.
+    """
     comp = F.coalesce("component", "node").alias("component")
     placed = regions.join(components, "node", "left").select("key", "node", "n_shingles", "sig", comp)
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed_regions = parts.groupBy("key").agg(
-        F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component"))["component"].alias("largest"),
-        F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")).where("parts > 1").select("key", "largest", "blocks")
-    rows = placed.join(mixed_regions, "key")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    targets = rows.select("*", block.alias("block"), F.lit(1).alias("role"))
-    probes = rows.where(F.col("component") != F.col("largest")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("role"))
-    dealt = targets.unionByName(probes).select("key", "block", "role", "node", "component", "n_shingles", "sig")
-    grouped = dealt.repartition("key", "block").sortWithinPartitions("key", "block", "role", "node")
-
-    def meet(group):
-        role, nodes, comps, sizes, sigs = group
-        cut = int((role == 0).sum())
-        found = []
-        for i in range(cut):
-            agreeing = _agreeing(sigs[cut:], sigs[i])
-            good = (agreeing >= LEAST_AGREEING) & _sizes_allow(sizes[cut:], sizes[i], similarity)
-            at = [j for j in np.flatnonzero(good) if comps[cut + j] != comps[i]]
-            if first is not None and len(at) > first:
-                at = sorted(at, key=lambda j: (-agreeing[j], nodes[cut + j]))[:first]
-            found += [(min(nodes[i], nodes[cut + j]), max(nodes[i], nodes[cut + j])) for j in at]
-        return found
+        F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"),
+    ).where("parts > 1").select(
+        "key", F.col("top.component").alias("largest"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("probe_blocks"))
+    rows = stored(placed.join(mixed_regions, "key"), "open")
+    sets = stored(digests_of(texts.join(rows.select("node").distinct(), "node", "left_semi"), width), "sets")
+    rows = rows.join(sets, "node")
+
+    def dealt_to(count):
+        return F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+
+    def each_of(count):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    columns = "key", "block", "probe_block", "role", "node", "component", "n_shingles", "sig", "digests"
+    targets = rows.withColumn("block", dealt_to("blocks")).select(
+        "*", each_of("probe_blocks").alias("probe_block"), F.lit(0).alias("role")).select(*columns)
+    probes = rows.where(F.col("component") != F.col("largest")).withColumn(
+        "probe_block", dealt_to("probe_blocks")).select(
+        "*", each_of("blocks").alias("block"), F.lit(1).alias("role")).select(*columns)
+    grouped = targets.unionByName(probes).repartition("key", "block", "probe_block").sortWithinPartitions(
+        "key", "block", "probe_block", "role", "node")
 
     def run(batches):
-        held = None
-        names = ("role", "node", "component", "n_shingles", "sig")
+        group, rows, block = None, [], None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, part = np.asarray(batch.column("key")), np.asarray(batch.column("block"))
-            edges = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1), len(key)]
-            out = []
-            for low, high in zip(edges, edges[1:]):
-                cut = [batch.column(c).slice(low, high - low) for c in names]
-                group = [np.asarray(cut[0]), cut[1].to_pylist(), cut[2].to_pylist(), np.asarray(cut[3]), _sig_matrix(cut[4])]
-                name = key[low], part[low]
-                if held and held[0] == name:
-                    held = name, [np.concatenate([x, y]) if isinstance(x, np.ndarray) else x + y
-                                  for x, y in zip(held[1], group)]
-                else:
-                    out += meet(held[1]) if held else []
-                    held = name, group
-            yield _pairs(out)
-        if held:
-            yield _pairs(meet(held[1]))
-
-    def _pairs(found):
-        found = list(dict.fromkeys(found))
-        return pa.RecordBatch.from_arrays([
-            pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.binary())], names=["a", "b"])
+            found = []
+            for start in range(0, batch.num_rows, 256):
+                for row in batch.slice(start, 256).to_pylist():
+                    name = row["key"], row["block"], row["probe_block"]
+                    if name != group:
+                        group, rows, block = name, [], None
+                    if row["role"] == 0:
+                        rows.append(row)
+                        continue
+                    if block is None:
+                        if not rows:
+                            continue
+                        block, rows = Block(rows, similarity), []
+                    found += [(row["node"], other) for other in block.links(row)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([min(x) for x in found], pa.binary()), pa.array([max(x) for x in found], pa.binary())],
+                names=["a", "b"])
 
     return grouped.mapInArrow(run, "a binary, b binary").distinct()
 
@@ -318,14 +377,12 @@ def near_duplicates(
     pairs = stored(neighbour_pairs(regions, similarity), "pairs")
     tested = stored(confirmed(pairs, texts, width, similarity), "tested")
     components = components_of(tested.where("linked"))
-    for first in (FIRST_OF_BLOCK, None):
-        found = open_pairs(regions, components, similarity, first).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = stored(found, "pairs")
-        if found.isEmpty():
-            break
+    found = stored(open_pairs(regions, components, texts, width, similarity), "pairs")
+    if not found.isEmpty():
         checked = stored(confirmed(found, texts, width, similarity), "tested")
-        tested = tested.unionByName(checked)
-        components = components_of(tested.where("linked"))
+        # The stars found so far hold all links known before.
+        known = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        components = components_of(known.unionByName(checked.where("linked").select("a", "b")))
 
     # Every node of a component carries the smallest identifier of all of them.
     named = nodes.select("node", F.col("first.doc_id").alias("low")).join(components, "node", "left").withColumn(
