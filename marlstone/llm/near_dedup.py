@@ -33,6 +33,8 @@ NEIGHBOURS = 3
 BLOCK = 2048
 # Digests are first compared by so many of their bits.
 CELL_BITS = 18
+# Links that one task of the components search takes at first.
+EDGES_PER_TASK = 200_000
 SIMILARITY = 85
 WIDTH = 3
 
@@ -326,25 +328,59 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similarity: int) -
     return map_batches(both.select("a", "b", "text_a", "text_b"), "a binary, b binary, linked boolean", make)
 
 
+def local_stars(edges: DataFrame) -> DataFrame:
+    """The edges of each task as stars around the smallest node: same components, no more rows than nodes."""
+    def run(batches):
+        parent: dict = {}
+
+        def root(x):
+            top = x
+            while (up := parent.get(top, top)) != top:
+                top = up
+            while x != top:
+                parent[x], x = top, parent.get(x, x)
+            return top
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x, y = root(u), root(v)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+        nodes = list(parent)
+        for start in range(0, len(nodes), 10_000):
+            part = nodes[start:start + 10_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.binary()), pa.array([root(x) for x in part], pa.binary())], names=["u", "v"])
+
+    return edges.select("u", "v").mapInArrow(run, "u binary, v binary")
+
+
 def components_of(links: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) for all nodes of the links (a, b) but the smallest of each component.
 
-    Large and small star steps in turn: every node's neighbours move to its smallest neighbour, until
-    each component is a star around its smallest node.
+    Tasks of at most about EDGES_PER_TASK links first turn their own links to stars.  Then large and
+    small star steps in turn: every node's neighbours move to its smallest neighbour, until each component is a
+    star around its smallest node.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(),
+    links = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(),
                    label)
-    state = None
+    tasks = links.count() // EDGES_PER_TASK + 1
+    edges = stored(local_stars(links.repartition(tasks, "u")), label)
+
+    def fingerprint(table):
+        return table.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    state = fingerprint(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, label)
+        large = stored(large.coalesce(tasks), label)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u")
         edges = stored(moved.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v"))).distinct(), label)
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            least.select("u", F.col("m").alias("v"))).distinct().coalesce(tasks), label)
+        now = fingerprint(edges)
         if now == state:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         state = now
