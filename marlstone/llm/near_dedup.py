@@ -209,9 +209,12 @@ class Block:
         self.joined: dict = {}
 
     def root(self, component):
-        while component in self.joined:
-            component = self.joined[component]
-        return component
+        top = component
+        while top in self.joined:
+            top = self.joined[top]
+        if top != component:
+            self.joined[component] = top
+        return top
 
     def links(self, probe: dict):
         """Targets that link the probe to components it isn't linked with yet, one of each."""
