@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from marlstone.llm import (
+    automaton,
+    centroids,
     exact_dedup,
     language_id,
     near_dedup,
@@ -14,6 +16,7 @@ from marlstone.llm import (
     token_files,
     toxicity,
     warc,
+    whitening,
 )
 
 QUERIES = {
@@ -27,6 +30,9 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_piece_dropout": piece_dropout.op10_piece_dropout,
+    "op11_centroid_clustering": centroids.op11_centroid_clustering,
+    "op12_merge_automaton": automaton.op12_merge_automaton,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,4 +40,5 @@ ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_centroid_clustering": centroids.ORACLE_SQL,
 }
