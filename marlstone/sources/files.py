@@ -28,13 +28,21 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Move a folder to a name that does not exist yet."""
-    source_path, fs = _path(spark, source)
-    target_path, _ = _path(spark, target)
-    fs.mkdirs(target_path.getParent())
-    if fs.exists(target_path) or not fs.rename(source_path, target_path):
-        raise FileExistsError(f"cannot move {source} to {target}")
+def list_files(spark: SparkSession, path: str) -> list[dict]:
+    """Path, length and time of the data files directly below a folder one job wrote."""
+    hadoop_path, fs = _path(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [
+        {"path": s.getPath().toString(), "length": s.getLen(), "modified": s.getModificationTime()}
+        for s in fs.listStatus(hadoop_path) if s.isFile() and not s.getPath().getName().startswith(("_", "."))
+    ]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds; nothing to do where there is none."""
+    hadoop_path, fs = _path(spark, path)
+    fs.delete(hadoop_path, True)
 
 
 def first_line(spark: SparkSession, path: str) -> str:

@@ -3,7 +3,8 @@
 ``<root>/<layer>/<table>/v=<n>`` holds one version of a table.  A materialized
 view gets a new version at every refresh and readers take the newest one whose
 write has finished; a streaming table appends within its version until a full
-refresh opens the next.  A running reader keeps the files it planned with, and no
+refresh opens the next.  What a streaming table holds is what its commit log names
+(``sources.commits``).  A running reader keeps the files it planned with, and no
 job ever overwrites what it reads.
 
 The root stands for the environment (dev, test, prod): the same code with another
@@ -13,12 +14,16 @@ root builds another copy.
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.sources import files
+from marlstone.sources.commits import Commit, CommitLog, changed_files
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -65,9 +70,7 @@ class TableStore:
     def read(self, layer: str, table: str) -> DataFrame:
         """Batch read of the newest version of a view or streaming table."""
         if self.stream_version(layer, table):
-            path = self.stream_path(layer, table)
-            reader = self.spark.read.schema(self.stored_schema(layer, table))
-            return reader.option("recursiveFileLookup", True).parquet(path)
+            return self.read_parts(layer, table, "data", self.stored_schema(layer, table))
         version = self.finished_version(layer, table)
         if version is None:
             raise FileNotFoundError(f"{layer}.{table} has no finished version")
@@ -83,27 +86,49 @@ class TableStore:
     def open_stream_version(self, layer: str, table: str) -> int:
         """Start an empty version with a checkpoint of its own."""
         version = self.stream_version(layer, table) + 1
-        # The folder first, so that a reader finds an empty table and not a missing one.
-        files.make_folder(self.spark, f"{self.version_path(layer, table, version)}/data")
+        files.make_folder(self.spark, f"{self.version_path(layer, table, version)}/parts")
         files.write_text(self.spark, f"{self._folder(layer, table)}/_streaming/{version}", "")
         return version
 
-    def stream_path(self, layer: str, table: str) -> str:
-        return f"{self.version_path(layer, table, self.stream_version(layer, table))}/data"
+    def _stream_folder(self, layer: str, table: str) -> str:
+        return self.version_path(layer, table, self.stream_version(layer, table))
 
-    def checkpoint_path(self, layer: str, table: str) -> str:
-        return f"{self.version_path(layer, table, self.stream_version(layer, table))}/checkpoint"
+    def commit_log(self, layer: str, table: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self._stream_folder(layer, table)}/log")
+
+    def new_part(self, layer: str, table: str) -> str:
+        """A folder for what one attempt of a batch writes; it counts once the batch is committed."""
+        return f"{self._stream_folder(layer, table)}/parts/{uuid.uuid4().hex}"
+
+    def is_committed(self, layer: str, table: str, batch_id: int) -> bool:
+        return self.commit_log(layer, table).has(batch_id)
 
-    def batch_path(self, layer: str, table: str, kind: str, batch_id: int) -> str:
-        """Where a micro-batch keeps its ``staging``, ``quarantine`` or ``dq`` part."""
-        version = self.version_path(layer, table, self.stream_version(layer, table))
-        return f"{version}/{kind}/batch-{batch_id}"
+    def commit(
+        self, layer: str, table: str, batch_id: int, sources: Sequence[dict] = (), **parts: str
+    ) -> None:
+        """Make written folders, by kind, part of the table, all at once."""
+        written = [f for folder in parts.values() for f in files.list_files(self.spark, folder)]
+        self.commit_log(layer, table).add(Commit(batch_id, parts, written, list(sources)))
+
+    def append(self, df: DataFrame, layer: str, table: str, batch_id: int) -> None:
+        """Write and commit the rows of one batch; a batch that is committed already adds nothing."""
+        if self.is_committed(layer, table, batch_id):
+            # Only the stream's own state has to be brought up to date.
+            df.write.format("noop").mode("overwrite").save()
+            return
+        part = self.new_part(layer, table)
+        df.write.parquet(part)
+        self.commit(layer, table, batch_id, data=part)
+
+    def checkpoint_path(self, layer: str, table: str) -> str:
+        return f"{self._stream_folder(layer, table)}/checkpoint"
 
     def read_parts(self, layer: str, table: str, kind: str, schema: T.StructType | str) -> DataFrame:
-        """The ``quarantine`` or ``dq`` rows of all micro-batches of a streaming table."""
-        folder = self.batch_path(layer, table, kind, 0).rpartition("/")[0]
-        files.make_folder(self.spark, folder)
-        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
+        """The ``data``, ``quarantine`` or ``dq`` rows of all committed batches of a streaming table."""
+        folders = [parts[kind] for _, parts in self.commit_log(layer, table).commits() if kind in parts]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
 
     def stored_schema(self, layer: str, table: str) -> T.StructType | None:
         folder = f"{self.version_path(layer, table, self.stream_version(layer, table))}/schema"
@@ -121,22 +146,33 @@ class TableStore:
         numbers = [int(n) for n in files.child_names(self.spark, folder) if n.isdigit()]
         files.write_text(self.spark, f"{folder}/{max(numbers, default=0) + 1}", schema.json())
 
-    def read_stream(self, layer: str, table: str, max_files: int | None = None) -> DataFrame:
-        """Streaming read of a streaming table."""
-        reader = self.spark.readStream.schema(self.stored_schema(layer, table)).option(
-            "recursiveFileLookup", True
-        )
+    def read_stream(
+        self, layer: str, table: str, max_files: int | None = None, after: int = -1
+    ) -> DataFrame:
+        """Streaming read of a streaming table: the committed batches above ``after``.
+
+        The stream lists folders of committed batches only, so it never meets the files of a batch
+        that is being written or was given up.
+        """
+        folders = [parts["data"] for n, parts in self.commit_log(layer, table).commits() if n > after and "data" in parts]
+        base = f"{self._stream_folder(layer, table)}/parts"
+        names = [f.removeprefix(f"{base}/") for f in folders]
+        # Nothing new is a folder without files.
+        path = f"{base}/{{{','.join(names)}}}" if names else base
+        reader = self.spark.readStream.schema(self.stored_schema(layer, table))
+        if not names:
+            reader = reader.option("pathGlobFilter", "none")
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(self.stream_path(layer, table))
+        return reader.parquet(path)
 
     def bind_source(self, layer: str, table: str, source_layer: str, source: str) -> None:
-        """Tie a stream to the version of its source it started from.
+        """Tie a stream to the version of its source it started from, and to the files of that version.
 
-        A file stream would read rewritten files a second time without a word;
-        this check refuses instead, and a full refresh resolves it.
+        A file stream would read rewritten files a second time, or miss what was removed, without a
+        word; this check refuses instead, and a full refresh resolves it.
         """
-        path = f"{self.version_path(layer, table, self.stream_version(layer, table))}/source"
+        path = f"{self._stream_folder(layer, table)}/source"
         current = f"{source_layer}.{source} v{self.stream_version(source_layer, source)}"
         bound = files.read_text(self.spark, path)
         if bound is None:
@@ -146,3 +182,27 @@ class TableStore:
                 f"{layer}.{table} was built from {bound}, its source is now {current}; "
                 "run a full refresh of it and of all tables built from it"
             )
+        recorded = self.commit_log(source_layer, source).entries().select(F.inline("files"))
+        refuse_changes(recorded, f"{self._stream_folder(source_layer, source)}/parts", f"{source_layer}.{source}")
+
+    def source_position(self, layer: str, table: str) -> int:
+        """The last batch of its source that a stream has read to the end; -1 before the first run."""
+        folder = f"{self._stream_folder(layer, table)}/read"
+        return max((int(n) for n in files.child_names(self.spark, folder) if n.isdigit()), default=-1)
+
+    def advance_source(self, layer: str, table: str, position: int) -> None:
+        """Note that a run has read all batches of its source up to ``position``."""
+        if position > self.source_position(layer, table):
+            files.write_text(self.spark, f"{self._stream_folder(layer, table)}/read/{position}", "")
+
+
+def refuse_changes(recorded: DataFrame, folder: str, name: str, removed_ok: bool = False) -> None:
+    """Raise if files that a stream has read were rewritten or removed since."""
+    changed = changed_files(recorded, folder)
+    if removed_ok:
+        changed = changed.where("change <> 'removed'")
+    found = changed.orderBy("path").limit(3).collect()
+    if found:
+        raise SourceRewritten(
+            f"files of {name} changed after they were read: " + ", ".join(f"{r['path']} ({r['change']})" for r in found)
+            + "; run a full refresh of all tables built from them")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marlstone.schemas import ENTITIES, INGEST_METADATA, Entity, bronze_schema
-from marlstone.sources import files
 from marlstone.sources.landing import keeping_raw, read_landing_files, with_ingest_metadata
-from marlstone.sources.tables import TableStore
+from marlstone.sources.tables import TableStore, refuse_changes
 
 # Bounds what one micro-batch lists on the driver.
 MAX_FILES_PER_BATCH = 1000
@@ -27,33 +27,33 @@ def stream_landing(spark: SparkSession, path: str, entity: Entity, max_files: in
 def _append_new_files(store: TableStore, entity: Entity, folder: str, max_files: int) -> None:
     """Ingest with schema evolution.
 
-    The stream carries only the paths of new files (its checkpoint remembers which
-    ones are done); each batch reads its files grouped by header and writes one
-    folder, outside the table until it is complete.  A repeated batch finds its
-    folder in the table and does nothing, or starts over where it never got there.
+    The stream carries only the names of new files (its checkpoint remembers which
+    ones are done); each batch reads its files grouped by header, writes one folder and
+    commits it with the names, lengths and times of the files it came from.  A repeated
+    batch finds its commit and does nothing, or starts over where it never got there.
     """
     spark = store.spark
-    data = store.stream_path("bronze", entity.bronze)
     listing = (
         spark.readStream.format("binaryFile").schema(_FILE_LISTING)
-        .option("maxFilesPerTrigger", max_files).load(folder).select("path")
+        .option("maxFilesPerTrigger", max_files).load(folder)
+        .select("path", "length", F.unix_millis("modificationTime").alias("modified"))
     )
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        target = f"{data}/batch-{batch_id}"
-        if files.exists(spark, target):
+        if store.is_committed("bronze", entity.bronze, batch_id):
             return
         # A listing can name a file with glob marks more than once.
-        paths = sorted({row.path for row in batch.collect()})
-        if not paths:
+        found = {row["path"]: row.asDict() for row in batch.collect()}
+        if not found:
             return
+        paths = sorted(found)
         stored = store.stored_schema("bronze", entity.bronze)
         landed = stored[:-len(INGEST_METADATA)] if stored else entity.schema
         rows, widened = read_landing_files(spark, paths, entity.format, landed)
         store.store_schema("bronze", entity.bronze, bronze_schema(widened))
-        staging = store.batch_path("bronze", entity.bronze, "staging", batch_id)
-        rows.write.mode("overwrite").parquet(staging)
-        files.rename(spark, staging, target)
+        part = store.new_part("bronze", entity.bronze)
+        rows.write.parquet(part)
+        store.commit("bronze", entity.bronze, batch_id, [found[p] for p in paths], data=part)
 
     (
         listing.writeStream.foreachBatch(append)
@@ -65,9 +65,8 @@ def _append_new_files(store: TableStore, entity: Entity, folder: str, max_files:
 def _append_fixed_schema(store: TableStore, entity: Entity, folder: str, max_files: int) -> None:
     """Ingest files that all follow the entity's schema, in one streaming scan."""
     (
-        stream_landing(store.spark, folder, entity, max_files)
-        .writeStream.format("parquet").outputMode("append")
-        .option("path", store.stream_path("bronze", entity.bronze))
+        stream_landing(store.spark, folder, entity, max_files).writeStream
+        .foreachBatch(lambda batch, batch_id: store.append(batch, "bronze", entity.bronze, batch_id))
         .option("checkpointLocation", store.checkpoint_path("bronze", entity.bronze))
         .trigger(availableNow=True).start().awaitTermination()
     )
@@ -75,9 +74,14 @@ def _append_fixed_schema(store: TableStore, entity: Entity, folder: str, max_fil
 
 def refresh_bronze(
     store: TableStore, entity: Entity | str, landing_root: str,
-    evolve: bool = True, max_files: int = MAX_FILES_PER_BATCH,
+    evolve: bool = True, max_files: int = MAX_FILES_PER_BATCH, archived: bool = False,
 ) -> None:
-    """Ingest the files that are new since the last run; a run without any adds nothing."""
+    """Ingest the files that are new since the last run; a run without any adds nothing.
+
+    Landing files that were ingested must stay as they were: one that was rewritten raises
+    ``SourceRewritten``, and so does a missing one unless ``archived`` says that files may leave.
+    (With a fixed schema the log does not name landing files, and they are not compared.)
+    """
     if isinstance(entity, str):
         entity = ENTITIES[entity]
     folder = f"{landing_root.rstrip('/')}/{entity.name}"
@@ -85,5 +89,7 @@ def refresh_bronze(
         store.open_stream_version("bronze", entity.bronze)
     if store.stored_schema("bronze", entity.bronze) is None:
         store.store_schema("bronze", entity.bronze, bronze_schema(entity.schema))
+    ingested = store.commit_log("bronze", entity.bronze).entries().select(F.inline("sources"))
+    refuse_changes(ingested, folder, f"landing files of {entity.name}", archived)
     ingest = _append_new_files if evolve else _append_fixed_schema
     ingest(store, entity, folder, max_files)

@@ -23,8 +23,7 @@ def append_stream(store: TableStore, df: DataFrame, layer: str, table: str) -> S
     """Append a stream to a streaming table until its input is used up."""
     store.store_schema(layer, table, df.schema)
     query = (
-        df.writeStream.format("parquet").outputMode("append")
-        .option("path", store.stream_path(layer, table))
+        df.writeStream.foreachBatch(lambda batch, batch_id: store.append(batch, layer, table, batch_id))
         .option("checkpointLocation", store.checkpoint_path(layer, table))
         .trigger(availableNow=True).start()
     )
@@ -35,35 +34,26 @@ def append_stream(store: TableStore, df: DataFrame, layer: str, table: str) -> S
 def append_checked(store: TableStore, cleaned: DataFrame, entity: str) -> None:
     """Append a cleaned stream: good rows to silver, dropped ones to quarantine, rule counts to ``dq``.
 
-    A batch is written once, split by a flag, and moved into place when complete.  Its
-    counts come from the stored rows of both parts, so a re-run task cannot count twice,
-    and a repeated batch finds what it wrote before.
+    A batch is written once, split by a flag; its counts come from the stored rows of both parts, so
+    a re-run task cannot count twice.  One commit makes all three visible, and a repeated batch finds it.
     """
     spark, table = store.spark, ENTITIES[entity].silver
     store.store_schema("silver", table, cleaned.schema)
     rules = RULES[entity]
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        data = f"{store.stream_path('silver', table)}/batch-{batch_id}"
-        held = store.batch_path("silver", table, "quarantine", batch_id)
-        counts = store.batch_path("silver", table, "dq", batch_id)
-        if files.exists(spark, data):
+        if store.is_committed("silver", table, batch_id):
             # Only the stream's own state has to be brought up to date.
             batch.write.format("noop").mode("overwrite").save()
-        else:
-            staging = store.batch_path("silver", table, "staging", batch_id)
-            flagged = batch.withColumn("dropped", violates_drop_rule(rules))
-            flagged.write.mode("overwrite").partitionBy("dropped").parquet(staging)
-            for part, target in (("dropped=true", held), ("dropped=false", data)):
-                if files.exists(spark, f"{staging}/{part}"):
-                    if not files.exists(spark, target):
-                        files.rename(spark, f"{staging}/{part}", target)
-                else:
-                    files.make_folder(spark, target)
-        if not files.exists(spark, f"{counts}/_SUCCESS"):
-            checked = spark.read.schema(batch.schema).parquet(data, held)
-            dq_metrics(checked, rules, table).withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1).write.mode(
-                "overwrite").parquet(counts)
+            return
+        part = store.new_part("silver", table)
+        batch.withColumn("dropped", violates_drop_rule(rules)).write.partitionBy("dropped").parquet(f"{part}/rows")
+        data, held, counts = f"{part}/rows/dropped=false", f"{part}/rows/dropped=true", f"{part}/dq"
+        for folder in (data, held):
+            files.make_folder(spark, folder)
+        checked = spark.read.schema(batch.schema).parquet(data, held)
+        dq_metrics(checked, rules, table).withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1).write.parquet(counts)
+        store.commit("silver", table, batch_id, data=data, quarantine=held, dq=counts)
 
     (
         cleaned.writeStream.foreachBatch(append)
@@ -89,9 +79,11 @@ def refresh_silver(store: TableStore, entity: str, max_files: int = MAX_FILES_PE
     if not store.stream_version("silver", target):
         store.open_stream_version("silver", target)
     store.bind_source("silver", target, "bronze", source)
-    last = stored_metrics(store, entity).agg(F.max("batch_id")).first()[0]
-    append_checked(store, CLEANERS[entity](store.read_stream("bronze", source, max_files)), entity)
-    new = stored_metrics(store, entity).where(F.col("batch_id") > (-1 if last is None else last))
+    last, there = store.commit_log("silver", target).last(), store.commit_log("bronze", source).last()
+    rows = store.read_stream("bronze", source, max_files, store.source_position("silver", target))
+    append_checked(store, CLEANERS[entity](rows), entity)
+    store.advance_source("silver", target, there)
+    new = stored_metrics(store, entity).where(F.col("batch_id") > last)
     per_rule = new.groupBy("rule").agg(F.sum("rows_checked").alias("n"), F.sum("rows_failed").alias("failed")).collect()
     if not per_rule:
         return {}

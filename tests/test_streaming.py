@@ -157,14 +157,121 @@ def test_a_repeated_batch_neither_doubles_rows_nor_counts(spark, place):
     assert stored_metrics(store, "payments").where("rule = 'valid_order_ref'").first().rows_checked == 4
 
 
-def test_a_half_written_batch_is_written_again(spark, place):
+SELLERS = "seller_id,seller_name,seller_city,seller_state\n"
+
+
+class Stopped(RuntimeError):
+    pass
+
+
+def test_a_batch_stopped_before_its_commit_is_not_there(spark, place, monkeypatch):
+    """Half of the files of a batch, or all of them without the commit: nothing of it is read, and nothing is lost."""
     landing, store = place
-    drop_file(f"{landing}/sellers", "a.csv", "seller_id,seller_name,seller_city,seller_state\ns1,n,c,s\n")
-    store.open_stream_version("bronze", "br_sellers")
-    half = store.batch_path("bronze", "br_sellers", "staging", 0)
-    spark.range(3).write.parquet(half)
+    drop_file(f"{landing}/sellers", "a.csv", SELLERS + "s1,n,c,s\ns2,n,c,s\n")
     refresh_bronze(store, "sellers", landing)
-    assert store.read("bronze", "br_sellers").count() == 1
+    drop_file(f"{landing}/sellers", "b.csv", SELLERS + "s3,n,c,s\ns4,n,c,s\n")
+    commit = TableStore.commit
+
+    def stop(self, layer, table, batch_id, sources=(), **parts):
+        # A store without renames: the files are there one by one, this one got half of them.
+        for folder in parts.values():
+            for f in [f for f in os.listdir(folder) if f.endswith(".parquet")][::2]:
+                os.replace(f"{folder}/{f}", f"{folder}/_gone")
+        raise Stopped
+
+    for layer, again in (("bronze", lambda: refresh_bronze(store, "sellers", landing)),
+                         ("silver", lambda: refresh_silver(store, "sellers"))):
+        table = ENTITIES["sellers"].bronze if layer == "bronze" else ENTITIES["sellers"].silver
+        monkeypatch.setattr(TableStore, "commit", stop)
+        with pytest.raises(StreamingQueryException):
+            again()
+        before = store.read(layer, table).count()
+        assert before == (2 if layer == "bronze" else 0)
+        monkeypatch.setattr(TableStore, "commit", commit)
+        again()
+        ids = sorted(r.seller_id for r in store.read(layer, table).collect())
+        assert ids == ["s1", "s2", "s3", "s4"]
+    assert refresh_silver(store, "sellers") == {}
+
+
+def test_a_commit_cut_short_counts_as_not_written(spark, place):
+    landing, store = place
+    drop_file(f"{landing}/sellers", "a.csv", SELLERS + "s1,n,c,s\n")
+    refresh_bronze(store, "sellers", landing)
+    log = store.commit_log("bronze", "br_sellers")
+    (name,) = [n for n in os.listdir(log.folder) if n.endswith(".json")]
+    text = open(f"{log.folder}/{name}").read()
+    for cut in (0, 1, len(text) // 2, len(text) - 1):
+        drop_file(log.folder, name, text[:cut])
+        os.path.exists(f"{log.folder}/.{name}.crc") and os.remove(f"{log.folder}/.{name}.crc")
+        assert not log.has(0) and log.commits() == [] and log.entries().count() == 0
+        assert store.read("bronze", "br_sellers").count() == 0
+    lose_commit(store.checkpoint_path("bronze", "br_sellers"))
+    refresh_bronze(store, "sellers", landing)
+    assert store.read("bronze", "br_sellers").count() == 1 and log.has(0)
+
+
+def test_many_commits_are_read_in_a_job(spark, place, monkeypatch):
+    _, store = place
+    store.open_stream_version("silver", "t")
+    store.store_schema("silver", "t", spark.range(1).schema)
+    for n in range(5):
+        store.append(spark.range(n, n + 1), "silver", "t", n)
+    few = store.commit_log("silver", "t").commits()
+    monkeypatch.setattr("marlstone.sources.commits.FEW_ENTRIES", 2)
+    assert store.commit_log("silver", "t").commits() == few
+    store.append(spark.range(9, 10), "silver", "t", 3)
+    assert sorted(r.id for r in store.read("silver", "t").collect()) == list(range(5)), "a batch counts once"
+
+
+def test_a_stream_meets_no_file_of_an_open_batch(spark, place):
+    landing, store = place
+    drop_file(f"{landing}/sellers", "a.csv", SELLERS + "s1,n,c,s\n")
+    refresh_bronze(store, "sellers", landing)
+    rows = store.read("bronze", "br_sellers")
+    rows.unionByName(rows).write.parquet(store.new_part("bronze", "br_sellers"))
+    assert refresh_silver(store, "sellers")["rows_checked"] == 1
+    drop_file(f"{landing}/sellers", "b.csv", SELLERS + "s2,n,c,s\n")
+    refresh_bronze(store, "sellers", landing)
+    assert refresh_silver(store, "sellers")["rows_checked"] == 1
+    assert store.source_position("silver", "slv_sellers") == store.commit_log("bronze", "br_sellers").last()
+
+
+def _some_parquet(folder):
+    return next(os.path.join(at, f) for at, _, names in os.walk(folder) for f in names if f.endswith(".parquet"))
+
+
+@pytest.mark.parametrize("change", ["rewritten", "removed"])
+def test_files_changed_inside_a_version_are_refused(spark, place, change):
+    landing, store = place
+    drop_file(f"{landing}/sellers", "a.csv", SELLERS + "s1,n,c,s\n")
+    refresh_bronze(store, "sellers", landing)
+    refresh_silver(store, "sellers")
+    path = _some_parquet(f"{store.root}/bronze/br_sellers/v=1/parts")
+    if change == "removed":
+        os.replace(path, f"{store.root}/away")
+    else:
+        os.utime(path, (1, 1))
+    with pytest.raises(SourceRewritten, match=change):
+        refresh_silver(store, "sellers")
+    full_refresh(store, "sellers", landing)
+    assert store.read("silver", "slv_sellers").count() == 1
+
+
+def test_landing_files_changed_after_ingest_are_refused(spark, place):
+    landing, store = place
+    drop_file(f"{landing}/sellers", "a.csv", SELLERS + "s1,n,c,s\n")
+    drop_file(f"{landing}/sellers", "b.csv", SELLERS + "s2,n,c,s\n")
+    refresh_bronze(store, "sellers", landing)
+    refresh_bronze(store, "sellers", landing)
+    os.replace(f"{landing}/sellers/b.csv", f"{landing}/b.csv")
+    with pytest.raises(SourceRewritten, match="removed"):
+        refresh_bronze(store, "sellers", landing)
+    refresh_bronze(store, "sellers", landing, archived=True)
+    drop_file(f"{landing}/sellers", "a.csv", SELLERS + "s1,n,c,s\ns9,n,c,s\n")
+    with pytest.raises(SourceRewritten, match="rewritten"):
+        refresh_bronze(store, "sellers", landing, archived=True)
+    assert store.read("bronze", "br_sellers").count() == 2
 
 
 def test_lines_that_do_not_fit_are_kept_whole(spark, place):
