@@ -120,9 +120,8 @@ def test_hot_keys_are_few_by_construction(spark, monkeypatch):
     df = spark.range(1000).select((F.col("id") % 7).alias("k")).unionByName(
         spark.range(1000).select((F.col("id") + 100).alias("k")))
     hot = history.hot_keys(df, ["k"], hot_rows=1)
-    assert hot.count() < 10
-    assert hot.count() == 0 or all(r.k < 7 for r in hot.collect())
-    assert history.hot_keys(df.where("k < 3"), ["k"], hot_rows=1).count() == 3
+    assert len(hot) < 10 and {r.k for r in hot} <= set(range(7))
+    assert len(history.hot_keys(df.where("k < 3"), ["k"], hot_rows=1)) == 3
 
 
 def test_start_is_inclusive_and_end_exclusive(spark):
@@ -130,3 +129,40 @@ def test_start_is_inclusive_and_end_exclusive(spark):
     rows = spark.createDataFrame([("a", day(0)), ("a", day(1)), ("a", day(2)), ("a", day(9))], "k string, t timestamp")
     found = version_start_at(rows, dimension, ["k"], "t", "valid_from", "v").orderBy("t").collect()
     assert [r.v for r in found] == [None, day(1), day(2), day(2)]
+
+
+def test_sketch_misses_no_hot_key(spark):
+    """Many keys of one row, some with many: exact counts decide, and no others are counted."""
+    df = spark.range(0, 300_000, 1, 6).select(
+        F.when(F.col("id") % 10 == 0, F.lit(-1)).when(F.col("id") % 100 == 1, F.lit(-2)).otherwise(F.col("id")).alias("k"))
+    assert {(r.k, r["_rows"]) for r in history.hot_keys(df, ["k"], hot_rows=2_000)} == {(-1, 30_000), (-2, 3_000)}
+    assert history.frequent_hashes(df.limit(0), ["k"], 1) == []
+    assert len(history.frequent_hashes(df, ["k"], 1_000)) == 2
+
+
+def test_no_key_is_shuffled_when_none_is_hot(spark):
+    """Without hot keys history and lookup move rows once, by key, and read every input once."""
+    log = spark.createDataFrame(_random_log(1), "k string, ts timestamp, city string")
+    plan = scd2_versions(log, ["k"], "ts", track=["city"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    dimension = scd2_versions(log, ["k"], "ts").withColumnRenamed(START, "valid_from")
+    rows = log.select("k", F.col("ts").alias("t"))
+    looked_up = point_in_time_join(rows, dimension, "k", "t", ["city"])
+    plan = looked_up._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == 2 and "Join" not in plan
+
+
+@pytest.mark.parametrize("hot_rows", [10 ** 9, 5])
+def test_a_null_key_is_a_key_in_the_history(spark, hot_rows, everything_is_hot):
+    log = [(None, day(i % 50), f"c{i % 3}") for i in range(60)] + [("a", day(1), "x")]
+    df = spark.createDataFrame(log, "k string, ts timestamp, city string")
+    got = scd2_versions(df, ["k"], "ts", hot_rows=hot_rows).select("k", "city", START, END).collect()
+    assert sorted((tuple(r) for r in got), key=str) == _brute_versions(log)
+
+
+def test_rows_of_one_crowded_moment_are_spread(spark, everything_is_hot):
+    rows = spark.createDataFrame([("a", day(3), i) for i in range(400)] + [(None, day(3), -1)], "k string, t timestamp, i int")
+    dimension = spark.createDataFrame([("a", day(1), "old"), ("a", day(2), "new"), ("a", None, "never")],
+                                      "k string, valid_from timestamp, city string")
+    got = point_in_time_join(rows, dimension, "k", "t", ["city"], hot_rows=20)
+    assert {(r.k, r.city) for r in got.collect()} == {("a", "new"), (None, None)} and got.count() == 401
