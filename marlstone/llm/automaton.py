@@ -13,9 +13,9 @@ they were copied from.  Copies of the states behind one token share one such lis
 gadgets up to its own last number.  That is all an arc test needs, and there are at most as many states
 as merges.  Tests are kept in a table, state by state, as words use them.
 
-A word is encoded by walking its characters: from every place that a path has reached, the arcs
-spelled by the next characters are followed.  Every prefix has one path, so no step is undone.
-Decoding writes the label of each arc.
+A word is encoded by following arcs that its next characters spell, the longest first.  Every prefix of a
+word has one path, so a place has one state however it was reached: a place without a way on is
+left for good, and no place is searched twice.  Decoding writes the label of each arc.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import re
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -30,23 +31,23 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.common import Memo, encoded, map_batches, per_process, table
 
-MEMO_CHUNKS = 300_000
+MEMO_WORDS, MEMO_CHUNKS = 250_000, 50_000
 # Longer chunks and words are not kept.
 KEPT_LENGTH = 100
-# Printable ASCII without the space: the byte alphabet writes these characters as they are.
-_PLAIN = re.compile(rb"[!-~]+")
-TABLE_ARCS = 4_000_000
+# Texts of ASCII and Latin letters: nothing to compose, and every edition of Unicode reads them alike.
+_PLAIN = re.compile("[\t-\r -~\xa0-\u024f]*")
+TABLE_ARCS = 400_000
+# Rows whose ids a task holds as Python integers at a time.
+ROWS = 64
 
 
 class MergeAutomaton:
     """States, arcs and labels of one merge list."""
 
     def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], end: str = ""):
-        self.labels = {i: t for t, i in vocabulary.items()}
         self.end = end
         self.left: dict[int, int] = {}
         self.made: dict[int, int] = {}
-        self.behind: dict[int, int] = {}
         # By state: what it was copied from, lost arcs, the last gadget that counts, the token it stands behind.
         self.copied_from = [-1]
         self.lost: list[dict[int, int]] = [{}]
@@ -56,6 +57,7 @@ class MergeAutomaton:
         results = {vocabulary[u + v] for u, v in merges}
         self.base = {t: i for t, i in vocabulary.items() if i not in results}
         self.behind = dict.fromkeys(self.base.values(), 0)
+        self.seen: set[int] = set()
         for number, (u, v) in enumerate(merges):
             self._add_gadget(number, vocabulary[u], vocabulary[v], vocabulary[u + v])
         self._spell(vocabulary)
@@ -63,8 +65,11 @@ class MergeAutomaton:
         self.tested = 0
 
     def _add_gadget(self, number: int, u: int, v: int, w: int) -> None:
-        if w in self.behind:
+        if w in self.seen:
             raise ValueError(f"two merges make token {w}")
+        self.seen.add(w)
+        if u not in self.behind or v not in self.behind or not self.has_arc(self.behind[u], v):
+            return  # an earlier merge takes the parts apart: no word ever gets to w
         self.left[w], self.made[w] = u, number
         self.behind[w] = self.behind[v]
         self.shared[self.behind[v]] = True
@@ -82,15 +87,15 @@ class MergeAutomaton:
         self.lost[state][v] = number
 
     def _spell(self, vocabulary: dict[str, int]) -> None:
-        """The arcs by the symbols that spell them: nested tables, a token under ``None``."""
-        self.root: dict = {}
+        """The arcs by the symbols that spell them: nested pairs of a token, if one ends here, and what follows."""
+        self.root: list = [None, {}]
         for token, number in vocabulary.items():
             if number not in self.behind:
                 continue
             node = self.root
             for symbol in self.symbols(token):
-                node = node.setdefault(symbol, {})
-            node[None] = number
+                node = node[1].setdefault(symbol, [None, {}])
+            node[0] = number
 
     def symbols(self, spelled: str) -> list[str]:
         """Characters, the last one together with the mark of a word's end."""
@@ -125,41 +130,47 @@ class MergeAutomaton:
     def encode(self, word: str) -> tuple[int, ...]:
         """Ids of one pre-split word; its mark of the end is added here."""
         symbols = self.symbols(word + self.end)
-        n = len(symbols)
-        arrived: list = [None] * (n + 1)
-        start = [0] * (n + 1)
-        state, behind, root = 0, self.behind, self.root
-        for i in range(n):
-            if i:
-                state = behind[arrived[i]]
-            row = self.table[state]
-            node = root
+        n, first = len(symbols), self.root[1]
+        i, state, ids, before, dead = 0, 0, [], [], set()
+        while i < n:
+            follow, spelled = first, []
             for j in range(i, n):
-                node = node.get(symbols[j])
+                node = follow.get(symbols[j])
                 if node is None:
                     break
-                token = node.get(None)
-                if token is not None and arrived[j + 1] is None:
+                token, follow = node
+                if token is not None:
+                    spelled.append((token, j + 1))
+            while True:
+                row = self.table[state]
+                while spelled:
+                    token, j = spelled.pop()
                     open_ = row.get(token)
                     if open_ is None:
                         open_ = self._known(state, token)
                         row = self.table[state]
-                    if open_:
-                        arrived[j + 1], start[j + 1] = token, i
-            if arrived[i + 1] is None:
-                raise ValueError(f"no base symbol for {symbols[i]!r}")
-        ids = []
-        while n:
-            ids.append(arrived[n])
-            n = start[n]
-        return tuple(ids[::-1])
+                    if open_ and j not in dead:
+                        break
+                else:
+                    if not before:
+                        raise ValueError(f"no base symbols for {word!r}")
+                    dead.add(i)
+                    i, state, spelled = before.pop()
+                    ids.pop()
+                    continue
+                break
+            before.append((i, state, spelled))
+            ids.append(token)
+            i, state = j, self.behind[token]
+        return tuple(ids)
 
 
 class WordEncoder:
     """Ids of whole texts: cut at white space, pre-split, then the automaton.
 
-    White space only separates words here, so a text is the row of its chunks; chunks repeat and
-    are looked up.  Added tokens are found in the text before anything else, as the library does.
+    Plain texts are lower-cased and cut by the tokenizer's word pattern.  Others go chunk by chunk
+    (white space only separates words here) through the library's normaliser and word split, added
+    tokens first.  Words and chunks repeat and are looked up.
     """
 
     def __init__(self, path: str):
@@ -171,18 +182,18 @@ class WordEncoder:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = MergeAutomaton(model["vocab"], merges, model["end_of_word_suffix"] or "")
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.labels = self.automaton.labels | {i: t for t, i in self.added.items()}
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in self.added) + ")")
         # Only the text forms are taken from the library: its normaliser and its word split.
         library = Tokenizer.from_file(path)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
         self.plain_words = self._plain_split(spec)
+        self.letters = _byte_letters()
         self.chunk_ids = Memo(self._chunk, MEMO_CHUNKS)
-        self.word_ids = Memo(self.automaton.encode, MEMO_CHUNKS)
+        self.word_ids = Memo(self._encode, MEMO_WORDS)
 
     @staticmethod
     def _plain_split(spec: dict):
-        """The word pattern, where printable ASCII needs no more than lower case and this pattern."""
+        """The word pattern, where plain texts need no more than lower case and this pattern."""
         steps = [s["type"] for s in (spec["normalizer"] or {}).get("normalizers", [])]
         cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
@@ -192,40 +203,66 @@ class WordEncoder:
             return None
         return regex.compile(split["pattern"]["Regex"]).findall
 
-    def _words(self, part: str) -> list[str]:
-        return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(part))]
+    def _encode(self, word: str) -> tuple[int, ...]:
+        if not word.isascii():
+            word = "".join(map(self.letters.__getitem__, word.encode()))
+        return self.automaton.encode(word)
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        return self.word_ids[word] if len(word) < KEPT_LENGTH else self._encode(word)
 
-    def _chunk(self, chunk: bytes) -> tuple:
-        text, ids = chunk.decode(), []
-        if self.plain_words and _PLAIN.fullmatch(chunk) and b"<|" not in chunk:
-            words = self.plain_words(text.lower())
-            return self._word(words[0]) if len(words) == 1 else tuple(i for w in words for i in self._word(w))
-        for part in self.cut.split(text):
+    def _chunk(self, chunk: bytes) -> tuple[int, ...]:
+        ids: list[int] = []
+        for part in self.cut.split(chunk.decode()):
             if part in self.added:
                 ids.append(self.added[part])
             elif part:
-                for word in self._words(part):
-                    ids += self._word(word)
+                for word, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(part)):
+                    ids += self.automaton.encode(word)
         return tuple(ids)
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        return self.word_ids[word] if len(word) < KEPT_LENGTH else self.automaton.encode(word)
-
     def ids(self, text: str | None) -> list[int]:
-        known, out = self.chunk_ids, []
+        out: list[int] = []
+        if not text:
+            return out
+        if self.plain_words and _PLAIN.fullmatch(text) and "<|" not in text:
+            for word in self.plain_words(text.lower()):
+                out += self._word(word)
+            return out
         for chunk in encoded(text).split():
-            out += known[chunk] if len(chunk) < KEPT_LENGTH else self._chunk(chunk)
+            out += self.chunk_ids[chunk] if len(chunk) < KEPT_LENGTH else self._chunk(chunk)
         return out
 
-    def text(self, ids: list[int]) -> str:
-        """The labels of the arcs; this tokenizer has no decoder, so they stand one space apart."""
-        return " ".join(map(self.labels.__getitem__, ids))
+
+def _byte_letters() -> list[str]:
+    """The byte alphabet: visible Latin-1 characters stand for themselves, other bytes for the characters from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b) if b in visible else chr(next(hidden)) for b in range(256)]
+
+
+def arc_labels(path: str) -> dict[int, str]:
+    """What each arc writes, added tokens included."""
+    with open(path, encoding="utf-8") as source:
+        spec = json.load(source)
+    if spec["decoder"] is not None:
+        raise ValueError("labels of this tokenizer are not its decoded text")
+    return {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+
+
+def decoded_text(ids, labels: dict[int, str]) -> str:
+    """The labels of the arcs; without a decoder of its own, the tokenizer sets them one space apart."""
+    return " ".join(map(labels.__getitem__, ids))
 
 
 def _encoder(path: str) -> WordEncoder:
     return per_process(("merge_automaton", path), lambda: WordEncoder(path))
 
 
+def _by_rows(column: pa.Array, f) -> pa.Array:
+    return pa.concat_arrays([f(column.slice(i, ROWS)) for i in range(0, len(column), ROWS)])
+
+
 def encode_texts(docs: DataFrame, tokenizer: str, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """``ident`` and ``ids`` (array of int) of every row, without start, end or padding.
 
@@ -237,9 +274,11 @@ def encode_texts(docs: DataFrame, tokenizer: str, ident: str = "doc_id", text: s
     def make():
         encoder = _encoder(tokenizer)
 
+        def encoded_rows(texts):
+            return pa.array([encoder.ids(t) for t in texts.to_pylist()], pa.list_(pa.int32()))
+
         def work(batch):
-            ids = [encoder.ids(t) for t in batch.column(1).to_pylist()]
-            return {ident: batch.column(0), "ids": pa.array(ids, pa.list_(pa.int32()))}
+            return {ident: batch.column(0), "ids": _by_rows(batch.column(1), encoded_rows)}
 
         return work
 
@@ -250,11 +289,16 @@ def encode_texts(docs: DataFrame, tokenizer: str, ident: str = "doc_id", text: s
 def decode_ids(rows: DataFrame, tokenizer: str, ident: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``ident``, ``ids`` and the ``decoded`` text of every row; null ids count as none."""
     def make():
-        encoder = _encoder(tokenizer)
+        labels = per_process(("arc_labels", tokenizer), lambda: arc_labels(tokenizer))
+
+        def decoded_rows(lists):
+            flat = lists.flatten().to_numpy().tolist()
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy()).tolist()
+            return pa.array([decoded_text(flat[a:b], labels) for a, b in zip([0, *ends], ends)], pa.string())
 
         def work(batch):
-            texts = [encoder.text(one or ()) for one in batch.column(1).to_pylist()]
-            return {ident: batch.column(0), ids: batch.column(1), "decoded": pa.array(texts, pa.string())}
+            lists = batch.column(1)
+            return {ident: batch.column(0), ids: lists, "decoded": _by_rows(lists, decoded_rows)}
 
         return work
 
