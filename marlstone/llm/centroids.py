@@ -37,8 +37,10 @@ def integer_vector(vector: Column, scale: int = SCALE) -> Column:
     """floor(scale * x) of each component, x as double."""
     def whole(x):
         scaled = F.floor(F.lit(float(scale)) * x.cast("double"))
-        return F.when(F.abs(scaled) < LARGEST, scaled).otherwise(
-            F.raise_error(F.lit(f"a component is {LARGEST} or more after scaling; distances would not fit a long")))
+        too_large = F.raise_error(F.lit(f"a component is {LARGEST} or more after scaling; distances would not fit a long"))
+        # The planner may ask this of vectors that are left out later: their components must not raise.
+        return F.when(~(F.abs(x.cast("double")) < F.lit(float("inf"))), F.lit(None)).when(
+            F.abs(scaled) >= LARGEST, too_large).otherwise(scaled)
 
     return F.transform(vector, whole)
 

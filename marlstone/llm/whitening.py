@@ -35,8 +35,10 @@ def shifted_integers(vector: Column, scale: int = SCALE, shift: int = SHIFT) ->
     """floor(scale * c) + shift of each entry, c as double."""
     def whole(c):
         scaled = F.floor(F.lit(float(scale)) * c.cast("double"))
-        return F.when(F.abs(scaled) < LARGEST, scaled + F.lit(shift)).otherwise(
-            F.raise_error(F.lit(f"an entry is {LARGEST} or more after scaling")))
+        too_large = F.raise_error(F.lit(f"an entry is {LARGEST} or more after scaling"))
+        # The planner may ask this of vectors that are left out later: their entries must not raise.
+        return F.when(~(F.abs(c.cast("double")) < F.lit(float("inf"))), F.lit(None)).when(
+            F.abs(scaled) >= LARGEST, too_large).otherwise(scaled + F.lit(shift))
 
     return F.transform(vector, whole)
 
