@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +67,27 @@ class TableStore:
         writer.parquet(self.version_path(layer, table, version))
         return version
 
+    def state_of(self, layer: str, table: str) -> str:
+        """What tells whether a table changed: its version, and the last batch of a streaming table."""
+        if self.stream_version(layer, table):
+            return f"{layer}.{table} s{self.stream_version(layer, table)}.{self.commit_log(layer, table).last()}"
+        return f"{layer}.{table} v{self.finished_version(layer, table)}"
+
+    def refresh_view(
+        self, layer: str, table: str, inputs: Sequence[tuple[str, str]], build: Callable[[], DataFrame], note: str = "",
+    ) -> bool:
+        """Publish a view unless it was made from the present state of its inputs; says whether it was.
+
+        ``note`` stands for whatever else the view depends on, such as parameters.
+        """
+        made_from = "\n".join([*[self.state_of(*i) for i in inputs], note])
+        newest = self.finished_version(layer, table)
+        if newest and files.read_text(self.spark, f"{self.version_path(layer, table, newest)}/_inputs") == made_from:
+            return False
+        version = self.publish(build(), layer, table)
+        files.write_text(self.spark, f"{self.version_path(layer, table, version)}/_inputs", made_from)
+        return True
+
     def read(self, layer: str, table: str) -> DataFrame:
         """Batch read of the newest version of a view or streaming table."""
         if self.stream_version(layer, table):
@@ -123,13 +144,32 @@ class TableStore:
     def checkpoint_path(self, layer: str, table: str) -> str:
         return f"{self._stream_folder(layer, table)}/checkpoint"
 
-    def read_parts(self, layer: str, table: str, kind: str, schema: T.StructType | str) -> DataFrame:
-        """The ``data``, ``quarantine`` or ``dq`` rows of all committed batches of a streaming table."""
-        folders = [parts[kind] for _, parts in self.commit_log(layer, table).commits() if kind in parts]
+    def read_parts(
+        self, layer: str, table: str, kind: str, schema: T.StructType | str, buckets: set[int] | None = None
+    ) -> DataFrame:
+        """The ``data``, ``quarantine`` or ``dq`` rows of all committed batches of a streaming table.
+
+        Of a table kept in buckets, every bucket's newest folder, or those of ``buckets`` only.
+        """
+        folders = []
+        newest: dict[str, str] = {}
+        for _, parts in self.commit_log(layer, table).commits():
+            if kind in parts:
+                folders.append(parts[kind])
+            # Buckets (``kind/number``) hold what was committed for them last.
+            newest |= {name: folder for name, folder in parts.items() if name.startswith(f"{kind}/")}
+        folders += [f for name, f in newest.items() if buckets is None or int(name.rpartition("/")[2]) in buckets]
         if not folders:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*folders)
 
+    def read_batches(self, layer: str, table: str, after: int, upto: int) -> DataFrame:
+        """The rows of the batches committed above ``after`` and up to ``upto``."""
+        schema = self.stored_schema(layer, table)
+        commits = self.commit_log(layer, table).commits()
+        folders = [parts["data"] for n, parts in commits if after < n <= upto and "data" in parts]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
     def stored_schema(self, layer: str, table: str) -> T.StructType | None:
         folder = f"{self.version_path(layer, table, self.stream_version(layer, table))}/schema"
         numbers = [int(n) for n in files.child_names(self.spark, folder) if n.isdigit()]
@@ -166,17 +206,28 @@ class TableStore:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(path)
 
+    def note(self, layer: str, table: str, name: str, text: str | None = None) -> str | None:
+        """A small text kept with a version of a streaming table; written once, or read."""
+        path = f"{self._stream_folder(layer, table)}/{name}"
+        if text is not None:
+            files.write_text(self.spark, path, text)
+        return files.read_text(self.spark, path) if text is None else text
+
+    def is_bound_elsewhere(self, layer: str, table: str, source_layer: str, source: str) -> bool:
+        """Whether a stream started from another version of its source than the present one."""
+        bound = self.note(layer, table, "source")
+        return bound is not None and bound != f"{source_layer}.{source} v{self.stream_version(source_layer, source)}"
+
     def bind_source(self, layer: str, table: str, source_layer: str, source: str) -> None:
         """Tie a stream to the version of its source it started from, and to the files of that version.
 
         A file stream would read rewritten files a second time, or miss what was removed, without a
         word; this check refuses instead, and a full refresh resolves it.
         """
-        path = f"{self._stream_folder(layer, table)}/source"
         current = f"{source_layer}.{source} v{self.stream_version(source_layer, source)}"
-        bound = files.read_text(self.spark, path)
+        bound = self.note(layer, table, "source")
         if bound is None:
-            files.write_text(self.spark, path, current)
+            self.note(layer, table, "source", current)
         elif bound != current:
             raise SourceRewritten(
                 f"{layer}.{table} was built from {bound}, its source is now {current}; "

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from marlstone.operators.governance import tag_column
 from marlstone.operators.history import unsequenced
 from marlstone.plans import dimensions, marts
 from marlstone.plans.facts import fct_sales
@@ -13,13 +12,15 @@ from marlstone.session import configure
 from marlstone.sources.calendar import calendar_days, calendar_span
 from marlstone.sources.tables import TableStore
 from marlstone.streaming.bronze import refresh_bronze
+from marlstone.streaming.history import refresh_history
 from marlstone.streaming.silver import refresh_silver
 
 
-def refresh_gold(store: TableStore, first: str | None = None, last: str | None = None) -> None:
-    """Rebuild every gold table from the silver tables of this moment.
+def refresh_gold(store: TableStore, first: str | None = None, last: str | None = None) -> list[str]:
+    """Bring every gold table up to date with the silver tables; returns the ones that were written.
 
-    The calendar spans the orders, so no sale falls outside it, unless bounds are given.
+    The customer history takes in new changes only.  A view whose inputs are as they were when it was
+    made is left alone.  The calendar spans the orders, so no sale falls outside it, unless bounds are given.
     Changes of customers without a date have no place in the history; they are kept in
     ``dim_customer_quarantine``.
     """
@@ -29,34 +30,46 @@ def refresh_gold(store: TableStore, first: str | None = None, last: str | None =
     def gold(name):
         return store.read("gold", name)
 
-    customer_history = dimensions.dim_customer(silver("customers"))
-    days = calendar_days(store.spark, first, last) if first and last else calendar_span(silver("orders"), "order_ts")
-    store.publish(dimensions.describe_days(days), "gold", "dim_date")
-    store.publish(unsequenced(silver("customers"), "signup_ts"), "gold", "dim_customer_quarantine")
-    store.publish(dimensions.dim_product(silver("products")), "gold", "dim_product")
-    store.publish(dimensions.dim_seller(silver("sellers")), "gold", "dim_seller")
-    store.publish(tag_column(customer_history, "email", "sensitivity", "pii"), "gold", "dim_customer")
-    store.publish(dimensions.dim_customer_keyed(gold("dim_customer")), "gold", "dim_customer_keyed")
-    store.publish(
-        fct_sales(
-            silver("order_items"), silver("orders"), gold("dim_customer_keyed"),
-            gold("dim_product"), gold("dim_seller"), gold("dim_date"),
-        ),
-        "gold", "fct_sales",
-    )
-    fact = gold("fct_sales")
-    store.publish(marts.mv_revenue_daily(fact, gold("dim_date")), "gold", "mv_revenue_daily")
-    store.publish(marts.mv_sales_by_category(fact, gold("dim_product")), "gold", "mv_sales_by_category")
-    store.publish(marts.mv_sales_by_state(fact, gold("dim_customer_keyed")), "gold", "mv_sales_by_state")
-    store.publish(marts.mv_order_funnel(silver("orders"), fact), "gold", "mv_order_funnel")
-    store.publish(marts.mv_review_summary(silver("reviews")), "gold", "mv_review_summary")
+    def of(*names):
+        return [("silver", f"slv_{n}") if n in ENTITIES else ("gold", n) for n in names]
+
+    def days():
+        return calendar_days(store.spark, first, last) if first and last else calendar_span(silver("orders"), "order_ts")
+
+    before = store.state_of("gold", "dim_customer")
+    refresh_history(store, ("silver", "slv_customers"), ("gold", "dim_customer"), ["customer_id"], "signup_ts",
+                    tags={"email": {"sensitivity": "pii"}})
+    views = [
+        ("dim_date", of("orders"), lambda: dimensions.describe_days(days())),
+        ("dim_customer_quarantine", of("customers"), lambda: unsequenced(silver("customers"), "signup_ts")),
+        ("dim_product", of("products"), lambda: dimensions.dim_product(silver("products"))),
+        ("dim_seller", of("sellers"), lambda: dimensions.dim_seller(silver("sellers"))),
+        ("dim_customer_keyed", of("dim_customer"), lambda: dimensions.dim_customer_keyed(gold("dim_customer"))),
+        ("fct_sales", of("order_items", "orders", "dim_customer_keyed", "dim_product", "dim_seller", "dim_date"),
+         lambda: fct_sales(silver("order_items"), silver("orders"), gold("dim_customer_keyed"),
+                           gold("dim_product"), gold("dim_seller"), gold("dim_date"))),
+        ("mv_revenue_daily", of("fct_sales", "dim_date"),
+         lambda: marts.mv_revenue_daily(gold("fct_sales"), gold("dim_date"))),
+        ("mv_sales_by_category", of("fct_sales", "dim_product"),
+         lambda: marts.mv_sales_by_category(gold("fct_sales"), gold("dim_product"))),
+        ("mv_sales_by_state", of("fct_sales", "dim_customer_keyed"),
+         lambda: marts.mv_sales_by_state(gold("fct_sales"), gold("dim_customer_keyed"))),
+        ("mv_order_funnel", of("orders", "fct_sales"),
+         lambda: marts.mv_order_funnel(silver("orders"), gold("fct_sales"))),
+        ("mv_review_summary", of("reviews"), lambda: marts.mv_review_summary(silver("reviews"))),
+    ]
+    written = [] if store.state_of("gold", "dim_customer") == before else ["dim_customer"]
+    bounds = f"{first} {last}"
+    return written + [
+        name for name, inputs, build in views
+        if store.refresh_view("gold", name, inputs, build, bounds if name == "dim_date" else "")]
 
 
 def run_medallion(
     spark: SparkSession, landing_root: str, table_root: str,
     first: str | None = None, last: str | None = None, evolve: bool = True,
 ) -> dict[str, dict[str, int]]:
-    """Ingest what is new, cleanse it, rebuild gold.
+    """Ingest what is new, cleanse it, bring gold up to date.
 
     Returns the rule counts per entity, and the rows kept out of the customer history.
     """

@@ -370,6 +370,7 @@ def oracle_sql() -> dict[str, str]:
                         "CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS order_ts, "
                         "o_totalprice AS order_total FROM orders",
         "append_only_guard": _sql(_SELLERS, "SELECT true AS refused, count(*) AS row_count FROM slv_sellers"),
+        "guard_rewritten_file": _sql(_SELLERS, "SELECT true AS refused, count(*) AS row_count FROM slv_sellers"),
         "stream_table_scan": "SELECT * FROM events",
         "batch_table_scan": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
         "literal_row_union": _sql(_PRODUCTS, """
@@ -452,6 +453,7 @@ def oracle_sql() -> dict[str, str]:
         "scd2_customer": _sql(_CHANGES, "SELECT * FROM versions"),
         "scd2_hot_keys": _sql(_CHANGES, "SELECT * FROM versions"),
         "scd2_out_of_order": _sql(_CHANGES, "SELECT * FROM versions"),
+        "scd2_incremental": _sql(_CHANGES, "SELECT * FROM versions"),
         "scd2_tracked_columns": _sql(_CHANGES, """
             SELECT o_custkey, o_orderpriority, o_orderdate AS start_at,
               lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS end_at
@@ -475,6 +477,15 @@ def oracle_sql() -> dict[str, str]:
         "dim_customer_keyed": _sql(_CUSTOMERS, "SELECT true AS customer_sk, * FROM dim_customer_keyed"),
         "mv_revenue_daily": _sql((*_FACT, _DAILY), "SELECT * FROM mv_daily"),
         "medallion_run": _sql((*_FACT, _DAILY), "SELECT * FROM mv_daily"),
+        "mart_incremental_daily": _sql((*_FACT, _DAILY), "SELECT * FROM mv_daily"),
+        "mart_incremental_category": _sql((*_FACT, _CATEGORY), "SELECT * FROM mv_category"),
+        "mart_incremental_state": _sql((*_FACT, _STATE), "SELECT * FROM mv_state"),
+        "mart_incremental_funnel": _sql((*_FACT, _FUNNEL), "SELECT * FROM mv_funnel"),
+        "mart_incremental_reviews": _sql((_REVIEWS, _SUMMARY), "SELECT * FROM mv_reviews"),
+        "late_arriving_products": _sql((*_FACT_PARTS[:5],), """
+            SELECT i.order_id, i.item_seq, i.product_id, coalesce(p.product_category, 'unknown') AS product_category
+            FROM slv_order_items i JOIN slv_orders o ON i.order_id = o.order_id
+            LEFT JOIN slv_products p ON i.product_id = p.product_id"""),
         "mv_sales_by_category": _sql((*_FACT, _CATEGORY), "SELECT * FROM mv_category"),
         "mv_sales_by_state": _sql((*_FACT, _STATE), "SELECT * FROM mv_state"),
         "mv_order_funnel": _sql((*_FACT, _FUNNEL), "SELECT * FROM mv_funnel"),
@@ -527,6 +538,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT product_id, sum(revenue) AS revenue FROM fct GROUP BY product_id)
             ORDER BY revenue DESC, product_id LIMIT 10"""),
     }
+    sql["scd2_incremental_tracked"] = sql["scd2_tracked_columns"]
     sql["br_order_items"] = sql["ingest_csv"]
     sql["br_reviews"] = sql["ingest_fixed_schema"]
     sql["br_payments"] = _sql(_PAYMENTS, "SELECT order_id, payment_type, CAST(n AS INTEGER) AS installment_count "

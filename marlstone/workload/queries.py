@@ -24,6 +24,8 @@ from marlstone.sources.calendar import calendar_span
 from marlstone.sources.tables import SourceRewritten, TableStore
 from marlstone.streaming import bronze, refresh
 from marlstone.streaming import silver as silver_streams
+from marlstone.streaming.history import refresh_history
+from marlstone.streaming.marts import MartFeed
 from marlstone.workload.standins import RAW, Shop, messy_date
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,8 +57,8 @@ def _rounded(df: DataFrame, **digits: int) -> DataFrame:
 ORDER_COLUMNS = ["order_id", "customer_id", "order_status", "order_date", "order_total"]
 
 
-def _write_csv(df: DataFrame, folder: str) -> None:
-    (df.write.mode("append").option("header", True)
+def _write_csv(df: DataFrame, folder: str, mode: str = "append") -> None:
+    (df.write.mode(mode).option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder))
 
 
@@ -243,6 +245,30 @@ def append_only_guard(shop):
     )
 
 
+@query
+def guard_rewritten_file(shop):
+    """Landing files replaced after they were ingested: the next run refuses and changes nothing."""
+    landing_root, store = _fresh(shop, "rewritten")
+    _land(shop, "sellers", landing_root)
+    bronze.refresh_bronze(store, "sellers", landing_root)
+    silver_streams.refresh_silver(store, "sellers")
+    _write_csv(shop.raw("sellers"), f"{landing_root}/sellers", "overwrite")
+    try:
+        bronze.refresh_bronze(store, "sellers", landing_root)
+        refused = False
+    except SourceRewritten:
+        refused = True
+    silver_streams.refresh_silver(store, "sellers")
+    return store.read("silver", "slv_sellers").groupBy().agg(
+        F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("row_count")
+    )
+
+
+def _open_silver(store: TableStore, table: str, df: DataFrame) -> None:
+    store.open_stream_version("silver", table)
+    store.store_schema("silver", table, df.schema)
+
+
 def _stream_to_table(shop: Shop, df: DataFrame, label: str) -> DataFrame:
     store = TableStore(shop.spark, scratch_path(shop.spark, label))
     store.open_stream_version("silver", label)
@@ -541,6 +567,36 @@ def scd2_out_of_order(shop):
     ).withColumnsRenamed({history.START: "start_at", history.END: "end_at"})
 
 
+@query
+def scd2_incremental(shop):
+    """Three deliveries, newest first: each one remakes the buckets of its own customers only."""
+    _, store = _fresh(shop, "scd2-incremental")
+    log = _priority_changes(shop)
+    _open_silver(store, "changes", log)
+    day = F.col("o_orderdate")
+    drops = [log.where((day >= "1999-06-01") | day.isNull()), log.where((day >= "1997-01-01") & (day < "1999-06-01")),
+             log.where(day < "1997-01-01")]
+    for n, drop in enumerate(drops):
+        store.append(drop, "silver", "changes", n)
+        refresh_history(store, ("silver", "changes"), ("gold", "history"), ["o_custkey"], "o_orderdate", buckets=16)
+    return store.read("gold", "history").withColumnsRenamed({history.START: "start_at", history.END: "end_at"})
+
+
+@query
+def scd2_incremental_tracked(shop):
+    """The same with versions only where the priority changed; late deliveries part what was merged."""
+    _, store = _fresh(shop, "scd2-tracked")
+    log = _priority_changes(shop)
+    _open_silver(store, "changes", log)
+    for n in range(3):
+        store.append(log.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == n), "silver", "changes", n)
+        refresh_history(store, ("silver", "changes"), ("gold", "history"), ["o_custkey"], "o_orderdate",
+                        ["o_orderpriority"], buckets=16)
+    return store.read("gold", "history").select(
+        "o_custkey", "o_orderpriority",
+        F.col(history.START).alias("start_at"), F.col(history.END).alias("end_at"))
+
+
 @query
 def scd2_current(shop):
     return history.current_versions(_priority_changes(shop), ["o_custkey"], "o_orderdate")
@@ -671,6 +727,41 @@ def medallion_run(shop):
     return TableStore(shop.spark, f"{base}/tables").read("gold", "mv_revenue_daily")
 
 
+def _mart_feed(shop: Shop) -> tuple[TableStore, MartFeed]:
+    """Silver tables in three deliveries that cut through orders: lines come before their orders and products."""
+    _, store = _fresh(shop, "mart-feed")
+    numbers = {"orders": ["order_id"], "order_items": ["order_id", "item_seq"], "products": ["product_id"],
+               "reviews": ["review_id", "order_id"]}
+    rows = {entity: shop.written(f"slv_{entity}", shop.silver(entity)) for entity in numbers}
+    for entity, df in rows.items():
+        _open_silver(store, f"slv_{entity}", df)
+    feed = MartFeed(store)
+    for n in range(3):
+        for entity, keys in numbers.items():
+            # Products come one delivery later than lines, so that lines have to wait for them.
+            due = F.pmod(F.xxhash64(*keys), F.lit(3)) == (n if entity != "products" else (n + 2) % 3)
+            store.append(rows[entity].where(due), "silver", f"slv_{entity}", n)
+        feed.run()
+    feed.run()
+    return store, feed
+
+
+query(lambda shop: _mart_feed(shop)[1].revenue_daily(shop.dates()), "mart_incremental_daily")
+query(lambda shop: _mart_feed(shop)[1].sales_by_category(), "mart_incremental_category")
+query(lambda shop: _mart_feed(shop)[1].sales_by_state(shop.current_customers()), "mart_incremental_state")
+query(lambda shop: _mart_feed(shop)[1].order_funnel(), "mart_incremental_funnel")
+query(lambda shop: _mart_feed(shop)[1].review_summary(), "mart_incremental_reviews")
+
+
+@query
+def late_arriving_products(shop):
+    """Every line of a known order after three deliveries, with the product it was resolved to in the end."""
+    store, feed = _mart_feed(shop)
+    unknown = feed.unresolved().withColumn("product_category", F.lit("unknown"))
+    columns = ["order_id", "item_seq", "product_id", "product_category"]
+    return store.read("gold", "resolved_lines").select(*columns).unionByName(unknown.select(*columns))
+
+
 # --- governed reads ---------------------------------------------------------------
 
 def _register_role(label: str, groups: list[str]) -> None:
