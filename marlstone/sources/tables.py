@@ -197,11 +197,9 @@ class TableStore:
         folders = [parts["data"] for n, parts in self.commit_log(layer, table).commits() if n > after and "data" in parts]
         base = f"{self._stream_folder(layer, table)}/parts"
         names = [f.removeprefix(f"{base}/") for f in folders]
-        # Nothing new is a folder without files.
-        path = f"{base}/{{{','.join(names)}}}" if names else base
+        # Always a pattern: a repeated batch may read files of folders that are not listed any more.
+        path = f"{base}/{{{','.join(names) or 'none'}}}"
         reader = self.spark.readStream.schema(self.stored_schema(layer, table))
-        if not names:
-            reader = reader.option("pathGlobFilter", "none")
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(path)
