@@ -4,19 +4,24 @@ Every distinct shingle set is one node with a signature of minimum hashes.  A tr
 forest sorts the nodes by the signature, each tree starting at another place of it.  Nodes that
 share the first ``ROOT`` hashes of a tree form a region; inside it the depth is not fixed: a
 node's candidates are the neighbours with the longest common prefix, which lie deep in the
-order where the region is dense and right below the root where it is sparse.
+order where the region is dense and right below the root where it is sparse.  There are as many trees as it
+takes for two sets at the similarity limit to share a root but for ``MISSED``.
 
 Candidates are confirmed on the full sets.  Only what can still change the result is looked at
 again: regions that hold more than one component.  There every node outside the region's largest
-component meets all nodes of other components, in blocks that carry the full sets: signatures and sizes
-rule most pairs out, the sets decide about the rest, and each block returns only a spanning forest of
+component meets all nodes of other components, in blocks that index the full sets by shingle and count
+what a probe has in common with all targets at once; each block returns only a spanning forest of
 its links.  So no link of a region is lost, and neither the pairs inside large groups of copies nor those
 of many texts just below the limit are ever written out.
+
+A region of several blocks sends its sets to more than one of them.  Before that, nodes are left out that
+cannot link with another component: too few of their shingles occur in any other one.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -25,21 +30,38 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.common import ascii_words, map_batches, mixed, stored, table, word_hasher
 
-TREES, ROOT = 16, 4
-HASHES = TREES * ROOT
-# Two sets at the similarity limit agree in so many of the 64 hashes but for a few in a million.
-LEAST_AGREEING = 40
+ROOT = 4
+# Share of pairs at the limit that may have no root in common.
+MISSED = 1e-5
 NEIGHBOURS = 3
-BLOCK = 2048
-# Digests are first compared by so many of their bits.
-CELL_BITS = 18
+# Nodes and shingles of one block of a region.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
+# Rows of one region are spread over so many keys where they meet what is known of the region.
+SALTS = 8
 # Links that one task of the components search takes at first.
 EDGES_PER_TASK = 200_000
 SIMILARITY = 85
 WIDTH = 3
 
-_FACTORS = mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_SHIFTS = mixed(np.arange(101, 101 + HASHES, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+def trees_for(similarity: int) -> int:
+    """Trees after which a pair at the limit has missed a common root with probability ``MISSED``."""
+    shared = min(similarity / 100, 0.99) ** ROOT
+    return max(1, math.ceil(math.log(MISSED) / math.log(1 - shared)))
+
+
+def least_agreeing(similarity: int) -> int:
+    """Equal hashes of neighbours worth a look at their sets: five deviations below those at the limit.
+
+    What this leaves out is met again in open regions; it only saves work.
+    """
+    n, share = trees_for(similarity) * ROOT, similarity / 100
+    return max(1, math.floor(n * share - 5 * math.sqrt(n * share * (1 - share))))
+
+
+def _constants(n: int) -> tuple[np.ndarray, np.ndarray]:
+    factors = mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    return factors, mixed(np.arange(101, 101 + n, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def shingle_set(text: str | None, width: int = WIDTH) -> set:
@@ -64,29 +86,32 @@ def hashed_set(words: list[bytes], hasher, width: int) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of HASHES 32-bit minima per set."""
+def signatures(sets: list[np.ndarray], constants: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """One row of 32-bit minima per set."""
     flat = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((len(sets), HASHES), np.uint32)
-    for k in range(HASHES):
-        out[:, k] = np.minimum.reduceat((flat * _FACTORS[k] + _SHIFTS[k]) >> np.uint64(32), starts)
+    out = np.empty((len(sets), len(constants[0])), np.uint32)
+    for k, (factor, shift) in enumerate(zip(*constants)):
+        out[:, k] = np.minimum.reduceat((flat * factor + shift) >> np.uint64(32), starts)
     return out
 
 
 def region_keys(minima: np.ndarray) -> np.ndarray:
     """Per tree, the digest of the hashes at its root."""
-    keys = np.tile(np.arange(1, TREES + 1, dtype=np.uint64), (len(minima), 1))
-    roots = minima.reshape(len(minima), TREES, ROOT).astype(np.uint64)
+    trees = minima.shape[1] // ROOT
+    keys = np.tile(np.arange(1, trees + 1, dtype=np.uint64), (len(minima), 1))
+    roots = minima.reshape(len(minima), trees, ROOT).astype(np.uint64)
     for k in range(ROOT):
         keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + roots[:, :, k])
     return keys.view(np.int64)
 
 
-def signed(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def signed(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
     """(doc_id, text_hash, n_shingles, node, sig, keys) per row; node is null without words."""
+    hashes = trees_for(similarity) * ROOT
+
     def make():
-        hasher = word_hasher()
+        hasher, constants = word_hasher(), _constants(hashes)
 
         def work(batch):
             texts = batch.column("text")
@@ -95,7 +120,7 @@ def signed(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 words = [ascii_words(t) for t in texts.slice(i, 64).to_pylist()]
                 sets = [hashed_set(w, hasher, width) if w else None for w in words]
                 full = [s for s in sets if s is not None]
-                minima = signatures(full) if full else None
+                minima = signatures(full, constants) if full else None
                 keys = region_keys(minima).tolist() if full else []
                 at = 0
                 for s in sets:
@@ -119,13 +144,20 @@ def signed(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         f"doc_id {kind}, text_hash long, n_shingles long, node binary, sig binary, keys array<long>", make)
 
 
+def _with_region(rows: DataFrame, regions: DataFrame) -> DataFrame:
+    """``rows`` joined with what is known per ``key``; the rows of one region go to ``SALTS`` places."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    copies = regions.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, ["key", "_salt"]).drop("_salt")
+
+
 def regions_of(nodes: DataFrame) -> DataFrame:
     """(key, node, n_shingles, sig, place): members of regions with two nodes or more, with their place in the order."""
     members = nodes.select("node", F.posexplode("keys").alias("tree", "key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     turn = F.col("tree") * ROOT
-    place = F.concat(F.substring("sig", turn + 1, F.lit(HASHES)), F.substring("sig", F.lit(1), turn))
-    return members.join(shared, "key").join(nodes.select("node", "n_shingles", "sig"), "node").select(
+    place = F.concat(F.substring("sig", turn + 1, F.length("sig")), F.substring("sig", F.lit(1), turn))
+    return _with_region(members, shared).join(nodes.select("node", "n_shingles", "sig"), "node").select(
         "key", "node", "n_shingles", "sig", place.alias("place"))
 
 
@@ -139,7 +171,7 @@ def _sizes_allow(n, m, similarity: int):
 
 
 def _sig_matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
 _PAIR = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("agreeing", pa.int32())])
@@ -152,6 +184,7 @@ def neighbour_pairs(regions: DataFrame, similarity: int) -> DataFrame:
     a cut between tasks meet later, in ``open_pairs``.
     """
     ordered = regions.repartitionByRange("key", "place").sortWithinPartitions("key", "place", "node")
+    least = least_agreeing(similarity)
 
     def pair(batches):
         last = None
@@ -167,7 +200,7 @@ def neighbour_pairs(regions: DataFrame, similarity: int) -> DataFrame:
                 nodes, sigs = [last[2], *nodes], np.vstack([last[3], sigs])
             last = keys[-1:], sizes[-1:], nodes[-1], sigs[-1:]
             agreeing = _agreeing(sigs[1:], sigs[:-1])
-            good = (keys[1:] == keys[:-1]) & (agreeing >= LEAST_AGREEING) & _sizes_allow(sizes[1:], sizes[:-1], similarity)
+            good = (keys[1:] == keys[:-1]) & (agreeing >= least) & _sizes_allow(sizes[1:], sizes[:-1], similarity)
             at = np.flatnonzero(good)
             yield pa.RecordBatch.from_arrays([
                 pa.array([nodes[i + 1] for i in at], pa.binary()), pa.array([nodes[i] for i in at], pa.binary()),
@@ -195,54 +228,94 @@ def digests_of(texts: DataFrame, width: int) -> DataFrame:
 
 
 class Block:
-    """Targets of one block of a region, kept while its probes pass by."""
+    """Targets of one block of a region, indexed by shingle, kept while its probes pass by."""
 
     def __init__(self, rows: list[dict], similarity: int):
         self.similarity = similarity
         self.nodes = [r["node"] for r in rows]
-        self.label = np.array([r["component"] for r in rows], object)
-        self.sizes = np.array([r["n_shingles"] for r in rows])
-        self.sigs = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint8).reshape(len(rows), HASHES)
-        self.sets = [np.frombuffer(r["digests"], "<u8") for r in rows]
-        self.cells = [(s >> np.uint64(64 - CELL_BITS)).astype(np.int32) for s in self.sets]
-        self.marked = np.zeros(1 << CELL_BITS, bool)
-        self.joined: dict = {}
-
-    def root(self, component):
-        top = component
-        while top in self.joined:
-            top = self.joined[top]
-        if top != component:
-            self.joined[component] = top
-        return top
+        self.numbers: dict[bytes, int] = {}
+        self.joined: dict[int, int] = {}
+        self.label = np.array([self._number(r["component"]) for r in rows])
+        sets = [np.frombuffer(r["digests"], "<u8") for r in rows]
+        self.sizes = np.array([len(s) for s in sets])
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        self.digests, self.owners = flat[order], np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)[order]
+
+    def _number(self, component: bytes) -> int:
+        return self.numbers.setdefault(component, len(self.numbers))
+
+    def common(self, digests: np.ndarray) -> np.ndarray:
+        """How many of the digests each target has."""
+        low, high = np.searchsorted(self.digests, digests, "left"), np.searchsorted(self.digests, digests, "right")
+        counts = high - low
+        at = np.repeat(low - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
+        return np.bincount(self.owners[at], minlength=len(self.nodes))
+
+    def _now(self, number: int) -> int:
+        """The component that a component is part of by now."""
+        while number in self.joined:
+            number = self.joined[number]
+        return number
 
     def links(self, probe: dict):
         """Targets that link the probe to components it isn't linked with yet, one of each."""
-        size, own = probe["n_shingles"], self.root(probe["component"])
-        agreeing = _agreeing(self.sigs, np.frombuffer(probe["sig"], np.uint8))
-        good = (agreeing >= LEAST_AGREEING) & _sizes_allow(self.sizes, size, self.similarity) & (self.label != own)
-        at = np.flatnonzero(good)
-        if not len(at):
-            return
         digests = np.frombuffer(probe["digests"], "<u8")
-        own_cells = (digests >> np.uint64(64 - CELL_BITS)).astype(np.int32)
-        self.marked[own_cells] = True
-        cells = [self.cells[j] for j in at]
-        # Digests in marked cells: never fewer than the common ones.
-        most = np.add.reduceat(self.marked[np.concatenate(cells)], np.cumsum([0, *map(len, cells[:-1])]), dtype=np.int64)
-        self.marked[own_cells] = False
-        near = 100 * most >= self.similarity * (size + self.sizes[at] - np.minimum(most, size))
-        for j in at[near]:
-            if self.label[j] == own:
-                continue
-            common = len(np.intersect1d(self.sets[j], digests, assume_unique=True))
-            if 100 * common >= self.similarity * (size + self.sizes[j] - common):
-                self.joined[own] = other = self.label[j]
+        common = self.common(digests)
+        near = np.flatnonzero(100 * common >= self.similarity * (len(digests) + self.sizes - common))
+        if not len(near):
+            return
+        own = self._now(self._number(probe["component"]))
+        for j in near[self.label[near] != own]:
+            other = self.label[j]
+            if other != own:
                 self.label[self.label == own] = other
+                self.joined[own] = other
                 own = other
                 yield self.nodes[j]
 
 
+def _linkable(rows: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The nodes that can link with another component: enough of their shingles occur in one.
+
+    A link shares at least ``similarity`` percent of the shingles of either side.
+    """
+    members = rows.select("node", "component").distinct().join(sets, "node")
+
+    def make():
+        def work(batch):
+            digests = [np.frombuffer(d.as_py(), "<i8") for d in batch.column("digests")]
+            counts = np.array([len(d) for d in digests])
+            row = pa.array(np.repeat(np.arange(len(digests)), counts))
+            return {"digest": np.concatenate(digests), "node": batch.column("node").take(row),
+                    "component": batch.column("component").take(row)}
+
+        return work
+
+    each = map_batches(members, "digest long, node binary, component binary", make)
+    ends = each.groupBy("digest").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    shared = each.join(ends.where("low <> high").select("digest"), "digest").groupBy("node").agg(
+        F.count(F.lit(1)).alias("shared"))
+    sizes = rows.select("node", "n_shingles").distinct()
+    return shared.join(sizes, "node").where(F.col("shared") * 100 >= F.col("n_shingles") * similarity).select("node")
+
+
+def _mixed_regions(placed: DataFrame) -> DataFrame:
+    """(key, largest, blocks, probe_blocks) of the regions with several components."""
+    parts = placed.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+
+    def blocks(rows, shingles):
+        return F.greatest(F.ceil(rows / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+    found = parts.groupBy("key").agg(
+        F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component", "s")).alias("top"),
+        F.sum("n").alias("n"), F.sum("s").alias("s")).where("parts > 1")
+    return found.select(
+        "key", F.col("top.component").alias("largest"), blocks(F.col("n"), F.col("s")).alias("blocks"),
+        blocks(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("probe_blocks"))
+
+
 def open_pairs(regions: DataFrame, components: DataFrame, texts: DataFrame, width: int, similarity: int) -> DataFrame:
     """Similar pairs between components of a region: every node outside the largest component meets all others.
 
@@ -250,15 +323,15 @@ def open_pairs(regions: DataFrame, components: DataFrame, texts: DataFrame, widt
     A block returns a spanning forest of what it links, never all pairs.
     """
     comp = F.coalesce("component", "node").alias("component")
-    placed = regions.join(components, "node", "left").select("key", "node", "n_shingles", "sig", comp)
-    parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed_regions = parts.groupBy("key").agg(
-        F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"),
-    ).where("parts > 1").select(
-        "key", F.col("top.component").alias("largest"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
-        F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("probe_blocks"))
-    rows = stored(placed.join(mixed_regions, "key"), "open")
+    placed = regions.join(components, "node", "left").select("key", "node", "n_shingles", comp)
+    rows = stored(_with_region(placed, _mixed_regions(placed)), "open")
     sets = stored(digests_of(texts.join(rows.select("node").distinct(), "node", "left_semi"), width), "sets")
+    columns = "key", "node", "n_shingles", "component"
+    large = rows.where("blocks > 1").select(*columns)
+    if not large.isEmpty():
+        able = large.join(_linkable(large, sets, similarity), "node", "left_semi").select(*columns)
+        able = stored(able, "linkable")
+        rows = rows.where("blocks = 1").unionByName(_with_region(able, _mixed_regions(able)))
     rows = rows.join(sets, "node")
 
     def dealt_to(count):
@@ -267,7 +340,7 @@ def open_pairs(regions: DataFrame, components: DataFrame, texts: DataFrame, widt
     def each_of(count):
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    columns = "key", "block", "probe_block", "role", "node", "component", "n_shingles", "sig", "digests"
+    columns = "key", "block", "probe_block", "role", "node", "component", "digests"
     targets = rows.withColumn("block", dealt_to("blocks")).select(
         "*", each_of("probe_blocks").alias("probe_block"), F.lit(0).alias("role")).select(*columns)
     probes = rows.where(F.col("component") != F.col("largest")).withColumn(
@@ -369,6 +442,8 @@ def components_of(links: DataFrame, label: str = "components") -> DataFrame:
                    label)
     tasks = links.count() // EDGES_PER_TASK + 1
     edges = stored(local_stars(links.repartition(tasks, "u")), label)
+    if tasks == 1:  # one task has seen all links: its stars are the components
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
     def fingerprint(table):
         return table.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -400,7 +475,7 @@ def near_duplicates(
     component stay.  Empty table: no rows.  Other columns are not read.
     """
     docs = docs.select(F.col(ident).alias("doc_id"), F.col(text).alias("text"))
-    rows = stored(signed(docs, width), "signed")
+    rows = stored(signed(docs, width, similarity), "signed")
     usable = rows.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     nodes = stored(usable.groupBy("node").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n_shingles").alias("n_shingles"),

@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 
 from marlstone.llm import near_dedup as nd
 
@@ -60,6 +62,70 @@ def test_small_blocks(spark, documents, prose, monkeypatch):
     check(documents(rows), rows)
 
 
+def test_shingles_bound_a_block_too(spark, documents, prose, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK_SHINGLES", 1000)
+    rows = cases(prose)[60:320]
+    check(documents(rows), rows)
+
+
+def test_trees_follow_the_limit():
+    for similarity in (60, 75, 80, 85, 95, 100):
+        missed = (1 - min(similarity / 100, 0.99) ** nd.ROOT) ** nd.trees_for(similarity)
+        assert missed <= nd.MISSED
+        assert 0 < nd.least_agreeing(similarity) <= nd.trees_for(similarity) * nd.ROOT
+    assert nd.trees_for(85) == 16
+
+
+def test_low_limit(spark, documents, prose):
+    base = prose(9, 60)
+    rows = [(i, changed(base, i, i % 12)) for i in range(60)] + [(100 + i, prose(200 + i, 60)) for i in range(20)]
+    check(documents(rows), rows, 3, 55)
+
+
+def written_rows(monkeypatch, run):
+    """Rows that go into the blocks of open regions."""
+    seen, grouped = [], DataFrame.sortWithinPartitions
+
+    def counting(self, *columns, **kwargs):
+        if columns[:3] == ("key", "block", "probe_block"):
+            seen.append(self.count())
+        return grouped(self, *columns, **kwargs)
+
+    monkeypatch.setattr(DataFrame, "sortWithinPartitions", counting)
+    run()
+    monkeypatch.undo()
+    return sum(seen)
+
+
+def test_rows_of_texts_below_the_limit_stay_linear(spark, documents, prose, monkeypatch):
+    """Texts of one template, all just below the limit: twice as many send at most about twice as many rows."""
+    base, counts = prose(11, 150), []
+    for n in (1000, 2000):
+        rows = [(i, changed(base, i, 9)) for i in range(n)]
+        monkeypatch.setattr(nd, "BLOCK", 64)
+        found = []
+        counts.append(written_rows(monkeypatch, lambda: found.extend(nd.near_duplicates(documents(rows)).collect())))
+        assert all(r.kept for r in found) and len(found) == n
+    assert counts[1] <= 2.5 * max(counts[0], n)
+
+
+def test_a_block_counts_what_sets_have_in_common():
+    draw = random.Random(3)
+    sets = [np.unique(np.array([draw.randrange(20) for _ in range(25)], "<u8")) for _ in range(40)]
+    rows = [{"node": bytes([i]), "component": bytes([i % 11]), "digests": s.tobytes()} for i, s in enumerate(sets)]
+    block = nd.Block(rows[:30], 60)
+    for probe in sets[30:]:
+        assert block.common(probe).tolist() == [len(set(probe) & set(s)) for s in sets[:30]]
+    # Each probe links with one target of every component it is similar to, and never twice with the same.
+    linked = {}
+    for r, own in zip(rows[30:], sets[30:]):
+        similar = {t["component"] for t, s in zip(rows[:30], sets) if 100 * len(set(own) & set(s)) >= 60 * len(set(own) | set(s))}
+        got = [rows[n[0]]["component"] for n in block.links(r)]
+        assert len(got) == len(set(got)) and set(got) <= similar - {r["component"]}
+        linked[r["node"]] = got
+    assert any(linked.values())
+
+
 def test_other_width_and_limit(spark, documents, prose):
     rows = cases(prose)[:320]
     check(documents(rows), rows, 5, 80)
