@@ -1,15 +1,17 @@
 """Toxicity from two class-conditional Kneser-Ney models.
 
-Each model predicts a word byte by byte from up to four bytes before (with marks for both
+Each model predicts a word byte by byte from up to seven bytes before (with marks for both
 ends of the word), from the counts of its own class.  What a class has not seen, it takes from
-backoff counts that both classes share: in how many different contexts a byte triple, then a byte,
-occurs.  So an expression that is rare in both classes weighs little, and an unknown form of a toxic
-stem still weighs much.  A text's evidence is the difference of the two log-likelihoods, normalised by
-length: over the whole text, and in its most toxic windows.  A logistic fit on rows that the counts
-have not seen turns them into a probability.
-
-All labelled training rows are counted.  Contexts are hashed into tables of fixed size, so the
-model that executors receive does not grow with the corpus.
+backoff counts that both classes share: in how many different contexts a run of five bytes occurs, of four, and so
+on.  So an expression that is rare in both classes weighs little, and an unknown form of a toxic
+stem still weighs much.  A word's evidence is the difference of its two log-likelihoods.  A text is measured by
+the mean over all its words (the length-normalised difference), by its worst windows, and by its
+strongest distinct words: how strong they are and how many, among how many.  A logistic fit turns the
+measures into a probability.
+
+All labelled training rows are counted, in tables with the full byte runs as keys that grow with the corpus.  The
+fit measures a bounded sample of the same rows, each without its own counts.  Tasks get the log ratios
+as sorted arrays up to ``MODEL_ENTRIES``; beyond that the words of the documents are joined with them instead.
 """
 
 from __future__ import annotations
@@ -19,24 +21,30 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import ascii_words, map_batches, mixed, remainder, stored, table
+from marlstone.llm.common import ascii_words, map_batches, remainder, stored, table, tag
 from marlstone.llm.labels import fit_logistic, labelled_texts, share
 
-GRAM_BITS, CONTEXT_BITS = 22, 20
-DISCOUNT = 0.75
+# Bytes of a run (the last one is predicted), and of the longest shared run.
+ORDER, SHARED_ORDER = 8, 5
+DISCOUNT = 0.9
 # Words in the windows whose worst place counts besides the whole text.
 WINDOWS = (32, 4)
-# One in so many training rows is kept from the counts, and of those at most so many calibrate.
-CALIBRATE_ONE_IN, CALIBRATION_ROWS = 8, 20_000
+# Numbers of strongest distinct words that are averaged, and strengths above which they are counted.
+STRONGEST, ABOVE = (1, 2, 3, 5, 8, 16), (1, 2, 4, 6, 8)
+MEASURES = 1 + len(WINDOWS) + len(STRONGEST) + 1 + len(ABOVE)
+# Entries (12 bytes each) up to which tasks hold the log ratios themselves.
+MODEL_ENTRIES = 12_000_000
+# The fit sees at most about so many labelled rows with texts of at most so many characters.
+CALIBRATION_ROWS, CALIBRATION_CHARACTERS = 4_000, 100_000
 CUT = 0.7
 SEED = 4
 
 
 def gram_keys(words: list[bytes]):
-    """For every byte of every word and its end mark: the five bytes up to it as one integer.
+    """For every byte of every word and its end mark: the run of bytes up to it as one integer.
 
     Returns the integers and where each word begins among them.
     """
@@ -46,68 +54,67 @@ def gram_keys(words: list[bytes]):
     starts = np.cumsum(lengths) - lengths
     place = np.arange(len(raw)) - np.repeat(starts, lengths)
     keys = raw.copy()
-    for back in range(1, 5):
+    for back in range(1, ORDER):
         older = np.zeros_like(raw)
         older[back:] = raw[:-back]
         older[place < back] = 0
         keys |= older << np.uint64(8 * back)
-    return keys[place > 0], starts - np.arange(len(words))
+    return keys[place > 0].view(np.int64), starts - np.arange(len(words))
 
 
-def slots(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (mixed(keys.copy()) >> np.uint64(64 - bits)).astype(np.int64)
+def contexts_of(keys: np.ndarray) -> np.ndarray:
+    """The runs without their last byte."""
+    return (keys.view(np.uint64) >> np.uint64(8)).view(np.int64)
 
 
-def fingerprints(keys: np.ndarray) -> np.ndarray:
-    return (mixed(keys.copy()) & np.uint64(0xFF)).astype(np.uint8)
+@dataclass
+class Ratios:
+    """Log ratios by key, sorted: of seen runs, and of any unseen byte after a context."""
 
+    keys: np.ndarray
+    gram: np.ndarray
+    contexts: np.ndarray
+    rest: np.ndarray
 
-@dataclass
-class ToxicityModel:
-    gram: np.ndarray      # log ratio of a seen (context, byte), by slot
-    mark: np.ndarray      # fingerprint of what the slot stands for
-    seen: np.ndarray
-    context: np.ndarray   # log ratio of any unseen byte after a context, by slot
-    weights: np.ndarray   # of: 1, whole text, worst windows
+    @staticmethod
+    def _found(keys: np.ndarray, sorted_keys: np.ndarray):
+        if not len(sorted_keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+        return at, sorted_keys[at] == keys
 
     def word_scores(self, words: list[bytes]) -> np.ndarray:
         """Difference of the log-likelihoods of each word."""
         keys, starts = gram_keys(words)
-        at = slots(keys, GRAM_BITS)
-        known = self.seen[at] & (self.mark[at] == fingerprints(keys))
-        unseen = self.context[slots(keys >> np.uint64(8), CONTEXT_BITS)]
-        return np.add.reduceat(np.where(known, self.gram[at], unseen), starts)
-
-    def evidence(self, texts: list, memo: dict) -> np.ndarray:
-        """Per text: difference per distinct word over the whole text, and per word in its worst windows.
-
-        A word counts where it first occurs: repeating one says nothing new about the text.
-        """
-        out = np.zeros((len(texts), 1 + len(WINDOWS)))
-        for i, text in enumerate(texts):
-            words = ascii_words(text)
-            if not words:
-                continue
-            first = dict.fromkeys(words)
-            missing = [w for w in first if w not in memo]
-            if missing:
-                if len(memo) + len(missing) > 400_000:
-                    memo.clear()
-                    missing = list(first)
-                memo.update(zip(missing, self.word_scores(missing).tolist()))
-            scores = np.fromiter(map(memo.__getitem__, first), float, len(first))
-            if len(first) == len(words):
-                placed = scores
-            else:
-                at = dict(zip(reversed(words), range(len(words) - 1, -1, -1)))
-                placed = np.zeros(len(words))
-                placed[np.fromiter(map(at.__getitem__, first), np.int64, len(first))] = scores
-            run = np.concatenate([[0.0], placed.cumsum()])
-            out[i, 0] = run[-1] / len(first)
-            for k, size in enumerate(WINDOWS, 1):
-                size = min(size, len(words))
-                out[i, k] = (run[size:] - run[:-size]).max() / WINDOWS[k - 1]
-        return out
+        distinct, back = np.unique(keys, return_inverse=True)
+        at, known = self._found(distinct, self.keys)
+        scores = np.zeros(len(distinct))
+        scores[known] = self.gram[at[known]]
+        at, known_context = self._found(contexts_of(distinct[~known]), self.contexts)
+        others = np.zeros(len(at))
+        others[known_context] = self.rest[at[known_context]]
+        scores[~known] = others
+        return np.add.reduceat(scores[back], starts)
+
+
+def evidence(words: list[bytes], score_of: dict[bytes, float]) -> list[float]:
+    """The measures of one text; all zero without words.  Every occurrence of a word counts in the mean and the windows."""
+    if not words:
+        return [0.0] * MEASURES
+    scores = np.fromiter(map(score_of.__getitem__, words), float, len(words))
+    run = np.concatenate([[0.0], scores.cumsum()])
+    found = [run[-1] / len(words)]
+    for size in WINDOWS:
+        width = min(size, len(words))
+        found.append((run[width:] - run[:-width]).max() / size)
+    distinct = set(words)
+    values = np.fromiter(map(score_of.__getitem__, distinct), float, len(distinct))
+    most = STRONGEST[-1]
+    top = np.sort(np.partition(values, len(values) - most)[-most:] if len(values) > most else values)[::-1]
+    so_far = np.concatenate([top, np.zeros(most - len(top))]).cumsum()
+    found += [so_far[k - 1] / k for k in STRONGEST]
+    found.append(np.log(len(values) + 1))
+    return found + [np.log1p((values > t).sum()) for t in ABOVE]
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -139,7 +146,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def gram_counts(words: DataFrame) -> DataFrame:
-    """Counts by slot, at most 2**GRAM_BITS rows; ``key`` is the most frequent content of the slot."""
+    """(key, toxic, ordinary) of every run of bytes in the counted words."""
     def make():
         def work(batch):
             toxic = np.asarray(batch.column(1), np.int64)
@@ -148,97 +155,289 @@ def gram_counts(words: DataFrame) -> DataFrame:
             lengths = np.diff(np.append(starts, len(keys)))
             unique, back = np.unique(keys, return_inverse=True)
             total = lambda n: np.bincount(back, np.repeat(n, lengths), len(unique)).astype(np.int64)
-            return {"key": unique.astype(np.int64), "slot": slots(unique, GRAM_BITS),
-                    "toxic": total(toxic), "ordinary": total(ordinary)}
+            return {"key": unique, "toxic": total(toxic), "ordinary": total(ordinary)}
 
         return work
 
-    rows = map_batches(words, "key long, slot long, toxic long, ordinary long", make)
-    by_key = rows.groupBy("slot", "key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    n = F.col("toxic") + F.col("ordinary")
-    return by_key.groupBy("slot").agg(
-        F.max(F.struct(n, "key"))["key"].alias("key"), F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-
-
-def _shared_backoff(keys: np.ndarray) -> np.ndarray:
-    """Probability of the last byte of each key after two bytes, from the number of contexts it occurs in."""
-    triples, back, contexts = np.unique(keys & np.uint64(0xFFFFFF), return_inverse=True, return_counts=True)
-    last = (triples & np.uint64(0xFF)).astype(np.int64)
-    base = (np.bincount(last, minlength=256) + 1.0) / (len(triples) + 256)
-    _, group = np.unique(triples >> np.uint64(8), return_inverse=True)
-    total, kinds = np.bincount(group, contexts), np.bincount(group)
-    p = (np.maximum(contexts - DISCOUNT, 0) + DISCOUNT * kinds[group] * base[last]) / total[group]
-    return p[back]
-
-
-def log_ratios(keys: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray):
-    """Per key, log P(toxic) - log P(ordinary); and the same per context slot for unseen bytes."""
-    context = slots(keys >> np.uint64(8), CONTEXT_BITS)
-    shared = _shared_backoff(keys)
-    logs, left_over = [], []
-    for count in (toxic, ordinary):
-        total = np.bincount(context, count, 1 << CONTEXT_BITS)
-        kinds = np.bincount(context, count > 0, 1 << CONTEXT_BITS)
+    rows = map_batches(words, "key long, toxic long, ordinary long", make)
+    return rows.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
+
+def _context(key: str = "key") -> Column:
+    return F.shiftrightunsigned(key, 8)
+
+
+def shared_backoff(grams: DataFrame, discount: float = DISCOUNT) -> DataFrame:
+    """(suffix, shared): probability of the last byte of each run of ``SHARED_ORDER`` bytes after the others.
+
+    From the number of different longer runs it ends, discounted and filled up from the next shorter one.
+    """
+    levels, runs = [], grams.select("key")
+    for order in range(SHARED_ORDER, 0, -1):
+        ends = runs.select(F.col("key").bitwiseAND(F.lit((1 << 8 * order) - 1)).alias("key"))
+        runs = stored(ends.groupBy("key").agg(F.count(F.lit(1)).alias("n")), f"toxicity-runs-{order}")
+        levels.append(runs)
+    # With no context at all there are at most 256 bytes, and an unseen one is as likely as any other.
+    lower = None
+    for order, level in enumerate(reversed(levels), 1):
+        totals = level.groupBy(_context().alias("context")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        joined = level.withColumn("context", _context()).join(totals, "context")
+        if lower is None:
+            joined = joined.withColumn("shared", F.lit(1 / 256))
+        else:
+            suffix = F.col("key").bitwiseAND(F.lit((1 << 8 * (order - 1)) - 1)).alias("suffix")
+            joined = joined.withColumn("suffix", suffix).join(lower.withColumnRenamed("key", "suffix"), "suffix")
+        p = (F.greatest(F.col("n") - discount, F.lit(0.0)) + discount * F.col("kinds") * F.col("shared")) / F.col("total")
+        lower = joined.select("key", p.alias("shared"))
+    return lower.withColumnRenamed("key", "suffix")
+
+
+def class_tables(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per run: counts and shared probability; per context: total and kinds of following bytes, by class."""
+    suffix = F.col("key").bitwiseAND(F.lit((1 << 8 * SHARED_ORDER) - 1))
+    runs = grams.withColumn("suffix", suffix).join(shared_backoff(grams), "suffix").drop("suffix")
+    contexts = grams.groupBy(_context().alias("context")).agg(
+        F.sum("toxic").alias("toxic_total"), F.sum("ordinary").alias("ordinary_total"),
+        F.count(F.when(F.col("toxic") > 0, 1)).alias("toxic_kinds"),
+        F.count(F.when(F.col("ordinary") > 0, 1)).alias("ordinary_kinds"))
+    return stored(runs, "toxicity-runs"), stored(contexts, "toxicity-contexts")
+
+
+def log_ratios(runs: DataFrame, contexts: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, DataFrame]:
+    """(key, ratio) of seen runs and (key, ratio) of contexts for bytes neither class has seen there."""
+    def rest(name):
         # A context that the class never saw passes everything on to the shared counts.
-        rest = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-        logs.append(np.log(np.maximum(count - DISCOUNT, 0) / np.maximum(total[context], 1) + rest[context] * shared))
-        left_over.append(np.log(rest))
-    return logs[0] - logs[1], (left_over[0] - left_over[1]).astype(np.float32)
+        total = F.col(f"{name}_total")
+        return F.when(total > 0, discount * F.col(f"{name}_kinds") / total).otherwise(1.0)
+
+    def probability(name):
+        total = F.col(f"{name}_total")
+        own = F.when(total > 0, F.greatest(F.col(name) - discount, F.lit(0.0)) / total).otherwise(0.0)
+        return own + rest(name) * F.col("shared")
+
+    joined = runs.withColumn("context", _context()).join(contexts, "context")
+    gram = joined.select("key", F.log(probability("toxic") / probability("ordinary")).alias("ratio"))
+    return gram, contexts.select(F.col("context").alias("key"), F.log(rest("toxic") / rest("ordinary")).alias("ratio"))
+
+
+@dataclass
+class ToxicityModel:
+    gram: DataFrame       # key, ratio
+    context: DataFrame    # key, ratio
+    weights: np.ndarray   # of 1 and the measures
+    entries: int
+
+    def ratios(self) -> Ratios:
+        def sorted_arrays(rows):
+            found = rows.select("key", F.col("ratio").cast("float")).toArrow()
+            keys = found.column("key").to_numpy()
+            order = np.argsort(keys)
+            return keys[order], found.column("ratio").to_numpy()[order]
+
+        return Ratios(*sorted_arrays(self.gram), *sorted_arrays(self.context))
+
+
+class Counts:
+    """Counts of the runs in a sample of texts, to measure a text as if it had not been counted."""
+
+    def __init__(self, runs: pa.Table, contexts: pa.Table, discount: float = DISCOUNT):
+        def columns(found, key, names):
+            keys = found.column(key).to_numpy()
+            order = np.argsort(keys)
+            return keys[order], [found.column(n).to_numpy()[order].astype(float) for n in names]
+
+        self.keys, (self.toxic, self.ordinary, self.shared) = columns(runs, "key", ("toxic", "ordinary", "shared"))
+        self.contexts, (self.toxic_total, self.ordinary_total, self.toxic_kinds, self.ordinary_kinds) = columns(
+            contexts, "context", ("toxic_total", "ordinary_total", "toxic_kinds", "ordinary_kinds"))
+        self.discount = discount
+
+    def without(self, words: list[bytes], label: int) -> list[float]:
+        """The measures of a counted text, its own counts taken away."""
+        if not words:
+            return evidence(words, {})
+        times = Counter(words)
+        distinct = list(times)
+        keys, starts = gram_keys(distinct)
+        lengths = np.diff(np.append(starts, len(keys)))
+        own_keys, back = np.unique(keys, return_inverse=True)
+        own = np.bincount(back, np.repeat(np.fromiter(times.values(), float, len(times)), lengths), len(own_keys))
+        at = np.searchsorted(self.keys, own_keys)
+        context, group = np.unique(contexts_of(own_keys), return_inverse=True)
+        there = np.searchsorted(self.contexts, context)
+        logs = []
+        for mine, count, total, kinds in (
+            (label == 1, self.toxic, self.toxic_total, self.toxic_kinds),
+            (label != 1, self.ordinary, self.ordinary_total, self.ordinary_kinds),
+        ):
+            n, all_, different = count[at], total[there][group], kinds[there][group]
+            if mine:
+                gone = (n == own).astype(float)
+                all_ = all_ - np.bincount(group, own)[group]
+                different = different - np.bincount(group, gone)[group]
+                n = n - own
+            seen, safe = all_ > 0, np.maximum(all_, 1)
+            rest = np.where(seen, self.discount * different / safe, 1.0)
+            logs.append(np.log(np.where(seen, np.maximum(n - self.discount, 0) / safe, 0) + rest * self.shared[at]))
+        scores = np.add.reduceat((logs[0] - logs[1])[back], starts)
+        return evidence(words, dict(zip(distinct, scores.tolist())))
+
+
+def _sample_measures(sample: DataFrame, runs: DataFrame, contexts: DataFrame) -> list:
+    """(label, measures without own counts) of the sampled rows."""
+    def make_keys():
+        def work(batch):
+            words = set().union(*[set(ascii_words(t)) for t in batch.column("text").to_pylist()])
+            return {"key": np.unique(gram_keys(list(words))[0]) if words else np.empty(0, np.int64)}
+
+        return work
+
+    keys = stored(map_batches(sample.select("text"), "key long", make_keys).distinct(), "toxicity-sample")
+    # What is sent is bounded by the sample, and the sample by its rows and characters.
+    sent = sample.sparkSession.sparkContext.broadcast((
+        runs.join(keys, "key", "left_semi").toArrow(),
+        contexts.join(keys.select(_context().alias("context")).distinct(), "context", "left_semi").toArrow()))
+
+    def make():
+        counts = Counts(*sent.value)
+
+        def work(batch):
+            labels = batch.column("label").to_pylist()
+            x = [counts.without(ascii_words(t), y) for t, y in zip(batch.column("text").to_pylist(), labels)]
+            return {"doc_id": batch.column("doc_id"), "label": labels, "x": x}
+
+        return work
+
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    rows = map_batches(sample.select("doc_id", "label", "text"), f"doc_id {kind}, label int, x array<double>", make)
+    return rows.orderBy("doc_id").collect()
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic") -> ToxicityModel:
-    """Count all labelled rows for which ``learn`` (a condition on doc_id) holds; calibrate on those left out.
+    """Count all labelled rows for which ``learn`` (a condition on doc_id) holds; fit on a bounded sample of them.
 
     Without labelled rows, or with one class only, the model says 0 for every text.
     """
-    left_out = share(F.col("doc_id"), 1 / CALIBRATE_ONE_IN, SEED)
-    counted = labelled_texts(docs, labels, label, learn & ~left_out)
-    grams = stored(gram_counts(word_counts(counted)), "toxicity-grams").toPandas()
-    keys = grams["key"].to_numpy(np.int64).astype(np.uint64)
-    model = ToxicityModel(
-        np.zeros(1 << GRAM_BITS, np.float32), np.zeros(1 << GRAM_BITS, np.uint8), np.zeros(1 << GRAM_BITS, bool),
-        np.zeros(1 << CONTEXT_BITS, np.float32), np.array([-20.0] + [0.0] * (1 + len(WINDOWS))))
-    if len(keys):
-        ratio, model.context = log_ratios(keys, grams["toxic"].to_numpy(float), grams["ordinary"].to_numpy(float))
-        at = grams["slot"].to_numpy(np.int64)
-        model.gram[at], model.mark[at], model.seen[at] = ratio, fingerprints(keys), True
-    held = labels.where(F.col(label).isNotNull() & learn & left_out).count()
-    few = share(F.col("doc_id"), min(1.0, CALIBRATION_ROWS / max(held, 1)), SEED + 1)
-    sample = labelled_texts(docs, labels, label, learn & left_out & few)
-    rows = measured(sample, model).select("label", "x").collect()
+    counted = labelled_texts(docs, labels, label, learn)
+    grams = stored(gram_counts(word_counts(counted)), "toxicity-grams")
+    runs, contexts = class_tables(grams)
+    gram, context = (stored(t, "toxicity-ratios") for t in log_ratios(runs, contexts))
+    model = ToxicityModel(gram, context, np.array([-20.0] + [0.0] * MEASURES), gram.count() + context.count())
+    there = labels.where(F.col(label).isNotNull() & learn).count()
+    few = share(F.col("doc_id"), min(1.0, CALIBRATION_ROWS / max(there, 1)), SEED + 1)
+    sample = labelled_texts(docs, labels, label, learn & few).where(F.length("text") <= CALIBRATION_CHARACTERS)
+    rows = _sample_measures(stored(sample, "toxicity-sample"), runs, contexts)
     y = np.array([r["label"] == 1 for r in rows], float)
     if 0 < y.sum() < len(y):
-        x = np.column_stack([np.ones(len(y)), np.array([r["x"] for r in rows])])
-        model.weights = fit_logistic(x, y, 1e-4, np.array([0.0] + [1.0] * (1 + len(WINDOWS))))
+        x = np.array([r["x"] for r in rows])
+        spread = np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1.0)
+        weights = fit_logistic(np.column_stack([np.ones(len(y)), x / spread]), y, 1e-4, np.array([0.0] + [1.0] * MEASURES))
+        model.weights = weights / np.concatenate([[1.0], spread])
     return model
 
 
-def measured(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+def measured(rows: DataFrame, model: ToxicityModel, entries: int = MODEL_ENTRIES) -> DataFrame:
     """``rows`` (which must have a column ``text``) with ``x``, the measures of its evidence."""
-    sent = rows.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))  # tables of fixed size
-    kept = [c for c in rows.columns if c != "text"]
+    return _measured_in_tasks(rows, model) if model.entries <= entries else _measured_by_joins(rows, model)
+
+
+def _with_measures(rows: DataFrame, make_scores, inputs: tuple[str, ...] = ("text",)) -> DataFrame:
+    kept = [c for c in rows.columns if c not in inputs]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ", x array<double>"
 
     def make():
-        memo: dict = {}
-        known = ToxicityModel(*sent.value)
+        scores = make_scores()
 
         def work(batch):
-            texts = batch.column("text")
-            found = [known.evidence(texts.slice(i, 64).to_pylist(), memo) for i in range(0, batch.num_rows, 64)]
-            return {c: batch.column(c) for c in kept} | {"x": np.concatenate(found).tolist()}
+            x: list = []
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                words = [ascii_words(t) for t in part.column("text").to_pylist()]
+                x += [evidence(w, s) for w, s in zip(words, scores(words, part))]
+            return {c: batch.column(c) for c in kept} | {"x": x}
 
         return work
 
     return map_batches(rows, schema, make)
 
 
+def _measured_in_tasks(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """Tasks hold the ratios, at most ``MODEL_ENTRIES`` of them."""
+    sent = rows.sparkSession.sparkContext.broadcast(tuple(vars(model.ratios()).values()))
+
+    def make():
+        ratios, memo = Ratios(*sent.value), {}
+
+        def scores(words, _):
+            wanted = set().union(*words)
+            missing = [w for w in wanted if w not in memo]
+            if len(memo) + len(missing) > 300_000:
+                memo.clear()
+                missing = list(wanted)
+            if missing:
+                memo.update(zip(missing, ratios.word_scores(missing).tolist()))
+            return [memo] * len(words)
+
+        return scores
+
+    return _with_measures(rows, make)
+
+
+def word_scores(words: DataFrame, model: ToxicityModel) -> DataFrame:
+    """(word, score) of distinct words by joining their runs with the ratios."""
+    def make():
+        def work(batch):
+            words_ = batch.column("word")
+            keys, starts = gram_keys(words_.to_pylist())
+            lengths = np.diff(np.append(starts, len(keys)))
+            return {"word": words_.take(pa.array(np.repeat(np.arange(len(words_)), lengths))), "key": keys}
+
+        return work
+
+    # A run that many words share is counted per word only after the joins; its ratio is one row.
+    each = map_batches(words, "word binary, key long", make)
+    seen = each.join(model.gram, "key", "left").withColumn("context", _context())
+    rest = model.context.select(F.col("key").alias("context"), F.col("ratio").alias("rest"))
+    return seen.join(rest, "context", "left").groupBy("word").agg(
+        F.sum(F.coalesce("ratio", "rest", F.lit(0.0))).alias("score"))
+
+
+def _measured_by_joins(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The distinct words of each row get their scores by a join on the word, whatever the size of the model."""
+    ident, words, found = tag("row"), tag("words"), tag("scores")
+    numbered = stored(rows.withColumn(ident, F.monotonically_increasing_id()), "toxicity-rows")
+
+    def make():
+        def work(batch):
+            texts = [list(dict.fromkeys(ascii_words(t))) for t in batch.column("text").to_pylist()]
+            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+            return {ident: np.repeat(np.asarray(batch.column(ident), np.int64), lengths),
+                    "word": pa.array([w for t in texts for w in t], pa.binary())}
+
+        return work
+
+    each = map_batches(numbered.select(ident, "text"), f"{ident} long, word binary", make)
+    scored = stored(word_scores(each.select("word").distinct(), model), "toxicity-words")
+    per_row = each.join(scored, "word").groupBy(ident).agg(
+        F.collect_list(F.struct("word", "score")).alias(found))
+    joined = numbered.join(per_row, ident, "left").drop(ident)
+    flat = joined.withColumns({words: F.col(f"{found}.word"), found: F.col(f"{found}.score")})
+
+    def make_scores():
+        def scores(_, part):
+            return [dict(zip(w or (), s or ())) for w, s in zip(
+                part.column(words).to_pylist(), part.column(found).to_pylist())]
+
+        return scores
+
+    return _with_measures(flat, make_scores, ("text", words, found))
+
+
 def toxicity(docs: DataFrame, model: ToxicityModel, carry: list[str] | None = None, text: str = "text") -> DataFrame:
     """``row`` (the columns ``carry``, else all, as one struct), ``score`` and ``predicted``.
 
     A null text counts as empty; an empty text has no evidence and gets the score of none.  Rows are
-    scored one by one, so repeated rows get equal scores and an empty table no rows.  Extra columns of
-    any name only travel in ``row``.
+    scored one by one, so repeated rows get equal scores and an empty table no rows; texts of any length are
+    scored whole.  Extra columns of any name only travel in ``row``.
     """
     rows = docs.select(F.struct(*(carry or ["*"])).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     bias, *weights = (float(w) for w in model.weights)

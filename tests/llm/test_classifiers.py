@@ -47,38 +47,138 @@ def test_toxicity_finds_held_out_rows(spark, documents, prose):
     assert got.select("row.*").columns == docs.columns
 
 
-def test_toxicity_ratios_are_kneser_ney():
-    """Against the formulas written out for single contexts."""
-    words, toxic, ordinary = [b"ab", b"ac", b"xb"], [3, 0, 1], [1, 4, 0]
-    grams = {}
-    for w, t, o in zip(words, toxic, ordinary):
-        framed = b"\x01" + w + b"\x02"
-        for i in range(1, len(framed)):
-            key = framed[max(0, i - 4):i + 1]
-            n = grams.setdefault(key, [0, 0])
-            n[0] += t
-            n[1] += o
-    keys = sorted(grams)
-    numbers = np.array([int.from_bytes(k, "big") for k in keys], np.uint64)
-    assert set(toxicity.gram_keys(words)[0].tolist()) == set(numbers.tolist())
-    got, _ = toxicity.log_ratios(numbers, *np.array([grams[k] for k in keys], float).T)
-    triples = {k[-3:].rjust(3, b"\0") for k in keys}
-    contexts = {t: sum(k[-3:].rjust(3, b"\0") == t for k in keys) for t in triples}
-    d = toxicity.DISCOUNT
-
-    def shared(k):
-        t = k[-3:].rjust(3, b"\0")
-        same = [u for u in triples if u[:2] == t[:2]]
-        base = (sum(u[2] == t[2] for u in triples) + 1) / (len(triples) + 256)
-        return (max(contexts[t] - d, 0) + d * len(same) * base) / sum(contexts[u] for u in same)
-
-    def p(k, c):
-        after = [grams[j][c] for j in keys if j[:-1] == k[:-1]]
-        if not sum(after):
-            return shared(k)
-        return max(grams[k][c] - d, 0) / sum(after) + d * sum(x > 0 for x in after) / sum(after) * shared(k)
-
-    assert np.allclose(got, [np.log(p(k, 0)) - np.log(p(k, 1)) for k in keys])
+def as_runs(word):
+    framed = b"\x01" + word + b"\x02"
+    return [framed[max(0, i - toxicity.ORDER + 1):i + 1] for i in range(1, len(framed))]
+
+
+class PlainKneserNey:
+    """The formulas written out over dictionaries."""
+
+    def __init__(self, counts):
+        self.grams = {}
+        for word, pair in counts.items():
+            for g in as_runs(word):
+                n = self.grams.setdefault(g, [0, 0])
+                n[0] += pair[0]
+                n[1] += pair[1]
+        self.levels, runs = {}, set(self.grams)
+        for order in range(toxicity.SHARED_ORDER, 0, -1):
+            level = {}
+            for g in runs:
+                level[g[-order:]] = level.get(g[-order:], 0) + 1
+            self.levels[order], runs = level, set(level)
+
+    def shared(self, g, order):
+        if not order:
+            return 1 / 256
+        level, g = self.levels[order], g[-order:]
+        after = [n for h, n in level.items() if h[:-1] == g[:-1]]
+        lower = self.shared(g, order - 1)
+        d = toxicity.DISCOUNT
+        return (max(level.get(g, 0) - d, 0) + d * len(after) * lower) / sum(after) if after else lower
+
+    def probability(self, g, label, own=()):
+        """Of the last byte of ``g``; ``own`` are the runs of a text of this class that does not count."""
+        left = {h: n[label] - sum(h == o for o in own) for h, n in self.grams.items() if h[:-1] == g[:-1]}
+        total, kinds, d = sum(left.values()), sum(n > 0 for n in left.values()), toxicity.DISCOUNT
+        shared = self.shared(g, toxicity.SHARED_ORDER)
+        return max(left.get(g, 0) - d, 0) / total + d * kinds / total * shared if total else shared
+
+    def score(self, word, own=((), ())):
+        return sum(np.log(self.probability(g, 0, own[0]) / self.probability(g, 1, own[1])) for g in as_runs(word))
+
+
+def model_of(spark, counts):
+    words = spark.createDataFrame([(w, *n) for w, n in counts.items()], "word binary, toxic long, ordinary long")
+    runs, contexts = toxicity.class_tables(toxicity.gram_counts(words))
+    gram, context = toxicity.log_ratios(runs, contexts)
+    return runs, contexts, toxicity.ToxicityModel(gram, context, np.zeros(1 + toxicity.MEASURES), 0)
+
+
+def some_words(seed, n):
+    draw = random.Random(seed)
+    return {"".join(draw.choice("abcé") for _ in range(draw.randint(1, 12))).encode(): (draw.randint(0, 3), draw.randint(0, 5))
+            for _ in range(n)}
+
+
+def test_toxicity_ratios_are_kneser_ney(spark):
+    counts = {w: n for w, n in some_words(1, 60).items() if sum(n)}
+    _, _, model = model_of(spark, counts)
+    plain, ratios = PlainKneserNey(counts), model.ratios()
+    wanted = [*counts, *list(some_words(2, 30)), b"zzz", b"ab" * 40]
+    expected = [plain.score(w) for w in wanted]
+    assert np.allclose(ratios.word_scores(wanted), expected, atol=1e-4)
+    joined = {bytes(r.word): r.score for r in toxicity.word_scores(
+        spark.createDataFrame([(w,) for w in set(wanted)], "word binary"), model).collect()}
+    assert np.allclose([joined[w] for w in wanted], expected)
+
+
+def test_a_sampled_text_is_measured_without_its_own_counts(spark):
+    counts = {w: n for w, n in some_words(3, 40).items() if sum(n)}
+    text = [w for w, n in counts.items() if n[0]][:5]
+    runs, contexts, _ = model_of(spark, counts)
+    known = toxicity.Counts(runs.toArrow(), contexts.toArrow())
+    own = [g for w in text for g in as_runs(w)]
+    plain = PlainKneserNey(counts)
+    expected = toxicity.evidence(text, {w: plain.score(w, (own, ())) for w in text})
+    assert np.allclose(known.without(text, 1), expected)
+
+
+def test_evidence_written_out():
+    draw = random.Random(5)
+    score = {bytes([c]): draw.uniform(-3, 9) for c in range(97, 117)}
+    for n in (1, 3, 10, 90):
+        words = [draw.choice(list(score)) for _ in range(n)]
+        values = [score[w] for w in words]
+        strongest = sorted((score[w] for w in set(words)), reverse=True)
+        expected = [sum(values) / n]
+        for size in toxicity.WINDOWS:
+            width = min(size, n)
+            expected.append(max(sum(values[i:i + width]) for i in range(n - width + 1)) / size)
+        expected += [sum(strongest[:k]) / k for k in toxicity.STRONGEST] + [np.log(len(strongest) + 1)]
+        expected += [np.log1p(sum(v > t for v in strongest)) for t in toxicity.ABOVE]
+        assert np.allclose(toxicity.evidence(words, score), expected)
+    # A dense passage counts although the words stood in the text before.
+    quiet = [b"x"] * 200
+    score |= {b"x": -1.0, b"bad": 9.0}
+    assert toxicity.evidence(quiet + [b"bad"] * 60, score)[0] > toxicity.evidence(quiet + [b"bad"], score)[0]
+
+
+def test_both_ways_to_measure_agree(spark, documents, prose):
+    rows, labels = labelled(spark, prose, insulted, 120)
+    rows += [(9001, None), (9002, ""), (9003, "same " * 5000), (9003, "same " * 5000)]
+    docs = documents(rows, CLASHING)
+    model = toxicity.train_toxicity(docs, labels, F.lit(True))
+    source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    held, joined = (sorted((r.doc_id, [round(v, 3) for v in r.x]) for r in toxicity.measured(source, model, n).collect())
+                    for n in (10**9, 0))
+    assert held == joined and len(held) == len(rows)
+
+
+STEMS = {"abcdefgh": "zuqq", "éèêàùçôî": "ôçéù", "абвгдежз": "жзгд", "漢字仮名交文書": "名文漢字"}
+
+
+def test_unknown_forms_of_a_stem_in_four_scripts(spark, documents):
+    rows, labels = [], []
+    for k, (letters, stem) in enumerate(STEMS.items()):
+        for i in range(90):
+            draw = random.Random(f"{k}-{i}")
+            words = ["".join(draw.choice(letters) for _ in range(draw.randint(2, 6))) for _ in range(60)]
+            bad = i % 5 == 0
+            if bad:
+                for _ in range(4):
+                    words[draw.randrange(60)] = stem + "".join(draw.choice(letters) for _ in range(draw.randint(2, 4)))
+            rows.append((1000 * k + i, " ".join(words)))
+            labels.append((1000 * k + i, 1, int(bad)))
+    docs = documents(rows)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train_toxicity(docs, known, toxicity.learnable())
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, model).select("row.doc_id", "predicted").collect()}
+    for k in range(4):
+        held = [(i, bad) for i, _, bad in labels if i // 1000 == k and zlib.crc32(str(i).encode()) % 3 == 1]
+        assert sum(got[i] == bad for i, bad in held) >= 0.9 * len(held)
+        assert sum(got[i] for i, bad in held if bad) >= 0.7 * sum(bad for _, bad in held)
 
 
 def shouted(text, seed):
