@@ -145,7 +145,7 @@ def signed(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) ->
 
 
 def _with_region(rows: DataFrame, regions: DataFrame) -> DataFrame:
-    """``rows`` joined with what is known per ``key``; the rows of one region go to ``SALTS`` places."""
+    """``rows`` joined with what is known per ``key`` (a region, a shingle); the rows of one go to ``SALTS`` places."""
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
     copies = regions.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return salted.join(copies, ["key", "_salt"]).drop("_salt")
@@ -287,14 +287,14 @@ def _linkable(rows: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
             digests = [np.frombuffer(d.as_py(), "<i8") for d in batch.column("digests")]
             counts = np.array([len(d) for d in digests])
             row = pa.array(np.repeat(np.arange(len(digests)), counts))
-            return {"digest": np.concatenate(digests), "node": batch.column("node").take(row),
+            return {"key": np.concatenate(digests), "node": batch.column("node").take(row),
                     "component": batch.column("component").take(row)}
 
         return work
 
-    each = map_batches(members, "digest long, node binary, component binary", make)
-    ends = each.groupBy("digest").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    shared = each.join(ends.where("low <> high").select("digest"), "digest").groupBy("node").agg(
+    each = map_batches(members, "key long, node binary, component binary", make)
+    ends = each.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    shared = _with_region(each, ends.where("low <> high").select("key")).groupBy("node").agg(
         F.count(F.lit(1)).alias("shared"))
     sizes = rows.select("node", "n_shingles").distinct()
     return shared.join(sizes, "node").where(F.col("shared") * 100 >= F.col("n_shingles") * similarity).select("node")

@@ -2,8 +2,8 @@
 
 The plan places counts, not documents: there are at most as many lengths as a sequence
 has tokens, so the driver works on a few thousand numbers however many documents there are.
-It says which ranks within a length go to which sequences; each piece then takes its slot by
-its rank within its length.
+It says which ranks within a length go to which sequences, and how many to each; each piece then takes its
+slot by its rank within its length.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ CAPACITY = 4096
 END_ID = 1
 
 
-def plan_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
-    """Segments (length, first rank, count, first sequence, offset): rank first+i goes to sequence first+i.
+def plan_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
+    """Segments (length, first rank, count, per, first sequence, offset).
 
-    Longest first; a run of equal pieces goes to the sequences with the least room that still
-    fits it.  Sequences in the same state are handled as one range.
+    Rank first+i goes to sequence first+i//per, as piece i%per from the offset on.  Longest first; a piece
+    goes to the sequence with the least room that still fits it.  A sequence that took a piece has less room
+    than before, so equal pieces fill one sequence after the other.  Sequences in the same state are
+    handled as one range.
     """
     room: dict[int, list[tuple[int, int]]] = {}
     sizes: list[int] = []
@@ -35,7 +37,7 @@ def plan_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     sequences = 0
 
     def keep(left: int, first: int, n: int) -> None:
-        if left:
+        if left and n:
             if left not in room:
                 room[left] = []
                 insort(sizes, left)
@@ -53,12 +55,15 @@ def plan_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
             else:
                 left, first, n = capacity, sequences, -(-todo // (capacity // length))
                 sequences += n
-            used = min(n, todo)
-            if used < n:
-                keep(left, first + used, n - used)
-            segments.append((length, rank, used, first, capacity - left))
-            keep(left - length, first, used)
-            rank, todo = rank + used, todo - used
+            per = left // length
+            full = min(n, todo // per)
+            # Full sequences, and at most one that takes what remains.
+            for many, each in ((full, per), (1, todo - full * per) if full < n and todo > full * per else (0, 1)):
+                if many:
+                    segments.append((length, rank, many * each, each, first, capacity - left))
+                    keep(left - each * length, first, many)
+                    rank, todo, first, n = rank + many * each, todo - many * each, first + many, n - many
+            keep(left, first, n)
     return segments
 
 
@@ -113,21 +118,22 @@ def pack_best_fit(
 
     # At most ``capacity`` rows reach the driver.
     counts = {r["length"]: r["n"] for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    slots: dict[int, list[tuple[int, int, int]]] = {}
-    for length, rank, _, sequence, offset in plan_best_fit(counts, capacity):
-        slots.setdefault(length, []).append((rank, sequence, offset))
+    slots: dict[int, list[tuple[int, int, int, int]]] = {}
+    for length, rank, _, per, sequence, offset in plan_best_fit(counts, capacity):
+        slots.setdefault(length, []).append((rank, per, sequence, offset))
     plan = spark.createDataFrame(
-        list(slots.items()), "length long, slots array<struct<rank: long, sequence: long, offset: long>>")
+        list(slots.items()), "length long, slots array<struct<rank: long, per: long, sequence: long, offset: long>>")
 
     ranked = pieces.join(based, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("base"))
     rank = F.col("rank")
     # At most ``capacity`` rows, and the segments of the plan do not grow with the documents.
     placed = ranked.join(F.broadcast(plan), "length").withColumn(
         "slot", F.element_at(F.filter("slots", lambda s: s["rank"] <= rank), -1))
+    nth, per = rank - F.col("slot.rank"), F.col("slot.per")
     return placed.select(
         ident, "piece", "start", "length", "ids_crc32",
-        (F.col("slot.sequence") + rank - F.col("slot.rank")).alias("sequence_id"),
-        F.col("slot.offset").alias("offset"),
+        (F.col("slot.sequence") + F.floor(nth / per)).alias("sequence_id"),
+        (F.col("slot.offset") + nth % per * F.col("length")).alias("offset"),
     )
 
 

@@ -2,8 +2,8 @@
 
 A pair is a good and a bad labelled document; the good one should win.  The strength of a
 document is linear in measures of its writing, so the logistic loss sees only differences of
-measures.  Strengths rank documents; the cut is a quantile of the strengths of labelled rows, the one
-that splits good from bad best, and scores are placed so that the cut lies at 0.7.
+measures.  Strengths rank documents; the labelled rows say which share of them is best rejected, and the cut is the
+quantile of the strengths of all documents at that level.  Scores are placed so that the cut lies at 0.7.
 """
 
 from __future__ import annotations
@@ -16,11 +16,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import encoded, map_batches, remainder, table
+from marlstone.llm.common import encoded, map_batches, remainder, stored, table
 from marlstone.llm.labels import fit_logistic, labelled_texts, share
 
 # The fit sees at most about so many labelled rows, and so many pairs of them.
 FIT_ROWS, FIT_PAIRS = 30_000, 60_000
+# The quantile is off by at most one document in so many.
+ACCURACY = 100_000
 CUT = 0.7
 SEED = 6
 
@@ -75,7 +77,8 @@ class QualityModel:
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
-    cut: float
+    # Share of documents below the cut: 0 keeps all, 1 none.
+    level: float
 
     def strengths(self, x: np.ndarray) -> np.ndarray:
         return ((x - self.mean) / self.scale) @ self.weights
@@ -88,23 +91,21 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = FIT_PAIRS, seed: int =
                          np.zeros(len(MEASURES)), 0.0)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y != 1)
     if not len(good) or not len(bad):
-        model.cut = -1.0 if len(good) or not len(bad) else 1.0
+        model.level = 0.0 if len(good) or not len(bad) else 1.0
         return model
     z = (x - model.mean) / model.scale
     draw = np.random.default_rng(seed)
     difference = z[draw.choice(good, pairs)] - z[draw.choice(bad, pairs)]
     model.weights = fit_logistic(difference, np.ones(pairs), 1e-4)
     strength = z @ model.weights
-    # Every quantile level is tried; the cut lies midway between the two strengths it separates.
+    # Every level is tried; of equally good ones the middle one counts.
     order = np.argsort(strength)
-    ranked, is_good = strength[order], y[order] == 1
+    is_good = y[order] == 1
     bad_below = np.concatenate([[0], np.cumsum(~is_good)]) / len(bad)
     good_below = np.concatenate([[0], np.cumsum(is_good)]) / len(good)
     gain = bad_below - good_below
     best = np.flatnonzero(gain >= gain.max() - 1e-12)
-    level = best[len(best) // 2]
-    padded = np.concatenate([[ranked[0] - 1], ranked, [ranked[-1] + 1]])
-    model.cut = float((padded[level] + padded[level + 1]) / 2)
+    model.level = float(best[len(best) // 2] / len(y))
     return model
 
 
@@ -141,13 +142,28 @@ def quality_rank(docs: DataFrame, model: QualityModel, carry: list[str] | None =
     """
     rows = docs.select(F.struct(*(carry or ["*"])).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     weights = model.weights / model.scale
-    offset = float(-model.mean @ weights - model.cut + np.log(CUT / (1 - CUT)))
     products = F.zip_with("x", F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b)
-    logit = F.aggregate(products, F.lit(offset), lambda total, v: total + v)
-    return measured(rows).select("row", (1 / (1 + F.exp(-logit))).alias("score")).withColumn(
+    strength = F.aggregate(products, F.lit(float(-model.mean @ weights)), lambda total, v: total + v)
+    # Measured once; the quantile is merged from sketches of all tasks.
+    ranked = stored(measured(rows).select("row", strength.alias("strength")), "strengths")
+    cut = _cut(ranked, model.level)
+    logit = F.col("strength") - F.lit(cut) + F.lit(float(np.log(CUT / (1 - CUT))))
+    return ranked.select("row", (1 / (1 + F.exp(-logit))).alias("score")).withColumn(
         "predicted", (F.col("score") >= CUT).cast("int"))
 
 
+def _cut(ranked: DataFrame, level: float) -> float:
+    """The strength below which the share ``level`` of all documents lies; midway to the next one."""
+    if level <= 0 or level >= 1:
+        ends = ranked.agg(F.min("strength"), F.max("strength")).first()
+        return 0.0 if ends[0] is None else ends[0] - 1.0 if level <= 0 else ends[1] + 1.0
+    at = ranked.agg(F.percentile_approx("strength", level, ACCURACY).alias("cut")).first()["cut"]
+    if at is None:
+        return 0.0
+    above = ranked.where(F.col("strength") > at).agg(F.min("strength")).first()[0]
+    return at if above is None else (at + above) / 2
+
+
 def op6_quality_rank(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train_quality(docs, table(spark, sf_dir, "labels"), remainder(F.col("doc_id"), 4) != 2)

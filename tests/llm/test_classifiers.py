@@ -197,13 +197,55 @@ def test_quality_finds_held_out_rows(spark, documents, prose):
 
 
 def test_pairs_rank_and_cut():
-    draw = np.random.default_rng(0)
-    x = draw.normal(size=(400, len(quality_rank.MEASURES)))
-    y = (x[:, 0] - x[:, 1] > -1).astype(int)
-    model = quality_rank.fit_pairs(x, y, 5000)
+    draw = np.random.default_rng(1)
+    y = (draw.random(400) < 0.7).astype(int)
+    x = draw.normal(size=(400, len(quality_rank.MEASURES))) + 2.5 * y[:, None] * (np.arange(len(quality_rank.MEASURES)) < 2)
+    model = quality_rank.fit_pairs(x, y)
     strengths = model.strengths(x)
-    assert np.mean((strengths >= model.cut) == (y == 1)) > 0.97
-    assert model.weights[0] > 0 > model.weights[1]
+    assert np.mean((strengths >= np.quantile(strengths, model.level)) == (y == 1)) > 0.97
+    assert abs(model.level - (y == 0).mean()) < 0.03
+
+
+def test_pair_weights_minimise_the_loss_on_differences():
+    """Against plain gradient descent on the written-out loss over the same pairs."""
+    draw = np.random.default_rng(2)
+    n = len(quality_rank.MEASURES)
+    y = np.arange(60) % 2
+    x = draw.normal(size=(60, n)) + 0.3 * y[:, None]
+    model = quality_rank.fit_pairs(x, y, pairs=300, seed=4)
+    z = (x - model.mean) / model.scale
+    again = np.random.default_rng(4)
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y != 1)
+    difference = z[again.choice(good, 300)] - z[again.choice(bad, 300)]
+
+    def loss(w):
+        return np.mean([np.log1p(np.exp(-float(d @ w))) for d in difference]) + 0.5e-4 * float(w @ w)
+
+    w = np.zeros(n)
+    for _ in range(4000):
+        p = 1 / (1 + np.exp(difference @ w))
+        w -= 0.5 * (-(difference * p[:, None]).mean(axis=0) + 1e-4 * w)
+    assert loss(model.weights) <= loss(w) + 1e-6
+
+
+def test_the_cut_is_a_quantile_of_all_documents(spark):
+    values = [float(i * i % 997) for i in range(900)]
+    ranked = spark.createDataFrame([(v,) for v in values], "strength double")
+    for level in (0.1, 0.5, 0.9):
+        cut = quality_rank._cut(ranked, level)
+        below = sum(v < cut for v in values)
+        assert abs(below / len(values) - level) < 0.01
+    assert quality_rank._cut(ranked, 0.0) < min(values) and quality_rank._cut(ranked, 1.0) > max(values)
+    assert quality_rank._cut(ranked.limit(0), 0.3) == 0.0
+
+
+def test_long_and_repeated_texts_get_equal_scores(spark, documents, prose):
+    rows, labels = labelled(spark, prose, shouted, 80)
+    long = prose(500, 40_000)
+    docs = documents([*rows, (9003, long), (9004, long), (9003, long)])
+    model = quality_rank.train_quality(docs, labels, F.lit(True))
+    got = quality_rank.quality_rank(docs, model, ["doc_id"]).select("row.doc_id", "score").where("doc_id > 9000").collect()
+    assert len(got) == 3 and len({r.score for r in got}) == 1
 
 
 @pytest.mark.parametrize("train", [toxicity.train_toxicity, quality_rank.train_quality])

@@ -1,3 +1,4 @@
+import random
 import io
 import zlib
 
@@ -100,28 +101,43 @@ def test_packing_of_an_empty_table(spark, documents):
     assert packing.pack_best_fit(documents([]), WORD).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(5))
-def test_plan_on_counts_equals_best_fit_on_pieces(seed):
-    draw = np.random.default_rng(seed)
-    counts = {int(n): int(c) for n, c in zip(draw.choice(np.arange(1, 101), 30, False), draw.integers(1, 40, 30))}
-    plan = packing.plan_best_fit(counts, 100)
+def placed_by_plan(counts, capacity):
     placed, ranks = {}, {}
-    for length, rank, n, sequence, offset in plan:
+    for length, rank, n, per, sequence, offset in packing.plan_best_fit(counts, capacity):
         for i in range(n):
-            assert placed.get(sequence + i, 0) == offset
-            placed[sequence + i] = offset + length
+            at = sequence + i // per
+            assert placed.get(at, 0) == offset + i % per * length
+            placed[at] = placed.get(at, 0) + length
             ranks.setdefault(length, []).append(rank + i)
-    assert max(placed.values()) <= 100
+    assert max(placed.values()) <= capacity
     assert {k: sorted(v) for k, v in ranks.items()} == {k: list(range(c)) for k, c in counts.items()}
-    rooms = []  # one piece at a time
+    return sorted(placed.values())
+
+
+def one_by_one(counts, capacity):
+    rooms = []
     for length in sorted(counts, reverse=True):
         for _ in range(counts[length]):
             fits = [r for r in rooms if r >= length]
-            room = min(fits) if fits else 100
             if fits:
-                rooms.remove(room)
-            rooms.append(room - length)
-    assert len(placed) == len(rooms)
+                rooms.remove(min(fits))
+            rooms.append((min(fits) if fits else capacity) - length)
+    return sorted(capacity - r for r in rooms)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_plan_is_best_fit(seed):
+    """The same sequences as placing one piece at a time: many lengths, and few with many equal pieces."""
+    draw = random.Random(seed)
+    capacity = draw.choice([20, 100])
+    kinds = draw.randint(1, 4) if seed % 2 else draw.randint(5, 30)
+    counts = {draw.randint(1, capacity): draw.randint(1, 40) for _ in range(kinds)}
+    assert placed_by_plan(counts, capacity) == one_by_one(counts, capacity)
+
+
+def test_equal_pieces_fill_one_sequence_after_the_other():
+    assert len(placed_by_plan({11: 2, 4: 2, 3: 3}, 20)) == 2
+    assert len(placed_by_plan({11: 2000, 4: 2000, 3: 3000}, 20)) == 2000
 
 
 def test_plan_does_not_grow_with_the_counts():
