@@ -112,6 +112,16 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+# What identifies a row of the entities that are deduplicated.
+DEDUP_KEYS = {
+    "customers": ["customer_id", "signup_ts"],
+    "products": ["product_id"],
+    "sellers": ["seller_id"],
+    "orders": ["order_id"],
+    "order_items": ["order_id", "item_seq"],
+}
+
+
 def cleansed(entity: str, raw: DataFrame, observe_as: Observation | str | None = None) -> DataFrame:
     """The silver table of an entity: cleaned, deduplicated, rules applied."""
     return apply_rules(CLEANERS[entity](raw), RULES[entity], observe_as)

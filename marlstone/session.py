@@ -29,9 +29,14 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session and return it."""
+    """Apply the runtime settings to an existing session and return it.
+
+    What the session was created with stays, but for the time zone, on which calendar keys depend.
+    """
+    given = spark.sparkContext.getConf()
     for key, value in RUNTIME_CONF.items():
-        if spark.conf.get(key, None) != value:
+        kept = key != "spark.sql.session.timeZone" and given.contains(key)
+        if not kept and spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 

@@ -7,10 +7,12 @@ from pyspark.sql import SparkSession
 from marlstone.operators.history import unsequenced
 from marlstone.plans import dimensions, marts
 from marlstone.plans.facts import fct_sales
+from marlstone.plans.silver import DEDUP_KEYS
 from marlstone.schemas import ENTITIES
 from marlstone.session import configure
 from marlstone.sources.calendar import calendar_days, calendar_span
 from marlstone.sources.tables import TableStore
+from marlstone.streaming.balance import balance
 from marlstone.streaming.bronze import refresh_bronze
 from marlstone.streaming.history import refresh_history
 from marlstone.streaming.silver import refresh_silver
@@ -60,6 +62,8 @@ def refresh_gold(store: TableStore, first: str | None = None, last: str | None =
     ]
     written = [] if store.state_of("gold", "dim_customer") == before else ["dim_customer"]
     bounds = f"{first} {last}"
+    views.append(("run_balance", [
+        *[("bronze", e.bronze) for e in ENTITIES.values()], *of(*ENTITIES, "fct_sales")], lambda: balance(store)))
     return written + [
         name for name, inputs, build in views
         if store.refresh_view("gold", name, inputs, build, bounds if name == "dim_date" else "")]
@@ -93,6 +97,8 @@ def full_refresh(
     if layer == "bronze":
         store.open_stream_version("bronze", tables.bronze)
         refresh_bronze(store, entity, landing_root, evolve)
+    if entity in DEDUP_KEYS:
+        store.open_stream_version("silver", f"{tables.silver}_arrivals")
     store.open_stream_version("silver", tables.silver)
     refresh_silver(store, entity)
     if all(store.stream_version("silver", e.silver) for e in ENTITIES.values()):

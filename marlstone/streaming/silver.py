@@ -1,4 +1,10 @@
-"""Bronze to silver: the cleansing functions applied to streams."""
+"""Bronze to silver: the cleansing functions applied to streams.
+
+Entities that are deduplicated take two steps.  First every batch of bronze rows is cleansed and its copies
+collapse, on the map side, to the smallest one (table ``<silver>_arrivals``); then a stream over these rows keeps the
+first arrival of every key in its state.  So the state meets a key at most once per batch, however
+many copies it has, and within a batch the result is that of the batch functions.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from marlstone.operators.quality import RULES, dq_metrics, violates_drop_rule
-from marlstone.plans.silver import CLEANERS
+from marlstone.plans.silver import CLEANERS, DEDUP_KEYS
 from marlstone.schemas import ENTITIES
 from marlstone.sources import files
 from marlstone.sources.tables import TableStore
@@ -73,15 +79,44 @@ def quarantined(store: TableStore, entity: str) -> DataFrame:
     return store.read_parts("silver", table, "quarantine", store.stored_schema("silver", table))
 
 
-def refresh_silver(store: TableStore, entity: str, max_files: int = MAX_FILES_PER_BATCH) -> dict[str, int]:
-    """Cleanse the bronze rows that are new since the last run; returns the rule counts of this run."""
-    source, target = ENTITIES[entity].bronze, ENTITIES[entity].silver
+def collapse_arrivals(store: TableStore, entity: str, max_files: int) -> str:
+    """Cleanse the bronze rows that are new, one row per key and batch; returns the table they are in."""
+    source, target = ENTITIES[entity].bronze, f"{ENTITIES[entity].silver}_arrivals"
     if not store.stream_version("silver", target):
         store.open_stream_version("silver", target)
     store.bind_source("silver", target, "bronze", source)
-    last, there = store.commit_log("silver", target).last(), store.commit_log("bronze", source).last()
+    there = store.commit_log("bronze", source).last()
     rows = store.read_stream("bronze", source, max_files, store.source_position("silver", target))
-    append_checked(store, CLEANERS[entity](rows), entity)
+    nothing = store.spark.createDataFrame([], rows.schema)
+    store.store_schema("silver", target, CLEANERS[entity](nothing).schema)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        # As a plan of the store's session: a stream's own session does not plan adaptively.
+        store.append(CLEANERS[entity](nothing.unionByName(batch)), "silver", target, batch_id)
+
+    (
+        rows.writeStream.foreachBatch(append)
+        .option("checkpointLocation", store.checkpoint_path("silver", target))
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    store.advance_source("silver", target, there)
+    return target
+
+
+def refresh_silver(store: TableStore, entity: str, max_files: int = MAX_FILES_PER_BATCH) -> dict[str, int]:
+    """Cleanse the bronze rows that are new since the last run; returns the rule counts of this run."""
+    source, target = ("bronze", ENTITIES[entity].bronze), ENTITIES[entity].silver
+    if not store.stream_version("silver", target):
+        store.open_stream_version("silver", target)
+    bronze_rows = store.spark.createDataFrame([], store.stored_schema(*source))
+    store.store_schema("silver", target, CLEANERS[entity](bronze_rows).schema)
+    if entity in DEDUP_KEYS:
+        source = "silver", collapse_arrivals(store, entity, max_files)
+    store.bind_source("silver", target, *source)
+    last, there = store.commit_log("silver", target).last(), store.commit_log(*source).last()
+    rows = store.read_stream(*source, max_files, store.source_position("silver", target))
+    cleaned = rows.dropDuplicates(DEDUP_KEYS[entity]) if entity in DEDUP_KEYS else CLEANERS[entity](rows)
+    append_checked(store, cleaned, entity)
     store.advance_source("silver", target, there)
     new = stored_metrics(store, entity).where(F.col("batch_id") > last)
     per_rule = new.groupBy("rule").agg(F.sum("rows_checked").alias("n"), F.sum("rows_failed").alias("failed")).collect()

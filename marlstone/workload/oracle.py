@@ -366,7 +366,8 @@ def oracle_sql() -> dict[str, str]:
         "evolve_schema_add_columns": _RAW_ORDER_DROPS + """,
             CASE WHEN o_orderdate >= DATE '1997-01-01' THEN o_orderpriority END AS priority FROM orders""",
         "incremental_refresh": _RAW_ORDER_DROPS + " FROM orders",
-        "full_refresh": "SELECT CAST(o_orderkey AS VARCHAR) AS order_id, lower(o_orderstatus) AS order_status, "
+        "full_refresh": "SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, "
+                        "lower(o_orderstatus) AS order_status, strftime(o_orderdate, '%Y-%m-%d') AS order_date, "
                         "CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS order_ts, "
                         "o_totalprice AS order_total FROM orders",
         "append_only_guard": _sql(_SELLERS, "SELECT true AS refused, count(*) AS row_count FROM slv_sellers"),
@@ -380,7 +381,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(d AS DATE) AS full_date
             FROM (SELECT min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders),
               generate_series(date_trunc('day', a), date_trunc('day', b), INTERVAL 1 DAY) AS g(d)""",
-        "streaming_table_sink": _sql(_REVIEWS, "SELECT review_id, score, verified FROM clean_reviews"),
+        "streaming_table_sink": _sql(_REVIEWS, "SELECT * FROM clean_reviews"),
         "materialized_view_sink": "SELECT p_partkey, p_retailprice * 2 AS p_retailprice FROM part",
         "environment_config": _sql(_SELLERS, """
             SELECT 'dev' AS environment, count(*) AS row_count FROM slv_sellers
@@ -449,7 +450,6 @@ def oracle_sql() -> dict[str, str]:
             "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate",
             "lineitem"),
         "dedup_distinct_keys": "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem",
-        "stream_dedup": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
         "scd2_customer": _sql(_CHANGES, "SELECT * FROM versions"),
         "scd2_hot_keys": _sql(_CHANGES, "SELECT * FROM versions"),
         "scd2_out_of_order": _sql(_CHANGES, "SELECT * FROM versions"),
@@ -477,6 +477,30 @@ def oracle_sql() -> dict[str, str]:
         "dim_customer_keyed": _sql(_CUSTOMERS, "SELECT true AS customer_sk, * FROM dim_customer_keyed"),
         "mv_revenue_daily": _sql((*_FACT, _DAILY), "SELECT * FROM mv_daily"),
         "medallion_run": _sql((*_FACT, _DAILY), "SELECT * FROM mv_daily"),
+        "medallion_mv_sales_by_category": _sql((*_FACT, _CATEGORY), "SELECT * FROM mv_category"),
+        "medallion_mv_sales_by_state": _sql((*_FACT, _STATE), "SELECT * FROM mv_state"),
+        "medallion_mv_order_funnel": _sql((*_FACT, _FUNNEL), "SELECT * FROM mv_funnel"),
+        "medallion_mv_review_summary": _sql((_REVIEWS, _SUMMARY), "SELECT * FROM mv_reviews"),
+        "medallion_dim_date": _sql((_ORDERS, _DATES.format(
+            first="(SELECT CAST(min(order_ts) AS DATE) FROM slv_orders)",
+            last="(SELECT CAST(max(order_ts) AS DATE) FROM slv_orders)")), "SELECT * FROM dim_date"),
+        "run_balance": _sql(_FACT, " UNION ALL ".join([*(
+            f"SELECT '{entity}' AS entity, count(*) AS bronze_rows, CAST(0 AS BIGINT) AS rescued_rows, "
+            f"CAST({arrived} AS BIGINT) AS arrived_rows, "
+            + (f"count(*) - (SELECT count(*) FROM clean_{entity})" if entity not in ("payments", "reviews") else "CAST(0 AS BIGINT)")
+            + f" AS duplicate_rows, (SELECT count(*) FROM clean_{entity}) - (SELECT count(*) FROM slv_{entity}) AS dropped_rows, "
+            f"(SELECT count(*) FROM slv_{entity}) AS silver_rows, true AS adds_up FROM {source}"
+            for entity, source, arrived in (
+                ("customers", "log_customers", "count(*)"), ("products", "log_products", "count(*)"),
+                ("sellers", "log_sellers", "count(*)"), ("orders", "log_orders", "count(*)"),
+                ("order_items", "log_items", "count(*)"), ("payments", "log_payments", "sum(greatest(n, 0))"),
+                ("reviews", "clean_reviews", "count(*)"))),
+            "SELECT 'fct_sales', NULL, NULL, count(*), 0, count(*) - (SELECT count(*) FROM fct), "
+            "(SELECT count(*) FROM fct), true FROM slv_order_items"])).replace(
+                "WITH ", f"WITH {_PAYMENTS},{_REVIEWS},", 1),
+        "run_unplaced": _sql(_FACT, """
+            SELECT 'day' AS missing, count(*) AS lines, CAST(sum(revenue) AS DOUBLE) AS revenue FROM fct WHERE date_sk IS NULL
+            UNION ALL SELECT 'product', count(*), CAST(sum(revenue) AS DOUBLE) FROM fct WHERE product_id = 'UNKNOWN'"""),
         "mart_incremental_daily": _sql((*_FACT, _DAILY), "SELECT * FROM mv_daily"),
         "mart_incremental_category": _sql((*_FACT, _CATEGORY), "SELECT * FROM mv_category"),
         "mart_incremental_state": _sql((*_FACT, _STATE), "SELECT * FROM mv_state"),
@@ -538,6 +562,9 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT product_id, sum(revenue) AS revenue FROM fct GROUP BY product_id)
             ORDER BY revenue DESC, product_id LIMIT 10"""),
     }
+    sql["stream_dedup"] = sql["dedup_lineitem"]
+    for name in ("dim_product", "dim_seller", "dim_customer", "dim_customer_keyed"):
+        sql[f"medallion_{name}"] = sql[name]
     sql["scd2_incremental_tracked"] = sql["scd2_tracked_columns"]
     sql["br_order_items"] = sql["ingest_csv"]
     sql["br_reviews"] = sql["ingest_fixed_schema"]
@@ -558,7 +585,7 @@ def oracle_sql() -> dict[str, str]:
           ' ' || lower(state) || ' ' AS state, signup_date FROM log_customers""")
     columns = ("order_id, item_seq, customer_id, valid_from, product_id, seller_id, date_sk, quantity, "
                "CAST(unit_price AS DOUBLE) AS unit_price, CAST(revenue AS DOUBLE) AS revenue, order_status")
-    sql["fct_sales"] = _sql(_FACT, f"SELECT {columns} FROM fct")
+    sql["fct_sales"] = sql["medallion_fct_sales"] = _sql(_FACT, f"SELECT {columns} FROM fct")
     sql["fct_sales_as_of_event"] = _sql(_EVENT_FACT, f"SELECT {columns} FROM fct")
     for entity, (parts, _) in _RULE_SQL.items():
         select = "SELECT * FROM slv_" + entity

@@ -23,6 +23,7 @@ from marlstone.sources import landing
 from marlstone.sources.calendar import calendar_span
 from marlstone.sources.tables import SourceRewritten, TableStore
 from marlstone.streaming import bronze, refresh
+from marlstone.streaming.balance import unplaced
 from marlstone.streaming import silver as silver_streams
 from marlstone.streaming.history import refresh_history
 from marlstone.streaming.marts import MartFeed
@@ -224,7 +225,7 @@ def full_refresh(shop):
     bronze.refresh_bronze(store, "orders", landing_root)
     silver_streams.refresh_silver(store, "orders")
     refresh.full_refresh(store, "orders", landing_root)
-    return store.read("silver", "slv_orders").select("order_id", "order_status", "order_ts", "order_total")
+    return store.read("silver", "slv_orders")
 
 
 @query
@@ -308,9 +309,7 @@ def calendar_generator(shop):
 
 @query
 def streaming_table_sink(shop):
-    return _stream_to_table(shop, silver.reviews(_json_reviews(shop)), "sink").select(
-        "review_id", "score", "verified"
-    )
+    return _stream_to_table(shop, silver.reviews(_json_reviews(shop)), "sink")
 
 
 def _json_reviews(shop: Shop) -> DataFrame:
@@ -510,8 +509,18 @@ def dedup_distinct_keys(shop):
 
 @query
 def stream_dedup(shop):
-    keys = _table_stream(shop, "lineitem").select("l_orderkey", "l_linenumber")
-    return _stream_to_table(shop, dedup_by_key(keys, ["l_orderkey", "l_linenumber"]), "dedup")
+    """Lines collapsed batch by batch, then the first arrival of every key; all columns of it."""
+    keys = ["l_orderkey", "l_linenumber"]
+    store = TableStore(shop.spark, scratch_path(shop.spark, "dedup"))
+    lines = _table_stream(shop, "lineitem")
+    for table in ("arrivals", "kept"):
+        _open_silver(store, table, lines)
+    query = lines.writeStream.foreachBatch(
+        lambda batch, n: store.append(dedup_by_key(batch, keys), "silver", "arrivals", n)).option(
+        "checkpointLocation", store.checkpoint_path("silver", "arrivals")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    silver_streams.append_stream(store, dedup_by_key(store.read_stream("silver", "arrivals"), keys), "silver", "kept")
+    return store.read("silver", "kept")
 
 
 def _priority_changes(shop: Shop) -> DataFrame:
@@ -713,18 +722,56 @@ query(lambda shop: marts.in_report_order(_funnel(shop), "mv_order_funnel"), "mv_
 query(lambda shop: marts.in_report_order(_review_summary(shop), "mv_review_summary"), "mv_review_summary")
 
 
+_RUNS: dict[tuple, TableStore] = {}
+
+
+def _medallion(shop: Shop) -> TableStore:
+    """Landing files of all entities, copies included, to marts in one run; once per session and input."""
+    key = shop.spark.sparkContext.applicationId, shop.sf_dir
+    if key not in _RUNS:
+        base = scratch_path(shop.spark, "medallion")
+        for entity in ENTITIES:
+            _land(shop, entity, f"{base}/landing")
+        refresh.run_medallion(shop.spark, f"{base}/landing", f"{base}/tables")
+        _RUNS[key] = TableStore(shop.spark, f"{base}/tables")
+    return _RUNS[key]
+
+
+def _register_run(name: str, table: str) -> None:
+    query(lambda shop: _medallion(shop).read("gold", table), name)
+
+
+_register_run("medallion_run", "mv_revenue_daily")
+for _mart in ("mv_sales_by_category", "mv_sales_by_state", "mv_order_funnel", "mv_review_summary", "dim_date"):
+    _register_run(f"medallion_{_mart}", _mart)
+query(lambda shop: _medallion(shop).read("gold", "dim_product").withColumn(
+    "is_unknown_member", F.col("product_sk") == -1).drop("product_sk"), "medallion_dim_product")
+query(lambda shop: _medallion(shop).read("gold", "dim_seller").drop("seller_sk"), "medallion_dim_seller")
+query(lambda shop: _medallion(shop).read("gold", "dim_customer").withColumnsRenamed(
+    {history.START: "start_at", history.END: "end_at"}), "medallion_dim_customer")
+query(lambda shop: _medallion(shop).read("gold", "dim_customer_keyed").withColumn(
+    "customer_sk", F.col("customer_sk") == surrogate_key("customer_id", "valid_from")), "medallion_dim_customer_keyed")
+
+
 @query
-def medallion_run(shop):
-    """Landing files to marts in one run; the daily mart as stored."""
-    base = scratch_path(shop.spark, "medallion")
-    for entity in ENTITIES:
-        rows = shop.raw(entity)
-        if entity == "order_items":
-            # A stream keeps whichever copy of a line arrives first; land one of each.
-            rows = dedup_by_key(rows, ["order_id", "item_seq"])
-        _land(shop, entity, f"{base}/landing", rows)
-    refresh.run_medallion(shop.spark, f"{base}/landing", f"{base}/tables")
-    return TableStore(shop.spark, f"{base}/tables").read("gold", "mv_revenue_daily")
+def medallion_fct_sales(shop):
+    store = _medallion(shop)
+    fact = store.read("gold", "fct_sales")
+    for key, dimension, names in (("customer_sk", "dim_customer_keyed", ["customer_id", "valid_from"]),
+                                  ("product_sk", "dim_product", ["product_id"]), ("seller_sk", "dim_seller", ["seller_id"])):
+        fact = fact.join(store.read("gold", dimension).select(key, *names), key, "left").drop(key)
+    return fact
+
+
+@query
+def run_balance(shop):
+    """Files depend on the writer's tasks and are left out."""
+    return _medallion(shop).read("gold", "run_balance").drop("landing_files")
+
+
+@query
+def run_unplaced(shop):
+    return unplaced(_medallion(shop).read("gold", "fct_sales"))
 
 
 def _mart_feed(shop: Shop) -> tuple[TableStore, MartFeed]:
@@ -792,14 +839,12 @@ def dq_metrics_stream(shop):
     landing_root, store = _fresh(shop, "dq-stream")
     for entity, schema in ENTITIES.items():
         rows = shop.raw(entity)
-        if entity == "order_items":
-            # A stream keeps whichever copy of a line arrives first; land one of each.
-            rows = dedup_by_key(rows, ["order_id", "item_seq"])
+        # All copies of a row have one first column, so they come in one drop and the smallest stays.
         late = F.pmod(F.xxhash64(schema.schema.names[0]), F.lit(2)) == 0
         for drop in (rows.where(late), rows.where(~late)):
             _land(shop, entity, landing_root, drop)
             bronze.refresh_bronze(store, entity, landing_root)
-            silver_streams.refresh_silver(store, entity, max_files=2)
+            silver_streams.refresh_silver(store, entity)
     parts = [silver_streams.stored_metrics(store, entity) for entity in ENTITIES]
     counts = ["rows_checked", "rows_passed", "rows_failed", "rows_dropped"]
     return unions.union_all(*parts).groupBy("table_name", "rule", "action").agg(*[F.sum(c).alias(c) for c in counts])
