@@ -144,11 +144,12 @@ def signed(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) ->
         f"doc_id {kind}, text_hash long, n_shingles long, node binary, sig binary, keys array<long>", make)
 
 
-def _with_region(rows: DataFrame, regions: DataFrame) -> DataFrame:
-    """``rows`` joined with what is known per ``key`` (a region, a shingle); the rows of one go to ``SALTS`` places."""
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
-    copies = regions.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return salted.join(copies, ["key", "_salt"]).drop("_salt")
+def _spread_join(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with what is known per ``key``; the rows of one key go to ``SALTS`` places."""
+    salt = f"_{key}_salt"
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    copies = known.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, [key, salt]).drop(salt)
 
 
 def regions_of(nodes: DataFrame) -> DataFrame:
@@ -157,7 +158,7 @@ def regions_of(nodes: DataFrame) -> DataFrame:
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     turn = F.col("tree") * ROOT
     place = F.concat(F.substring("sig", turn + 1, F.length("sig")), F.substring("sig", F.lit(1), turn))
-    return _with_region(members, shared).join(nodes.select("node", "n_shingles", "sig"), "node").select(
+    return _spread_join(members, shared, "key").join(nodes.select("node", "n_shingles", "sig"), "node").select(
         "key", "node", "n_shingles", "sig", place.alias("place"))
 
 
@@ -287,14 +288,14 @@ def _linkable(rows: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
             digests = [np.frombuffer(d.as_py(), "<i8") for d in batch.column("digests")]
             counts = np.array([len(d) for d in digests])
             row = pa.array(np.repeat(np.arange(len(digests)), counts))
-            return {"key": np.concatenate(digests), "node": batch.column("node").take(row),
+            return {"digest": np.concatenate(digests), "node": batch.column("node").take(row),
                     "component": batch.column("component").take(row)}
 
         return work
 
-    each = map_batches(members, "key long, node binary, component binary", make)
-    ends = each.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    shared = _with_region(each, ends.where("low <> high").select("key")).groupBy("node").agg(
+    each = map_batches(members, "digest long, node binary, component binary", make)
+    ends = each.groupBy("digest").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    shared = _spread_join(each, ends.where("low <> high").select("digest"), "digest").groupBy("node").agg(
         F.count(F.lit(1)).alias("shared"))
     sizes = rows.select("node", "n_shingles").distinct()
     return shared.join(sizes, "node").where(F.col("shared") * 100 >= F.col("n_shingles") * similarity).select("node")
@@ -324,14 +325,14 @@ def open_pairs(regions: DataFrame, components: DataFrame, texts: DataFrame, widt
     """
     comp = F.coalesce("component", "node").alias("component")
     placed = regions.join(components, "node", "left").select("key", "node", "n_shingles", comp)
-    rows = stored(_with_region(placed, _mixed_regions(placed)), "open")
+    rows = stored(_spread_join(placed, _mixed_regions(placed), "key"), "open")
     sets = stored(digests_of(texts.join(rows.select("node").distinct(), "node", "left_semi"), width), "sets")
     columns = "key", "node", "n_shingles", "component"
     large = rows.where("blocks > 1").select(*columns)
     if not large.isEmpty():
         able = large.join(_linkable(large, sets, similarity), "node", "left_semi").select(*columns)
         able = stored(able, "linkable")
-        rows = rows.where("blocks = 1").unionByName(_with_region(able, _mixed_regions(able)))
+        rows = rows.where("blocks = 1").unionByName(_spread_join(able, _mixed_regions(able), "key"))
     rows = rows.join(sets, "node")
 
     def dealt_to(count):

@@ -1,10 +1,14 @@
 """SentencePiece BPE with seeded merge-dropout, and the decoder that undoes it.
 
 Merges are taken from an agenda, best score first and leftmost among equals.  A candidate
-that comes up is skipped when the keyed hash of (seed, variant, chunk, place and length of the merge)
-falls below the dropout rate, so a text has many segmentations and each of them is reproducible:
-no generator state, the same on every machine and in every retried task.  Whatever is
-skipped, the pieces spell the same text.
+that comes up is skipped when the keyed hash of (seed, document, number of the chunk in it, place and length of the
+merge) falls below the dropout rate.  So every occurrence of a word is segmented by itself, and each
+segmentation is reproducible: no generator state, the same on every machine and in every retried task.
+Whatever is skipped, the pieces spell the same text.
+
+What comes up next depends on the answers so far only.  A short chunk keeps the list of its candidates and its
+ids if none is skipped, and the same for what follows once a certain one is.  A text asks the hashes of all candidates of
+all its chunks at once, then goes on with the chunks that had a skip, from the first one on.
 """
 
 from __future__ import annotations
@@ -14,12 +18,12 @@ import re
 import zlib
 from array import array
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import Memo, map_batches, per_process, table
+from marlstone.llm.common import map_batches, per_process, table
 
 SPACE_MARK = "▁"
 # Stands for a space mark that is itself part of the text; no valid text contains it.
@@ -29,9 +33,20 @@ _STOP = re.compile(r"(?<=[A-Za-z0-9])([.,])")
 # Up to so many characters, looking through a list finds the best candidate faster than a heap.
 SHORT = 64
 DROPOUT = 0.1
-VARIANTS = 4
 SEED = 17
-MEMO_CHUNKS = 500_000
+# Lists of candidates that are kept before they are dropped and made anew.
+KEPT_LISTS = 250_000
+_ALL = 2**64 - 1
+# Odd multipliers of the keyed hash.
+_BY_CHUNK, _BY_PLACE, _SPREAD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
+
+
+def skip_hash(key: int, place: int, length: int) -> int:
+    """64 bits for one candidate merge of one occurrence; ``key`` stands for seed, document and chunk number."""
+    x = (key ^ (place << 32 | length) * _BY_PLACE) & _ALL
+    x = (x ^ x >> 32) * _SPREAD & _ALL
+    x = (x ^ x >> 32) * _SPREAD & _ALL
+    return x ^ x >> 32
 
 
 class PieceModel:
@@ -42,6 +57,8 @@ class PieceModel:
 
         model = SentencePieceProcessor(model_file=path)
         ids = range(model.get_piece_size())
+        if len(ids) > 1 << 16:
+            raise ValueError("ids are stored in 16 bits; the model has more than 65,536 pieces")
         plain = [i for i in ids if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)
                                         or model.is_unused(i))]
         self.id = {model.id_to_piece(i): i for i in plain}
@@ -59,8 +76,9 @@ class MergeDropout:
         self.model = PieceModel(path)
         self.below = int(dropout * 2**64)
         self.seed = seed
-        # A chunk's segmentation depends on the chunk and the variant only.
-        self.memo = Memo(lambda key: self.segment(*key), MEMO_CHUNKS)
+        # By chunk: [candidates as 64-bit integers, ids, skips before, what follows the skip of each candidate].
+        self.lists: dict[str, list] = {}
+        self.kept = 0
 
     def chunks(self, text: str) -> list[str]:
         """Space mark and what follows it; no piece has a space mark behind another character."""
@@ -73,16 +91,10 @@ class MergeDropout:
         text = text.replace(SPACE_MARK, "\0" + SPACE_MARK).replace("\n", "\0\n\0")
         return _STOP.sub("\0\\1", text).split("\0")[1:]
 
-    def segment(self, variant: int, chunk: str) -> bytes:
-        """Ids of one chunk as little-endian 16-bit integers."""
-        key = (self.seed * 0x9E3779B97F4A7C15 + variant) & (2**64 - 1)
-        key = xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"), key)
-
-        def skipped(left: int, joined: str) -> bool:
-            return xxhash.xxh3_64_intdigest(b"%d %d" % (left, len(joined)), key) < self.below
-
+    def _ids(self, parts: list[str]) -> bytes:
+        """Little-endian 16-bit integers."""
         ids = array("H")
-        for part in (self._listed if len(chunk) <= SHORT else self._heaped)(chunk, skipped):
+        for part in parts:
             known = self.model.id.get(part)
             if known is not None:
                 ids.append(known)
@@ -90,6 +102,25 @@ class MergeDropout:
                 ids.extend(self.model.byte_id[b] for b in part.replace(OWN_MARK, SPACE_MARK).encode())
         return ids.tobytes()
 
+    def _follow(self, chunk: str, skips: tuple[int, ...]) -> list:
+        """Candidates and ids after these skips, each counted from the one before."""
+        level, passed, codes = 0, 0, array("Q")
+
+        def skipped(place: int, joined: str) -> bool:
+            nonlocal level, passed
+            if level == len(skips):
+                codes.append((place << 32 | len(joined)) * _BY_PLACE & _ALL)
+                return False
+            if passed == skips[level]:
+                level, passed = level + 1, 0
+                return True
+            passed += 1
+            return False
+
+        ids = self._ids(self._listed(chunk, skipped))
+        self.kept += 1
+        return [codes.tobytes(), ids, skips, {}]
+
     def _listed(self, chunk: str, skipped) -> list[str]:
         """Merges of a short chunk; the agenda is the list of scores between neighbours."""
         score, none = self.model.score.get, float("-inf")
@@ -101,7 +132,7 @@ class MergeDropout:
                 break
             i = agenda.index(best)
             joined = parts[i] + parts[i + 1]
-            if self.below and skipped(places[i], joined):
+            if skipped(places[i], joined):
                 agenda[i] = none
                 continue
             parts[i] = joined
@@ -123,7 +154,7 @@ class MergeDropout:
         while agenda:
             _, left, joined = heapq.heappop(agenda)
             part, right = parts[left], after[left]
-            if part is None or right >= n or part + parts[right] != joined or self.below and skipped(left, joined):
+            if part is None or right >= n or part + parts[right] != joined or skipped(left, joined):
                 continue
             parts[left], parts[right] = joined, None
             end = after[left] = after[right]
@@ -137,8 +168,58 @@ class MergeDropout:
         return [part for part in parts if part is not None]
 
     def encode(self, text: str | None, variant: int = 0) -> bytes:
-        memo = self.memo
-        return b"".join([memo[variant, chunk] for chunk in self.chunks(text or "")])
+        """Ids of a text; ``variant`` stands for the document."""
+        chunks = self.chunks(text or "")
+        if self.kept > KEPT_LISTS:
+            self.lists.clear()
+            self.kept = 0
+        base = (self.seed * _BY_PLACE + variant) * _SPREAD & _ALL
+        out: list[bytes] = [b""] * len(chunks)
+        open_, at = [], []
+        for number, chunk in enumerate(chunks):
+            if len(chunk) > SHORT:
+                key = base + number * _BY_CHUNK & _ALL
+                out[number] = self._ids(self._heaped(
+                    chunk, lambda place, joined, key=key: skip_hash(key, place, len(joined)) < self.below))
+                continue
+            known = self.lists.get(chunk)
+            if known is None:
+                known = self.lists[chunk] = self._follow(chunk, ())
+            open_.append(known)
+            at.append(number)
+        while open_:
+            for number, known in zip(at, open_):
+                out[number] = known[1]
+            if not self.below:
+                break
+            sizes = np.fromiter((len(k[0]) for k in open_), np.int64, len(open_)) >> 3
+            ends = sizes.cumsum()
+            keys = np.uint64(base) + np.array(at, np.uint64) * np.uint64(_BY_CHUNK)
+            asked = np.repeat(keys, sizes) ^ np.frombuffer(b"".join([k[0] for k in open_]), np.uint64)
+            skips = np.flatnonzero(_spread(asked) <= np.uint64(self.below - 1))
+            # The first skip of every chunk that has one.
+            owners = np.searchsorted(ends, skips, "right")
+            owners, first = np.unique(owners, return_index=True)
+            places = (skips[first] - (ends - sizes)[owners]).tolist()
+            follow, numbers = [], []
+            for owner, place in zip(owners.tolist(), places):
+                known, number = open_[owner], at[owner]
+                after = known[3].get(place)
+                if after is None:
+                    after = known[3][place] = self._follow(chunks[number], (*known[2], place))
+                follow.append(after)
+                numbers.append(number)
+            open_, at = follow, numbers
+        return b"".join(out)
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    """The bits of ``skip_hash`` for keys that hold the candidate already."""
+    for _ in range(2):
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(_SPREAD)
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def decode(model: PieceModel, ids: bytes) -> str:
@@ -147,13 +228,14 @@ def decode(model: PieceModel, ids: bytes) -> str:
 
 
 def encode_pieces(
-    docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
+    docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED,
     ident: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Identifier, text (null: empty), ``variant``, ``ids`` (16-bit little-endian) per row.
 
-    A row's variant comes from its identifier (null: variant 0), so different documents segment equal
-    words differently.  Without dropout the ids are those of the library, save that a space mark
+    A row's variant, a hash of its identifier (null: 0), and the place of a word in the text decide how
+    it is segmented, so equal words come out differently within a document and between documents.  The model may
+    have up to 65,536 pieces.  Without dropout the ids are those of the library, save that a space mark
     in the text itself is spelled in bytes and so survives.  Repeated rows give repeated results, an
     empty table none; other columns are not read.
     """
@@ -170,7 +252,7 @@ def encode_pieces(
         return work
 
     variant = F.when(F.col(ident).isNull(), 0).otherwise(
-        F.pmod(F.xxhash64(F.col(ident), F.lit(seed)), F.lit(variants))).cast("int")
+        F.pmod(F.xxhash64(F.col(ident), F.lit(seed)), F.lit(2**31 - 1))).cast("int")
     rows = docs.select(F.col(ident), F.coalesce(F.col(text), F.lit("")).alias("text"), variant.alias("variant"))
     kind = docs.schema[ident].dataType.simpleString()
     return map_batches(rows, f"`{ident}` {kind}, text string, variant int, ids binary", make)

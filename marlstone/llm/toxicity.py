@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import ascii_words, map_batches, remainder, stored, table, tag
@@ -145,8 +145,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def gram_counts(words: DataFrame) -> DataFrame:
-    """(key, toxic, ordinary) of every run of bytes in the counted words."""
+def _grams(words: DataFrame) -> DataFrame:
+    """(key, toxic, ordinary) of the runs of bytes in the counted words, summed within batches."""
     def make():
         def work(batch):
             toxic = np.asarray(batch.column(1), np.int64)
@@ -159,51 +159,93 @@ def gram_counts(words: DataFrame) -> DataFrame:
 
         return work
 
-    rows = map_batches(words, "key long, toxic long, ordinary long", make)
-    return rows.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    return map_batches(words, "key long, toxic long, ordinary long", make)
 
 
-def _context(key: str = "key") -> Column:
+def _suffix(key: Column | str, n: int) -> Column:
+    """The last ``n`` bytes of a run."""
+    return (F.col(key) if isinstance(key, str) else key).bitwiseAND(F.lit((1 << 8 * n) - 1))
+
+
+def _context(key: Column | str = "key") -> Column:
     return F.shiftrightunsigned(key, 8)
 
 
-def shared_backoff(grams: DataFrame, discount: float = DISCOUNT) -> DataFrame:
-    """(suffix, shared): probability of the last byte of each run of ``SHARED_ORDER`` bytes after the others.
+def short_backoff(words: DataFrame, discount: float = DISCOUNT) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of up to three bytes and the probability of their last byte, from how many longer runs each one ends.
+
+    There are at most 2**24 of them, however many texts: they fit the driver and a broadcast.
+    """
+    def make():
+        def work(batch):
+            keys = gram_keys(batch.column(0).to_pylist())[0]
+            return {"key": np.unique(keys & np.int64(0xFFFFFFFF))}
+
+        return work
 
-    From the number of different longer runs it ends, discounted and filled up from the next shorter one.
+    four = map_batches(words.select("word"), "key long", make).distinct()
+    counted = four.groupBy(_suffix("key", 3).alias("key")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    keys, n = counted.column("key").to_numpy(), counted.column("n").to_numpy().astype(float)
+    levels = [(keys, n)]
+    for order in (2, 1):
+        keys, n = np.unique(levels[-1][0] & ((1 << 8 * order) - 1), return_counts=True)
+        levels.append((keys, n.astype(float)))
+    known, p = np.empty(0, np.int64), np.empty(0)
+    for length, (keys, n) in enumerate(reversed(levels), 1):
+        _, group = np.unique(keys >> 8, return_inverse=True)
+        total, kinds = np.bincount(group, n), np.bincount(group)
+        lower = p[np.searchsorted(known, keys & ((1 << 8 * (length - 1)) - 1))] if length > 1 else 1 / 256
+        order = np.argsort(keys)
+        known = keys[order]
+        p = ((np.maximum(n - discount, 0) + discount * kinds[group] * lower) / total[group])[order]
+    return known, p
+
+
+def run_table(words: DataFrame, discount: float = DISCOUNT) -> DataFrame:
+    """Every run of bytes with all that its probabilities need; written once.
+
+    Counts by class, the shared probability of its last byte, and of its context the totals and the numbers of
+    different bytes by class; ``first`` marks one run of each context.  Contexts and the suffixes of four and five
+    bytes are all decided by the three bytes before the last one, so one shuffle by these serves them all.
     """
-    levels, runs = [], grams.select("key")
-    for order in range(SHARED_ORDER, 0, -1):
-        ends = runs.select(F.col("key").bitwiseAND(F.lit((1 << 8 * order) - 1)).alias("key"))
-        runs = stored(ends.groupBy("key").agg(F.count(F.lit(1)).alias("n")), f"toxicity-runs-{order}")
-        levels.append(runs)
-    # With no context at all there are at most 256 bytes, and an unseen one is as likely as any other.
-    lower = None
-    for order, level in enumerate(reversed(levels), 1):
-        totals = level.groupBy(_context().alias("context")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-        joined = level.withColumn("context", _context()).join(totals, "context")
-        if lower is None:
-            joined = joined.withColumn("shared", F.lit(1 / 256))
-        else:
-            suffix = F.col("key").bitwiseAND(F.lit((1 << 8 * (order - 1)) - 1)).alias("suffix")
-            joined = joined.withColumn("suffix", suffix).join(lower.withColumnRenamed("key", "suffix"), "suffix")
-        p = (F.greatest(F.col("n") - discount, F.lit(0.0)) + discount * F.col("kinds") * F.col("shared")) / F.col("total")
-        lower = joined.select("key", p.alias("shared"))
-    return lower.withColumnRenamed("key", "suffix")
-
-
-def class_tables(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per run: counts and shared probability; per context: total and kinds of following bytes, by class."""
-    suffix = F.col("key").bitwiseAND(F.lit((1 << 8 * SHARED_ORDER) - 1))
-    runs = grams.withColumn("suffix", suffix).join(shared_backoff(grams), "suffix").drop("suffix")
-    contexts = grams.groupBy(_context().alias("context")).agg(
-        F.sum("toxic").alias("toxic_total"), F.sum("ordinary").alias("ordinary_total"),
-        F.count(F.when(F.col("toxic") > 0, 1)).alias("toxic_kinds"),
-        F.count(F.when(F.col("ordinary") > 0, 1)).alias("ordinary_kinds"))
-    return stored(runs, "toxicity-runs"), stored(contexts, "toxicity-contexts")
-
-
-def log_ratios(runs: DataFrame, contexts: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, DataFrame]:
+    spark = words.sparkSession
+    keys, p = short_backoff(words, discount)
+    short = spark.createDataFrame(pa.table({"short": pa.array(keys, pa.int64()), "lower": pa.array(p, pa.float64())}))
+    placed = _grams(words).withColumn("place", _suffix(_context(), 3)).repartition("place")
+    grams = placed.groupBy("place", "key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    grams = grams.withColumns({
+        "context": _context(), "short": _suffix("key", 3), "end4": _suffix("key", 4), "end5": _suffix("key", 5),
+        "before5": _suffix(_context(), 4), "last": _suffix("key", 1)})
+
+    def over(*columns):
+        return Window.partitionBy("place", *columns)
+
+    def kinds(column, *columns):
+        return F.size(F.collect_set(column).over(over(*columns)))
+
+    one = F.lit(1)
+    counted = grams.withColumns({
+        "n5": F.count(one).over(over("end5")), "total5": F.count(one).over(over("before5")),
+        "kinds5": kinds("last", "before5"),
+        # Different runs of five bytes that end in these four, or go on after these three.
+        "n4": kinds("end5", "end4"), "total4": kinds("end5"), "kinds4": kinds("last"),
+        "toxic_total": F.sum("toxic").over(over("context")), "ordinary_total": F.sum("ordinary").over(over("context")),
+        "toxic_kinds": F.count(F.when(F.col("toxic") > 0, 1)).over(over("context")),
+        "ordinary_kinds": F.count(F.when(F.col("ordinary") > 0, 1)).over(over("context")),
+        "first": F.row_number().over(over("context").orderBy("key")) == 1,
+    })
+
+    def smoothed(n, lower):
+        return (F.greatest(F.col(f"n{n}") - discount, F.lit(0.0)) + discount * F.col(f"kinds{n}") * lower) / F.col(f"total{n}")
+
+    shared = smoothed(5, smoothed(4, F.col("lower")))
+    # At most 2**24 rows.
+    return stored(counted.join(F.broadcast(short), "short").select(
+        "key", "toxic", "ordinary", shared.cast("float").alias("shared"), "toxic_total", "ordinary_total",
+        "toxic_kinds", "ordinary_kinds", "first"), "toxicity-runs")
+
+
+def log_ratios(runs: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, DataFrame]:
     """(key, ratio) of seen runs and (key, ratio) of contexts for bytes neither class has seen there."""
     def rest(name):
         # A context that the class never saw passes everything on to the shared counts.
@@ -215,9 +257,10 @@ def log_ratios(runs: DataFrame, contexts: DataFrame, discount: float = DISCOUNT)
         own = F.when(total > 0, F.greatest(F.col(name) - discount, F.lit(0.0)) / total).otherwise(0.0)
         return own + rest(name) * F.col("shared")
 
-    joined = runs.withColumn("context", _context()).join(contexts, "context")
-    gram = joined.select("key", F.log(probability("toxic") / probability("ordinary")).alias("ratio"))
-    return gram, contexts.select(F.col("context").alias("key"), F.log(rest("toxic") / rest("ordinary")).alias("ratio"))
+    gram = runs.select("key", F.log(probability("toxic") / probability("ordinary")).cast("float").alias("ratio"))
+    context = runs.where("first").select(
+        _context().alias("key"), F.log(rest("toxic") / rest("ordinary")).cast("float").alias("ratio"))
+    return gram, context
 
 
 @dataclass
@@ -229,7 +272,7 @@ class ToxicityModel:
 
     def ratios(self) -> Ratios:
         def sorted_arrays(rows):
-            found = rows.select("key", F.col("ratio").cast("float")).toArrow()
+            found = rows.toArrow()
             keys = found.column("key").to_numpy()
             order = np.argsort(keys)
             return keys[order], found.column("ratio").to_numpy()[order]
@@ -240,16 +283,12 @@ class ToxicityModel:
 class Counts:
     """Counts of the runs in a sample of texts, to measure a text as if it had not been counted."""
 
-    def __init__(self, runs: pa.Table, contexts: pa.Table, discount: float = DISCOUNT):
-        def columns(found, key, names):
-            keys = found.column(key).to_numpy()
-            order = np.argsort(keys)
-            return keys[order], [found.column(n).to_numpy()[order].astype(float) for n in names]
-
-        self.keys, (self.toxic, self.ordinary, self.shared) = columns(runs, "key", ("toxic", "ordinary", "shared"))
-        self.contexts, (self.toxic_total, self.ordinary_total, self.toxic_kinds, self.ordinary_kinds) = columns(
-            contexts, "context", ("toxic_total", "ordinary_total", "toxic_kinds", "ordinary_kinds"))
-        self.discount = discount
+    def __init__(self, runs: pa.Table, discount: float = DISCOUNT):
+        keys = runs.column("key").to_numpy()
+        order = np.argsort(keys)
+        self.keys, self.discount = keys[order], discount
+        for name in runs.column_names[1:]:
+            setattr(self, name, runs.column(name).to_numpy()[order].astype(float))
 
     def without(self, words: list[bytes], label: int) -> list[float]:
         """The measures of a counted text, its own counts taken away."""
@@ -262,14 +301,13 @@ class Counts:
         own_keys, back = np.unique(keys, return_inverse=True)
         own = np.bincount(back, np.repeat(np.fromiter(times.values(), float, len(times)), lengths), len(own_keys))
         at = np.searchsorted(self.keys, own_keys)
-        context, group = np.unique(contexts_of(own_keys), return_inverse=True)
-        there = np.searchsorted(self.contexts, context)
+        group = np.unique(contexts_of(own_keys), return_inverse=True)[1]
         logs = []
         for mine, count, total, kinds in (
             (label == 1, self.toxic, self.toxic_total, self.toxic_kinds),
             (label != 1, self.ordinary, self.ordinary_total, self.ordinary_kinds),
         ):
-            n, all_, different = count[at], total[there][group], kinds[there][group]
+            n, all_, different = count[at], total[at], kinds[at]
             if mine:
                 gone = (n == own).astype(float)
                 all_ = all_ - np.bincount(group, own)[group]
@@ -282,7 +320,7 @@ class Counts:
         return evidence(words, dict(zip(distinct, scores.tolist())))
 
 
-def _sample_measures(sample: DataFrame, runs: DataFrame, contexts: DataFrame) -> list:
+def _sample_measures(sample: DataFrame, runs: DataFrame) -> list:
     """(label, measures without own counts) of the sampled rows."""
     def make_keys():
         def work(batch):
@@ -291,14 +329,12 @@ def _sample_measures(sample: DataFrame, runs: DataFrame, contexts: DataFrame) ->
 
         return work
 
-    keys = stored(map_batches(sample.select("text"), "key long", make_keys).distinct(), "toxicity-sample")
+    keys = map_batches(sample.select("text"), "key long", make_keys).distinct()
     # What is sent is bounded by the sample, and the sample by its rows and characters.
-    sent = sample.sparkSession.sparkContext.broadcast((
-        runs.join(keys, "key", "left_semi").toArrow(),
-        contexts.join(keys.select(_context().alias("context")).distinct(), "context", "left_semi").toArrow()))
+    sent = sample.sparkSession.sparkContext.broadcast(runs.drop("first").join(keys, "key", "left_semi").toArrow())
 
     def make():
-        counts = Counts(*sent.value)
+        counts = Counts(sent.value)
 
         def work(batch):
             labels = batch.column("label").to_pylist()
@@ -317,15 +353,17 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, learn, label: str = "toxi
 
     Without labelled rows, or with one class only, the model says 0 for every text.
     """
-    counted = labelled_texts(docs, labels, label, learn)
-    grams = stored(gram_counts(word_counts(counted)), "toxicity-grams")
-    runs, contexts = class_tables(grams)
-    gram, context = (stored(t, "toxicity-ratios") for t in log_ratios(runs, contexts))
-    model = ToxicityModel(gram, context, np.array([-20.0] + [0.0] * MEASURES), gram.count() + context.count())
+    words = stored(word_counts(labelled_texts(docs, labels, label, learn)), "toxicity-words")
+    if words.isEmpty():
+        none = docs.sparkSession.createDataFrame([], "key long, ratio float")
+        return ToxicityModel(none, none, np.array([-20.0] + [0.0] * MEASURES), 0)
+    runs = run_table(words)
+    gram, context = log_ratios(runs)
+    model = ToxicityModel(gram, context, np.array([-20.0] + [0.0] * MEASURES), 2 * runs.count())
     there = labels.where(F.col(label).isNotNull() & learn).count()
     few = share(F.col("doc_id"), min(1.0, CALIBRATION_ROWS / max(there, 1)), SEED + 1)
     sample = labelled_texts(docs, labels, label, learn & few).where(F.length("text") <= CALIBRATION_CHARACTERS)
-    rows = _sample_measures(stored(sample, "toxicity-sample"), runs, contexts)
+    rows = _sample_measures(stored(sample, "toxicity-sample"), runs)
     y = np.array([r["label"] == 1 for r in rows], float)
     if 0 < y.sum() < len(y):
         x = np.array([r["x"] for r in rows])

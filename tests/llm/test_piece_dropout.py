@@ -52,3 +52,68 @@ def test_table(spark, documents):
     assert {r.n_tokens for r in got if r.doc_id in (0, 1)} == {0}
     assert len({tuple(r) for r in got if r.doc_id == 3}) == 2 and {r.variant for r in got} > {0}
     assert pd.decode_pieces(pd.encode_pieces(documents([]), MODEL), MODEL).count() == 0
+
+
+def slow(model, text, variant, dropout, seed=pd.SEED):
+    """Merge by merge over plain lists, with the hash written out in its own words."""
+    mask, out = (1 << 64) - 1, []
+
+    def bits(key, place, length):
+        x = (key ^ ((place * 2**32 + length) * pd._BY_PLACE)) % 2**64
+        for _ in range(2):
+            x = ((x ^ (x >> 32)) * pd._SPREAD) % 2**64
+        return x ^ (x >> 32)
+
+    chunks = pd.MergeDropout(MODEL, 0.0).chunks(text)
+    for number, chunk in enumerate(chunks):
+        key = (((seed * pd._BY_PLACE + variant) * pd._SPREAD) + number * pd._BY_CHUNK) & mask
+        parts, places, refused = list(chunk), list(range(len(chunk))), set()
+        while True:
+            candidates = [(-model.score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:]))
+                          if a + b in model.score and (places[i], a + b, a) not in refused]
+            if not candidates:
+                break
+            _, i = min(candidates)
+            joined = parts[i] + parts[i + 1]
+            if bits(key, places[i], len(joined)) < int(dropout * 2**64):
+                refused.add((places[i], joined, parts[i]))
+                continue
+            parts[i:i + 2], places[i:i + 2] = [joined], [places[i]]
+        for part in parts:
+            known = model.id.get(part)
+            out += [known] if known is not None else [model.byte_id[b] for b in part.replace(pd.OWN_MARK, "▁").encode()]
+    return out
+
+
+def test_against_a_slow_version_with_dropout(prose):
+    engine = pd.MergeDropout(MODEL, 0.25)
+    for variant in (0, 7, 2**31 - 2):
+        for text in [*TEXTS[1:7], prose(4, 60).title(), "tokenization " * 30]:
+            assert ids(engine.encode(text, variant)) == slow(engine.model, text, variant, 0.25)
+
+
+def test_every_candidate_of_every_occurrence_is_skipped_one_time_in_ten():
+    engine, plain = pd.MergeDropout(MODEL, 0.1), pd.MergeDropout(MODEL, 0.0)
+    whole = ids(plain.encode("the"))
+    assert len(whole) == 1
+    candidates = np.frombuffer(plain.lists["▁the"][0], "<u8").tolist()
+    for code in candidates:
+        asked = [int(pd._spread(np.array([(v * pd._SPREAD + n * pd._BY_CHUNK) & pd._ALL ^ code], np.uint64))[0]) < engine.below
+                 for v in range(200) for n in range(20)]
+        assert 0.08 < np.mean(asked) < 0.12
+    # Within a document about one occurrence in ten and per candidate comes out differently, and not all alike.
+    text, n = "the " * 200, len(candidates)
+    changed, kinds = 0, set()
+    for v in range(100):
+        got = ids(engine.encode(text.rstrip(), v))
+        changed += len(got) > 200
+        kinds.add(tuple(got))
+    assert changed == 100 and len(kinds) == 100 and n >= 2
+
+
+def test_lists_are_dropped_when_full(prose, monkeypatch):
+    texts = [prose(i, 100) for i in range(6)]
+    expected = [pd.MergeDropout(MODEL, 0.3).encode(t, 3) for t in texts]
+    monkeypatch.setattr(pd, "KEPT_LISTS", 40)
+    engine = pd.MergeDropout(MODEL, 0.3)
+    assert [engine.encode(t, 3) for t in texts] == expected and engine.kept < 1000
