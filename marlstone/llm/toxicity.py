@@ -38,7 +38,7 @@ MEASURES = 1 + len(WINDOWS) + len(STRONGEST) + 1 + len(ABOVE)
 # Entries (12 bytes each) up to which tasks hold the log ratios themselves.
 MODEL_ENTRIES = 12_000_000
 # The fit sees at most about so many labelled rows with texts of at most so many characters.
-CALIBRATION_ROWS, CALIBRATION_CHARACTERS = 4_000, 100_000
+CALIBRATION_ROWS, CALIBRATION_CHARACTERS = 3_000, 50_000
 CUT = 0.7
 SEED = 4
 
@@ -283,12 +283,17 @@ class ToxicityModel:
 class Counts:
     """Counts of the runs in a sample of texts, to measure a text as if it had not been counted."""
 
-    def __init__(self, runs: pa.Table, discount: float = DISCOUNT):
-        keys = runs.column("key").to_numpy()
-        order = np.argsort(keys)
-        self.keys, self.discount = keys[order], discount
-        for name in runs.column_names[1:]:
-            setattr(self, name, runs.column(name).to_numpy()[order].astype(float))
+    def __init__(self, columns: dict[str, np.ndarray], discount: float = DISCOUNT):
+        """``columns`` are those of ``sorted_columns``: narrow, and shared by all texts of a task."""
+        vars(self).update(columns)
+        self.discount = discount
+
+    @staticmethod
+    def sorted_columns(runs: DataFrame) -> dict[str, np.ndarray]:
+        found = runs.select("key", "shared", *[F.col(c).cast("int") for c in (
+            "toxic", "ordinary", "toxic_total", "ordinary_total", "toxic_kinds", "ordinary_kinds")]).toArrow()
+        order = np.argsort(found.column("key").to_numpy())
+        return {("keys" if n == "key" else n): found.column(n).to_numpy()[order] for n in found.column_names}
 
     def without(self, words: list[bytes], label: int) -> list[float]:
         """The measures of a counted text, its own counts taken away."""
@@ -307,7 +312,7 @@ class Counts:
             (label == 1, self.toxic, self.toxic_total, self.toxic_kinds),
             (label != 1, self.ordinary, self.ordinary_total, self.ordinary_kinds),
         ):
-            n, all_, different = count[at], total[at], kinds[at]
+            n, all_, different = (column[at].astype(float) for column in (count, total, kinds))
             if mine:
                 gone = (n == own).astype(float)
                 all_ = all_ - np.bincount(group, own)[group]
@@ -331,7 +336,7 @@ def _sample_measures(sample: DataFrame, runs: DataFrame) -> list:
 
     keys = map_batches(sample.select("text"), "key long", make_keys).distinct()
     # What is sent is bounded by the sample, and the sample by its rows and characters.
-    sent = sample.sparkSession.sparkContext.broadcast(runs.drop("first").join(keys, "key", "left_semi").toArrow())
+    sent = sample.sparkSession.sparkContext.broadcast(Counts.sorted_columns(runs.join(keys, "key", "left_semi")))
 
     def make():
         counts = Counts(sent.value)
@@ -345,7 +350,9 @@ def _sample_measures(sample: DataFrame, runs: DataFrame) -> list:
 
     kind = sample.schema["doc_id"].dataType.simpleString()
     rows = map_batches(sample.select("doc_id", "label", "text"), f"doc_id {kind}, label int, x array<double>", make)
-    return rows.orderBy("doc_id").collect()
+    found = rows.orderBy("doc_id").collect()
+    sent.destroy()
+    return found
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic") -> ToxicityModel:
@@ -408,7 +415,7 @@ def _measured_in_tasks(rows: DataFrame, model: ToxicityModel) -> DataFrame:
         def scores(words, _):
             wanted = set().union(*words)
             missing = [w for w in wanted if w not in memo]
-            if len(memo) + len(missing) > 300_000:
+            if len(memo) + len(missing) > 150_000:
                 memo.clear()
                 missing = list(wanted)
             if missing:
