@@ -1,15 +1,19 @@
 """Ids of public tokenizers, word by word.
 
-Both tokenizers cut at white space before they merge, so the ids of a text are the ids
-of its chunks in a row.  Chunks repeat; a task looks most of them up.
+Both tokenizers cut a text into words before they merge, so the ids of a text are the ids of its words in a
+row.  Plain texts are cut by the tokenizer's own word pattern; others into larger chunks at white
+space.  Words repeat; a task looks most of them up.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 
 import numpy as np
+import regex
 
 from marlstone.llm.common import encoded
 
@@ -19,6 +23,39 @@ _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _STOP = re.compile(r"(?<=[A-Za-z0-9])([.,])(?= |$)")
 _STOP_BYTES = re.compile(rb"(?<=[a-z0-9])([.,])(?=\s|$)")
 MEMO_CHUNKS = 600_000
+# Texts of ASCII and Latin letters without odd white space: every edition of Unicode reads them alike.
+PLAIN = re.compile("[\t-\r -~\xa1-\u024f]*")
+# Fixed value: the word pattern that the byte-level pre-tokenizer of the library has built in.
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_letters() -> list[str]:
+    """The byte alphabet: visible Latin-1 characters stand for themselves, other bytes for the characters from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b) if b in visible else chr(next(hidden)) for b in range(256)]
+
+
+BYTE_LETTERS = _byte_letters()
+_ASCII_LETTERS = {b: BYTE_LETTERS[b] for b in range(128)}
+
+
+def word_cutter(path: str):
+    """The words of a plain text as the tokenizer cuts them, or none if it does more than that."""
+    with open(path, encoding="utf-8") as source:
+        spec = json.load(source)
+    cut, form = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
+    if cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"] and not form:
+        return regex.compile(BYTE_LEVEL_WORDS).findall
+    cuts = cut.get("pretokenizers", [])
+    if [s["type"] for s in form.get("normalizers", [])] != ["NFC", "Replace", "Lowercase"] or (
+            [c["type"] for c in cuts] != ["Split", "ByteLevel"]):
+        return None
+    split, byte_level = cuts
+    if not split["invert"] or split["behavior"] != "Removed" or byte_level["add_prefix_space"] or byte_level["use_regex"]:
+        return None
+    words = regex.compile(split["pattern"]["Regex"]).findall
+    return lambda text: words(text.lower())
 
 
 class ChunkEncoder:
@@ -31,6 +68,7 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end_id.to_bytes(4, "little")
         self.memo: dict = {}
+        self.words = word_cutter(path)
         # A special token ends whatever stands before it, so it separates chunks encoded in one go.
         self.mark_id, mark = next(iter(self.tokenizer.get_added_tokens_decoder().items()))
         self.mark = mark.content
@@ -61,17 +99,32 @@ class ChunkEncoder:
             self.memo[chunk] = flat[4 * begin:4 * end]
             begin = end + 1
 
+    def learn_words(self, words) -> None:
+        """Words are what the merges work on: they need the model only, spelled in its byte alphabet."""
+        tokenize, memo = self.tokenizer.model.tokenize, self.memo
+        for word in words:
+            spelled = word.translate(_ASCII_LETTERS) if word.isascii() else "".join(
+                map(BYTE_LETTERS.__getitem__, word.encode()))
+            memo[word] = array("I", [t.id for t in tokenize(spelled)]).tobytes()
+
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text and the end id."""
-        cut = [self.chunks(text) for text in texts]
-        wanted = set().union(*cut)
-        missing = [c for c in wanted if c not in self.memo]
-        if len(self.memo) + len(missing) > MEMO_CHUNKS:
-            self.memo.clear()
-            missing = list(wanted)
+        cut, words, chunks = [], set(), set()
+        for text in texts:
+            if self.words and text and PLAIN.fullmatch(text) and "<|" not in text:
+                cut.append(self.words(text))
+                words.update(cut[-1])
+            else:
+                cut.append(self.chunks(text))
+                chunks.update(cut[-1])
+        memo = self.memo
+        if len(memo) + len(words) + len(chunks) > MEMO_CHUNKS:
+            memo.clear()
+        self.learn_words([w for w in words if w not in memo])
+        missing = [c for c in chunks if c not in memo]
         for k in range(0, len(missing), 4096):
             self.learn(missing[k:k + 4096])
-        return [b"".join(map(self.memo.__getitem__, chunks)) + self.end for chunks in cut]
+        return [b"".join(map(memo.__getitem__, parts)) + self.end for parts in cut]
 
 
 class ByteBpe(ChunkEncoder):
