@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
 
 from marlstone.functions import code_lower, code_upper, parse_messy_timestamp, tidy, title_case
 from marlstone.operators.dedup import dedup_by_key

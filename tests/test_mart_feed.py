@@ -4,7 +4,6 @@ import random
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from marlstone.plans import dimensions
 from marlstone.sources.tables import TableStore
