@@ -415,7 +415,7 @@ def _measured_in_tasks(rows: DataFrame, model: ToxicityModel) -> DataFrame:
         def scores(words, _):
             wanted = set().union(*words)
             missing = [w for w in wanted if w not in memo]
-            if len(memo) + len(missing) > 150_000:
+            if len(memo) + len(missing) > 100_000:
                 memo.clear()
                 missing = list(wanted)
             if missing:
