@@ -14,7 +14,7 @@ from marlstone.sources.landing import infer_landing_schema
 from marlstone.sources.tables import SourceRewritten, TableStore
 from marlstone.streaming.bronze import refresh_bronze
 from marlstone.streaming.refresh import full_refresh, refresh_gold, run_medallion
-from marlstone.session import shared_folder
+from marlstone.session import shared_folder, side_by_side
 from marlstone.streaming.silver import quarantined, refresh_silver, stored_metrics
 
 
@@ -414,3 +414,45 @@ def test_whole_run_on_literal_files(spark, tmp_path):
     before = store.read("gold", "mv_order_funnel").count()
     full_refresh(store, "orders", landing)
     assert store.read("gold", "mv_order_funnel").count() == before and store.finished_version("gold", "fct_sales") == 3
+
+
+def test_later_batches_of_one_run_leave_out_known_keys_without_a_state(spark, place):
+    """Keys of kept and of dropped rows, and a NULL key, from the same run and from an earlier one."""
+    landing, store = place
+    header = "product_id,product_category,product_name,base_price,weight_grams\n"
+    for name, lines in (("a", "p1,c,first,1,1\np2,c,first,-1,1\n,c,first,1,1\n"),
+                        ("b", "p1,c,second,2,1\np2,c,second,2,1\n,c,second,2,1\np3,c,second,2,1\n"),
+                        ("c", "p3,c,third,3,1\np4,c,third,3,1\n")):
+        drop_file(f"{landing}/products", f"{name}.csv", header + lines)
+        refresh_bronze(store, "products", landing)
+        if name != "a":
+            refresh_silver(store, "products")
+    rows = store.read("silver", "slv_products").unionByName(quarantined(store, "products"))
+    assert {(r.product_id, r.product_name) for r in rows.collect()} == {
+        ("p1", "first"), ("p2", "first"), (None, "first"), ("p3", "second"), ("p4", "third")}
+    assert rows.count() == 5
+    assert not os.path.exists(f"{store.checkpoint_path('silver', 'slv_products')}/state")
+
+
+def test_a_table_begun_with_a_state_needs_a_full_refresh(spark, place):
+    landing, store = place
+    drop_file(f"{landing}/sellers", "a.csv", SELLERS + "s1,n,c,s\n")
+    refresh_bronze(store, "sellers", landing)
+    refresh_silver(store, "sellers")
+    os.remove(f"{store.version_path('silver', 'slv_sellers', 1)}/keys")
+    with pytest.raises(SourceRewritten, match="full refresh"):
+        refresh_silver(store, "sellers")
+    full_refresh(store, "sellers", landing)
+    assert store.read("silver", "slv_sellers").count() == 1
+
+
+def test_steps_side_by_side_return_in_order_and_raise(spark):
+    ended = []
+
+    def fail():
+        raise Stopped
+
+    assert side_by_side(spark, [lambda n=n: spark.range(n).count() for n in range(5)]) == list(range(5))
+    with pytest.raises(Stopped):
+        side_by_side(spark, [fail, lambda: ended.append(spark.range(1).count())])
+    assert ended == [1]
