@@ -15,6 +15,7 @@ was stopped is finished by the next one with the same input.
 from __future__ import annotations
 
 import json
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from marlstone.functions.keys import date_key
 from marlstone.functions.numbers import line_revenue, positive_price, safe_ratio
 from marlstone.operators.shares import share_of_total
+from marlstone.session import side_by_side
 from marlstone.sources import files
 from marlstone.sources.tables import TableStore
 
@@ -192,18 +194,21 @@ class MartFeed:
         money = F.col("revenue").cast("decimal(18,2)")
         sums = F.sum("quantity").alias("units"), F.sum(money).cast(_MONEY).alias("revenue")
         priced = F.count("revenue").alias("priced")
-        self._append(dated.groupBy("date_sk").agg(F.count(F.lit(1)).alias("lines"), *sums, priced), "part_daily", run)
-        self._append(order_bitmaps(dated, "date_sk"), "part_daily_orders", run)
-        self._append(resolved.groupBy("product_category").agg(*sums, *_price_state()), "part_category", run)
-        self._append(order_bitmaps(resolved, "product_category"), "part_category_orders", run)
-        self._append(resolved.select("product_category", "product_id").distinct(), "part_category_products", run)
-        self._append(lines.groupBy("customer_id", "order_no").agg(*sums), "part_customer", run)
-        self._append(lines.groupBy("order_status").agg(F.sum(money).cast(_MONEY).alias("revenue"), priced), "part_status", run)
-        self._append(orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("order_count")), "part_status_orders", run)
-        self._append(reviews.groupBy("score").agg(
-            F.count(F.lit(1)).alias("review_count"), F.sum(F.when(F.col("verified"), 1).otherwise(0)).alias("verified_count"),
-            F.sum("helpful_votes").alias("votes"), F.count("helpful_votes").alias("voted"),
-            F.count("comment").alias("reviews_with_comment")), "part_reviews", run)
+        parts = {
+            "part_daily": dated.groupBy("date_sk").agg(F.count(F.lit(1)).alias("lines"), *sums, priced),
+            "part_daily_orders": order_bitmaps(dated, "date_sk"),
+            "part_category": resolved.groupBy("product_category").agg(*sums, *_price_state()),
+            "part_category_orders": order_bitmaps(resolved, "product_category"),
+            "part_category_products": resolved.select("product_category", "product_id").distinct(),
+            "part_customer": lines.groupBy("customer_id", "order_no").agg(*sums),
+            "part_status": lines.groupBy("order_status").agg(F.sum(money).cast(_MONEY).alias("revenue"), priced),
+            "part_status_orders": orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("order_count")),
+            "part_reviews": reviews.groupBy("score").agg(
+                F.count(F.lit(1)).alias("review_count"), F.sum(F.when(F.col("verified"), 1).otherwise(0)).alias("verified_count"),
+                F.sum("helpful_votes").alias("votes"), F.count("helpful_votes").alias("voted"),
+                F.count("comment").alias("reviews_with_comment")),
+        }
+        side_by_side(self.store.spark, [partial(self._append, df, table, run) for table, df in parts.items()])
 
     # -- merged reads --------------------------------------------------------
 
