@@ -841,7 +841,8 @@ def _register_role(label: str, groups: list[str]) -> None:
 def dq_metrics_stream(shop):
     """The stored rule counts of all entities, landed in two drops and cleansed in small batches."""
     landing_root, store = _fresh(shop, "dq-stream")
-    for entity, schema in ENTITIES.items():
+
+    def deliver(entity, schema):
         rows = shop.raw(entity)
         # All copies of a row have one first column, so they come in one drop and the smallest stays.
         late = F.pmod(F.xxhash64(schema.schema.names[0]), F.lit(2)) == 0
@@ -849,6 +850,8 @@ def dq_metrics_stream(shop):
             _land(shop, entity, landing_root, drop)
             bronze.refresh_bronze(store, entity, landing_root)
             silver_streams.refresh_silver(store, entity)
+
+    side_by_side(shop.spark, [partial(deliver, *named) for named in ENTITIES.items()])
     parts = [silver_streams.stored_metrics(store, entity) for entity in ENTITIES]
     counts = ["rows_checked", "rows_passed", "rows_failed", "rows_dropped"]
     return unions.union_all(*parts).groupBy("table_name", "rule", "action").agg(*[F.sum(c).alias(c) for c in counts])
