@@ -64,6 +64,25 @@ class Memo(dict):
         return value
 
 
+class Recent(dict):
+    """Results by key, asked for in sets of keys; when full, those not asked for lately are dropped."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.before = limit // 2, {}
+
+    def unseen(self, keys: set) -> list:
+        """Keys that need a result; the results of the others stay here until the next call."""
+        new = [k for k in keys if k not in self]
+        if len(self) + len(new) > self.limit:
+            self.before = dict(self)
+            self.clear()
+            new = list(keys)
+        before = self.before
+        self.update((k, before[k]) for k in new if k in before)
+        return [k for k in new if k not in before]
+
+
 def per_process(key: tuple, make):
     """What ``make`` returns, kept for the next tasks of the same worker process.
 

@@ -7,8 +7,8 @@ segmentation is reproducible: no generator state, the same on every machine and
 Whatever is skipped, the pieces spell the same text.
 
 What comes up next depends on the answers so far only.  A short chunk keeps the list of its candidates and its
-ids if none is skipped, and the same for what follows once a certain one is.  A text asks the hashes of all candidates of
-all its chunks at once, then goes on with the chunks that had a skip, from the first one on.
+ids if none is skipped.  Some texts ask the hashes of all candidates of all their chunks at once; the chunks that
+had a skip are then merged anew, side by side in arrays, and every candidate that comes up there asks its own hash.
 """
 
 from __future__ import annotations
@@ -20,21 +20,27 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import map_batches, per_process, table
+from marlstone.llm.common import Recent, map_batches, per_process, table
 
 SPACE_MARK = "▁"
 # Stands for a space mark that is itself part of the text; no valid text contains it.
 OWN_MARK = "\ud800"
 _RUNS = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}]*")
 _STOP = re.compile(r"(?<=[A-Za-z0-9])([.,])")
-# Up to so many characters, looking through a list finds the best candidate faster than a heap.
+# Chunks of up to so many characters are merged side by side; places in them take six bits.  Longer ones use a heap each.
 SHORT = 64
+# Chunks go together by length, up to so many characters, and at most so many at a time.
+_WIDTHS, ROWS = (5, 8, 11, 16, 64), 65_536
+_NONE = np.int32(2**31 - 1)
+# Texts are encoded together up to so many bytes; a longer one alone.
+TEXT_BYTES = 500_000
 DROPOUT = 0.1
 SEED = 17
-# Lists of candidates that are kept before they are dropped and made anew.
+# Lists of candidates that are kept before older ones are dropped and made anew.
 KEPT_LISTS = 250_000
 _ALL = 2**64 - 1
 # Odd multipliers of the keyed hash.
@@ -71,14 +77,69 @@ class PieceModel:
             self.spelling[i] = bytes([byte])
 
 
+class PairTable:
+    """Symbols, which are characters and pieces by number, and what two of them merge to; 0 is any other character."""
+
+    def __init__(self, model: PieceModel):
+        names = sorted({*model.score, *(c for piece in model.score for c in piece)})
+        number = {name: k for k, name in enumerate(names, 1)}
+        self.length = np.array([0, *map(len, names)], np.uint64)
+        self.ids = np.array([-1, *(model.id.get(name, -1) for name in names)], np.int32)
+        # Equal scores are one rank, so that the leftmost comes first.
+        falling = {score: k for k, score in enumerate(sorted(set(model.score.values()), reverse=True))}
+        self.rank = np.array([0, *(falling.get(model.score.get(name), 0) for name in names)], np.int32)
+        self.of_char = np.zeros(0x110000, np.int32)
+        for name in names:
+            if len(name) == 1:
+                self.of_char[ord(name)] = number[name]
+        pairs = [(number[piece[:k]] << 32 | number[piece[k:]], number[piece]) for piece in model.score
+                 for k in range(1, len(piece)) if piece[:k] in number and piece[k:] in number]
+        # A hash table; pairs whose slot is taken stand behind it, one after the other.
+        self.shift = 64 - max(4, (4 * len(pairs)).bit_length())
+        slots = 1 << 64 - self.shift
+        self.key = np.zeros(slots + len(pairs), np.uint64)
+        self.result = np.zeros(slots + len(pairs), np.int32)
+        self.after = np.zeros(slots + len(pairs), np.int32)
+        end = slots
+        for key, result in pairs:
+            at = (key * _BY_CHUNK & _ALL) >> self.shift
+            if self.key[at]:
+                while self.after[at]:
+                    at = self.after[at]
+                self.after[at] = end
+                at, end = end, end + 1
+            self.key[at], self.result[at] = key, result
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What each pair merges to, 0 where it does not."""
+        key = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+        at = (key * np.uint64(_BY_CHUNK) >> np.uint64(self.shift)).astype(np.int64)
+        same = self.key[at] == key
+        found = self.result[at] * same
+        behind = self.after[at] * ~same
+        todo = np.flatnonzero(behind)
+        while todo.size:
+            at = behind[todo]
+            same = self.key[at] == key[todo]
+            found[todo[same]] = self.result[at[same]]
+            todo, at = todo[~same], at[~same]
+            behind[todo] = self.after[at]
+            todo = todo[behind[todo] > 0]
+        return found
+
+
 class MergeDropout:
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         self.model = PieceModel(path)
+        self.pairs = PairTable(self.model)
         self.below = int(dropout * 2**64)
         self.seed = seed
-        # By chunk: [candidates as 64-bit integers, ids, skips before, what follows the skip of each candidate].
-        self.lists: dict[str, list] = {}
-        self.kept = 0
+        # By chunk: candidates as 64-bit integers, and ids, both if none is skipped.
+        self.lists = Recent(KEPT_LISTS)
+
+    @property
+    def kept(self) -> int:
+        return len(self.lists) + len(self.lists.before)
 
     def chunks(self, text: str) -> list[str]:
         """Space mark and what follows it; no piece has a space mark behind another character."""
@@ -102,49 +163,107 @@ class MergeDropout:
                 ids.extend(self.model.byte_id[b] for b in part.replace(OWN_MARK, SPACE_MARK).encode())
         return ids.tobytes()
 
-    def _follow(self, chunk: str, skips: tuple[int, ...]) -> list:
-        """Candidates and ids after these skips, each counted from the one before."""
-        level, passed, codes = 0, 0, array("Q")
-
-        def skipped(place: int, joined: str) -> bool:
-            nonlocal level, passed
-            if level == len(skips):
-                codes.append((place << 32 | len(joined)) * _BY_PLACE & _ALL)
-                return False
-            if passed == skips[level]:
-                level, passed = level + 1, 0
-                return True
-            passed += 1
-            return False
-
-        ids = self._ids(self._listed(chunk, skipped))
-        self.kept += 1
-        return [codes.tobytes(), ids, skips, {}]
-
-    def _listed(self, chunk: str, skipped) -> list[str]:
-        """Merges of a short chunk; the agenda is the list of scores between neighbours."""
-        score, none = self.model.score.get, float("-inf")
-        parts, places = list(chunk), list(range(len(chunk)))
-        agenda = [score(a + b, none) for a, b in zip(parts, parts[1:])]
-        while agenda:
-            best = max(agenda)
-            if best == none:
-                break
-            i = agenda.index(best)
-            joined = parts[i] + parts[i + 1]
-            if skipped(places[i], joined):
-                agenda[i] = none
-                continue
-            parts[i] = joined
-            del parts[i + 1], places[i + 1], agenda[i]
-            if i:
-                agenda[i - 1] = score(parts[i - 1] + joined, none)
-            if i < len(agenda):
-                agenda[i] = score(joined + parts[i + 1], none)
-        return parts
+    def _merged(self, chunks: list[str], keys: np.ndarray | None = None) -> tuple[list[bytes], list[bytes]]:
+        """Candidates and ids of short chunks, merged side by side; without keys nothing is skipped, with keys no candidates are listed."""
+        candidates, ids = [b""] * len(chunks), [b""] * len(chunks)
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        low = 0
+        for high in _WIDTHS:
+            which = np.flatnonzero((sizes > low) & (sizes <= high))
+            low = high
+            for k in range(0, len(which), ROWS):
+                some = which[k:k + ROWS]
+                listed = self._side_by_side([chunks[i] for i in some.tolist()], sizes[some], None if keys is None else keys[some], ids, some)
+                if keys is None:
+                    for i, codes in zip(some.tolist(), listed):
+                        candidates[i] = codes
+        return candidates, ids
+
+    def _side_by_side(self, chunks, sizes, keys, ids, which) -> list[bytes]:
+        """One merge or skip of every chunk at a time.
+
+        Arrays have a row per place and a column per chunk; the agenda holds rank and place of what may merge
+        there with its right neighbour.  Behind the places are two rows for the neighbours of first and last ones.
+        """
+        width, n = int(sizes.max()), len(chunks)
+        symbols = np.zeros((width + 2, n), np.int32)
+        begins = sizes.cumsum() - sizes
+        column = np.repeat(np.arange(n), sizes)
+        letters = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4")
+        symbols[np.arange(len(letters)) - begins[column], column] = self.pairs.of_char[letters]
+        result = np.zeros((width + 2, n), np.int32)
+        result[:width - 1] = self.pairs(symbols[:width - 1].ravel(), symbols[1:width].ravel()).reshape(width - 1, n)
+        places = np.arange(width + 2, dtype=np.int32)[:, None]
+        agenda = np.where(result > 0, self.pairs.rank[result] << 6 | places, _NONE)
+        right, left = np.repeat(places + 1, n, 1), np.repeat(places - 1, n, 1)
+        left[0] = width + 1
+        columns, found, asked = np.arange(n), [], []
+        while True:
+            best = agenda.min(0)
+            busy = best != _NONE
+            active = np.flatnonzero(busy)
+            if len(active) < 0.75 * n:
+                over = np.flatnonzero(~busy)
+                self._write(symbols.take(over, 1), columns[over], chunks, sizes, ids, which)
+                if not len(active):
+                    break
+                symbols, result, agenda, right, left = (x.take(active, 1) for x in (symbols, result, agenda, right, left))
+                columns, best, n = columns[active], best[active], len(active)
+                active = np.arange(n)
+            else:
+                best = best[active]
+            flat = [x.reshape(-1) for x in (symbols, result, agenda, right, left)]
+            symbol, merge, listed, next_, last = flat
+            place = best & 63
+            at = place * np.int64(n) + active
+            joined = merge[at]
+            code = (place.astype(np.uint64) << np.uint64(32) | self.pairs.length[joined]) * np.uint64(_BY_PLACE)
+            if keys is None:
+                found.append(columns[active])
+                asked.append(code)
+            elif self.below:
+                skip = _spread(keys[columns[active]] ^ code) <= np.uint64(self.below - 1)
+                listed[at[skip]] = _NONE
+                go = ~skip
+                active, place, at, joined = active[go], place[go], at[go], joined[go]
+            gone = next_[at] * np.int64(n) + active
+            symbol[at], symbol[gone], listed[gone] = joined, -1, _NONE
+            end = next_[at] = next_[gone]
+            end = end * np.int64(n) + active
+            last[end] = place
+            before = last[at]
+            start = before * np.int64(n) + active
+            both = self.pairs(np.concatenate((joined, symbol[start])), np.concatenate((symbol[end], joined)))
+            ranks = np.where(both > 0, self.pairs.rank[both] << 6 | np.concatenate((place, before)), _NONE)
+            merge[at], listed[at] = both[:len(at)], ranks[:len(at)]
+            merge[start], listed[start] = both[len(at):], ranks[len(at):]
+        if keys is not None or not found:
+            return [b""] * len(chunks)
+        found, asked = np.concatenate(found), np.concatenate(asked)
+        flat = asked[found.argsort(kind="stable")].tobytes()
+        ends = (8 * np.bincount(found, minlength=len(chunks)).cumsum()).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _write(self, symbols, columns, chunks, sizes, ids, which) -> None:
+        """Ids of finished chunks; characters that are no pieces are spelled in bytes."""
+        symbols = symbols[:-2].T
+        own = (symbols >= 0) & (np.arange(symbols.shape[1]) < sizes[columns, None])
+        numbers = self.pairs.ids[symbols[own]]
+        flat = numbers.astype("<u2").tobytes()
+        counts = own.sum(1)
+        ends = counts.cumsum()
+        spelled = set(np.repeat(np.arange(len(columns)), counts)[numbers < 0].tolist())
+        begin = 0
+        for k, (i, column, end) in enumerate(zip(which[columns].tolist(), columns.tolist(), (2 * ends).tolist())):
+            if k in spelled:
+                cuts = [*np.flatnonzero(own[k]).tolist(), len(chunks[column])]
+                ids[i] = self._ids([chunks[column][a:b] for a, b in zip(cuts, cuts[1:])])
+            else:
+                ids[i] = flat[begin:end]
+            begin = end
 
     def _heaped(self, chunk: str, skipped) -> list[str]:
-        """The same for a chunk of any length."""
+        """Merges of a chunk of any length."""
         score = self.model.score
         parts: list[str | None] = list(chunk)
         n = len(parts)
@@ -169,48 +288,41 @@ class MergeDropout:
 
     def encode(self, text: str | None, variant: int = 0) -> bytes:
         """Ids of a text; ``variant`` stands for the document."""
-        chunks = self.chunks(text or "")
-        if self.kept > KEPT_LISTS:
-            self.lists.clear()
-            self.kept = 0
-        base = (self.seed * _BY_PLACE + variant) * _SPREAD & _ALL
-        out: list[bytes] = [b""] * len(chunks)
-        open_, at = [], []
-        for number, chunk in enumerate(chunks):
-            if len(chunk) > SHORT:
-                key = base + number * _BY_CHUNK & _ALL
-                out[number] = self._ids(self._heaped(
-                    chunk, lambda place, joined, key=key: skip_hash(key, place, len(joined)) < self.below))
-                continue
-            known = self.lists.get(chunk)
-            if known is None:
-                known = self.lists[chunk] = self._follow(chunk, ())
-            open_.append(known)
-            at.append(number)
-        while open_:
-            for number, known in zip(at, open_):
-                out[number] = known[1]
-            if not self.below:
-                break
-            sizes = np.fromiter((len(k[0]) for k in open_), np.int64, len(open_)) >> 3
-            ends = sizes.cumsum()
-            keys = np.uint64(base) + np.array(at, np.uint64) * np.uint64(_BY_CHUNK)
-            asked = np.repeat(keys, sizes) ^ np.frombuffer(b"".join([k[0] for k in open_]), np.uint64)
+        return self.encode_all([text], [variant])[0]
+
+    def encode_all(self, texts: list[str | None], variants: list[int]) -> list[bytes]:
+        """Ids of each text."""
+        cut = [self.chunks(text or "") for text in texts]
+        chunks = [chunk for one in cut for chunk in one]
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        ends = counts.cumsum()
+        bases = np.array([(self.seed * _BY_PLACE + v) * _SPREAD & _ALL for v in variants], np.uint64)
+        numbers = np.arange(len(chunks)) - np.repeat(ends - counts, counts)
+        keys = np.repeat(bases, counts) + numbers.astype(np.uint64) * np.uint64(_BY_CHUNK)
+        out: list[bytes] = []
+        for k in range(0, len(chunks), ROWS):
+            out += self._chunk_ids(chunks[k:k + ROWS], keys[k:k + ROWS])
+        return [b"".join(out[end - n:end]) for end, n in zip(ends.tolist(), counts.tolist())]
+
+    def _chunk_ids(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
+        unseen = [c for c in self.lists.unseen(set(chunks)) if len(c) <= SHORT]
+        self.lists.update(zip(unseen, zip(*self._merged(unseen))))
+        known = [self.lists.get(chunk, (b"", None)) for chunk in chunks]
+        codes, out = [one[0] for one in known], [one[1] for one in known]
+        for i in [i for i, one in enumerate(out) if one is None]:
+            key = int(keys[i])
+            out[i] = self._ids(self._heaped(
+                chunks[i], lambda place, joined, key=key: skip_hash(key, place, len(joined)) < self.below))
+        if self.below:
+            sizes = np.fromiter(map(len, codes), np.int64, len(codes)) >> 3
+            asked = np.repeat(keys, sizes) ^ np.frombuffer(b"".join(codes), np.uint64)
             skips = np.flatnonzero(_spread(asked) <= np.uint64(self.below - 1))
-            # The first skip of every chunk that has one.
-            owners = np.searchsorted(ends, skips, "right")
-            owners, first = np.unique(owners, return_index=True)
-            places = (skips[first] - (ends - sizes)[owners]).tolist()
-            follow, numbers = [], []
-            for owner, place in zip(owners.tolist(), places):
-                known, number = open_[owner], at[owner]
-                after = known[3].get(place)
-                if after is None:
-                    after = known[3][place] = self._follow(chunks[number], (*known[2], place))
-                follow.append(after)
-                numbers.append(number)
-            open_, at = follow, numbers
-        return b"".join(out)
+            # Chunks with a skip are merged anew, each occurrence with its own answers.
+            again = np.unique(np.searchsorted(sizes.cumsum(), skips, "right"))
+            places = again.tolist()
+            for i, one in zip(places, self._merged([chunks[i] for i in places], keys[again])[1]):
+                out[i] = one
+        return out
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -244,9 +356,13 @@ def encode_pieces(
 
         def work(batch):
             texts, picks = batch.column(1), batch.column(2).to_pylist()
+            ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
             out: list[bytes] = []
-            for i in range(0, len(picks), 64):
-                out += [engine.encode(t, v) for t, v in zip(texts.slice(i, 64).to_pylist(), picks[i:i + 64])]
+            while len(out) < len(picks):
+                begin = len(out)
+                before = ends[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(ends, before + TEXT_BYTES, "right")))
+                out += engine.encode_all(texts.slice(begin, end - begin).to_pylist(), picks[begin:end])
             return {ident: batch.column(0), "text": texts, "variant": batch.column(2), "ids": pa.array(out, pa.binary())}
 
         return work

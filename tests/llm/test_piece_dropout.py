@@ -117,3 +117,30 @@ def test_lists_are_dropped_when_full(prose, monkeypatch):
     monkeypatch.setattr(pd, "KEPT_LISTS", 40)
     engine = pd.MergeDropout(MODEL, 0.3)
     assert [engine.encode(t, 3) for t in texts] == expected and engine.kept < 1000
+
+
+def test_occurrences_with_a_skip_are_merged_side_by_side(prose, monkeypatch):
+    texts = [*TEXTS, *(prose(i, 60).title() for i in range(8)), "z" * 20, "the " * 300, "ab▁c" * 9]
+    variants = [k * 101 for k in range(len(texts))]
+    for dropout in (0.0, 0.3, 1.0):
+        engine = pd.MergeDropout(MODEL, dropout)
+        calls, merged = [], engine._merged
+        monkeypatch.setattr(engine, "_merged", lambda chunks, keys=None: calls.append(len(chunks)) or merged(chunks, keys))
+        got = engine.encode_all(texts, variants)
+        # All texts together take one call for the unseen chunks and one for those with a skip.
+        assert len(calls) == (2 if dropout else 1) and sum(calls) > 50
+        assert [ids(one) for one in got] == [slow(engine.model, t or "", v, dropout) for t, v in zip(texts, variants)]
+        monkeypatch.setattr(pd, "ROWS", 40)
+        assert pd.MergeDropout(MODEL, dropout).encode_all(texts, variants) == got
+        monkeypatch.undo()
+
+
+def test_merges_of_two_symbols(prose):
+    model = pd.PieceModel(MODEL)
+    pairs = pd.PairTable(model)
+    number = {int(i): k for k, i in enumerate(pairs.ids) if i >= 0}
+    names = [p for p in model.id if len(p) > 1][:3000] + [p for p in model.id if len(p) == 1][:500]
+    cuts = [(p[:k], p[k:]) for p in names for k in range(1, len(p))] + list(zip(names, reversed(names)))
+    cuts = [(a, b) for a, b in cuts if a in model.id and b in model.id]
+    left, right = (np.array([number[model.id[c[k]]] for c in cuts], np.int32) for k in (0, 1))
+    assert pairs.ids[pairs(left, right)].tolist() == [model.id.get(a + b, -1) if a + b in model.score else -1 for a, b in cuts]
