@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +85,16 @@ class Recent(dict):
         return [k for k in new if k not in before]
 
 
+def plain_pattern(pattern: str):
+    """A word pattern, for texts of characters below U+0250 and what they are in lower case, in the quicker library where that is possible."""
+    seen = sorted({c for k in range(0x250) for c in chr(k) + chr(k).lower()})
+    quick = pattern
+    for name in (r"\p{L}", r"\p{N}"):
+        # One class within brackets by the characters it holds.
+        quick = quick.replace(name, "".join(re.escape(c) for c in seen if regex.match(name, c)))
+    return regex.compile(pattern) if r"\p" in quick or r"\P" in quick else re.compile(quick)
+
+
 def per_process(key: tuple, make):
     """What ``make`` returns, kept for the next tasks of the same worker process.
 

@@ -13,9 +13,8 @@ import re
 from array import array
 
 import numpy as np
-import regex
 
-from marlstone.llm.common import encoded
+from marlstone.llm.common import Recent, encoded, plain_pattern
 
 _DOUBLE_SPACE = re.compile(r"\s\s|\x00")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -26,7 +25,7 @@ MEMO_CHUNKS = 300_000
 # Texts of ASCII and Latin letters without odd white space: every edition of Unicode reads them alike.
 PLAIN = re.compile("[\t-\r -~\xa1-\u024f]*")
 # Fixed value: the word pattern that the byte-level pre-tokenizer of the library has built in.
-BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_letters() -> list[str]:
@@ -46,7 +45,7 @@ def word_cutter(path: str):
         spec = json.load(source)
     cut, form = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
     if cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"] and not form:
-        return regex.compile(BYTE_LEVEL_WORDS).findall
+        return plain_pattern(BYTE_LEVEL_WORDS).findall
     cuts = cut.get("pretokenizers", [])
     if [s["type"] for s in form.get("normalizers", [])] != ["NFC", "Replace", "Lowercase"] or (
             [c["type"] for c in cuts] != ["Split", "ByteLevel"]):
@@ -54,7 +53,7 @@ def word_cutter(path: str):
     split, byte_level = cuts
     if not split["invert"] or split["behavior"] != "Removed" or byte_level["add_prefix_space"] or byte_level["use_regex"]:
         return None
-    words = regex.compile(split["pattern"]["Regex"]).findall
+    words = plain_pattern(split["pattern"]["Regex"]).findall
     return lambda text: words(text.lower())
 
 
@@ -67,7 +66,7 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end_id.to_bytes(4, "little")
-        self.memo: dict = {}
+        self.memo = Recent(MEMO_CHUNKS)
         self.words = word_cutter(path)
         # A special token ends whatever stands before it, so it separates chunks encoded in one go.
         self.mark_id, mark = next(iter(self.tokenizer.get_added_tokens_decoder().items()))
@@ -118,10 +117,9 @@ class ChunkEncoder:
                 cut.append(self.chunks(text))
                 chunks.update(cut[-1])
         memo = self.memo
-        if len(memo) + len(words) + len(chunks) > MEMO_CHUNKS:
-            memo.clear()
-        self.learn_words([w for w in words if w not in memo])
-        missing = [c for c in chunks if c not in memo]
+        missing = memo.unseen(words | chunks)
+        self.learn_words([w for w in missing if w in words])
+        missing = [c for c in missing if c not in words]
         for k in range(0, len(missing), 4096):
             self.learn(missing[k:k + 4096])
         return [b"".join(map(memo.__getitem__, parts)) + self.end for parts in cut]
