@@ -22,14 +22,15 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import Memo, encoded, map_batches, per_process, table
+from marlstone.llm.common import Memo, Recent, encoded, map_batches, per_process, plain_pattern, table
 
 MEMO_WORDS, MEMO_CHUNKS = 250_000, 50_000
 # Longer chunks and words are not kept.
@@ -189,7 +190,7 @@ class WordEncoder:
         self.plain_words = self._plain_split(spec)
         self.letters = _byte_letters()
         self.chunk_ids = Memo(self._chunk, MEMO_CHUNKS)
-        self.word_ids = Memo(self._encode, MEMO_WORDS)
+        self.word_ids = Recent(MEMO_WORDS)
 
     @staticmethod
     def _plain_split(spec: dict):
@@ -201,16 +202,13 @@ class WordEncoder:
         split, bytelevel = cuts
         if not split["invert"] or split["behavior"] != "Removed" or bytelevel["add_prefix_space"] or bytelevel["use_regex"]:
             return None
-        return regex.compile(split["pattern"]["Regex"]).findall
+        return plain_pattern(split["pattern"]["Regex"]).findall
 
     def _encode(self, word: str) -> tuple[int, ...]:
         if not word.isascii():
             word = "".join(map(self.letters.__getitem__, word.encode()))
         return self.automaton.encode(word)
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        return self.word_ids[word] if len(word) < KEPT_LENGTH else self._encode(word)
-
     def _chunk(self, chunk: bytes) -> tuple[int, ...]:
         ids: list[int] = []
         for part in self.cut.split(chunk.decode()):
@@ -226,8 +224,14 @@ class WordEncoder:
         if not text:
             return out
         if self.plain_words and _PLAIN.fullmatch(text) and "<|" not in text:
-            for word in self.plain_words(text.lower()):
-                out += self._word(word)
+            words, known = self.plain_words(text.lower()), self.word_ids
+            new = known.unseen(set(words))
+            for word in new:
+                known[word] = self._encode(word)
+            out = list(chain.from_iterable(map(known.__getitem__, words)))
+            for word in new:
+                if len(word) >= KEPT_LENGTH:
+                    del known[word]
             return out
         for chunk in encoded(text).split():
             out += self.chunk_ids[chunk] if len(chunk) < KEPT_LENGTH else self._chunk(chunk)
@@ -250,11 +254,24 @@ def arc_labels(path: str) -> dict[int, str]:
     return {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
 
 
+def _label_column(labels: dict[int, str]) -> pa.Array:
+    """By id; ids without a label are null."""
+    return pa.array([labels.get(i) for i in range(max(labels) + 1)], pa.string())
+
+
 def decoded_text(ids, labels: dict[int, str]) -> str:
     """The labels of the arcs; without a decoder of its own, the tokenizer sets them one space apart."""
     return " ".join(map(labels.__getitem__, ids))
 
 
+def decoded_texts(ids: pa.Array, ends: np.ndarray, labels: pa.Array) -> pa.Array:
+    """``decoded_text`` of many rows, the ids of each up to its end."""
+    written = labels.take(ids)
+    if written.null_count:
+        raise KeyError("ids without a label")
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), written), " ")
+
+
 def _encoder(path: str) -> WordEncoder:
     return per_process(("merge_automaton", path), lambda: WordEncoder(path))
 
@@ -289,12 +306,11 @@ def encode_texts(docs: DataFrame, tokenizer: str, ident: str = "doc_id", text: s
 def decode_ids(rows: DataFrame, tokenizer: str, ident: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``ident``, ``ids`` and the ``decoded`` text of every row; null ids count as none."""
     def make():
-        labels = per_process(("arc_labels", tokenizer), lambda: arc_labels(tokenizer))
+        labels = per_process(("arc_labels", tokenizer), lambda: _label_column(arc_labels(tokenizer)))
 
         def decoded_rows(lists):
-            flat = lists.flatten().to_numpy().tolist()
-            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy()).tolist()
-            return pa.array([decoded_text(flat[a:b], labels) for a, b in zip([0, *ends], ends)], pa.string())
+            ends = np.cumsum([0, *lists.value_lengths().fill_null(0).to_numpy()])
+            return decoded_texts(lists.flatten(), ends, labels)
 
         def work(batch):
             lists = batch.column(1)

@@ -2,11 +2,14 @@ import itertools
 import json
 import random
 
+import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from marlstone.llm import automaton
 from marlstone.llm.automaton import MergeAutomaton, WordEncoder, arc_labels, decode_ids, decoded_text, encode_texts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -148,3 +151,14 @@ def test_table_of_arcs_is_emptied_when_full(monkeypatch, library):
     text = " ".join(list(json.load(open(PATH))["model"]["vocab"])[3000:3300])
     assert encoder.ids(text) == library.encode(text, add_special_tokens=False).ids
     assert encoder.automaton.tested <= 50
+
+
+def test_rows_are_decoded_in_columns():
+    labels = automaton.arc_labels(PATH)
+    rows = [[], [320, 49406, 5], [7], [], list(range(0, 49408, 97))]
+    flat = pa.array([i for row in rows for i in row], pa.int32())
+    ends = np.cumsum([0, *map(len, rows)])
+    got = automaton.decoded_texts(flat, ends, automaton._label_column(labels))
+    assert got.to_pylist() == [decoded_text(row, labels) for row in rows]
+    with pytest.raises(KeyError):
+        automaton.decoded_texts(pa.array([1], pa.int32()), [0, 1], automaton._label_column({0: "a", 2: "b"}))
