@@ -12,8 +12,11 @@ stay as they are, whatever runs again.  The driver sees sums per dimension, one
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix, MatrixUDT
@@ -156,6 +159,17 @@ def project(matrix: BlockMatrix, whitening: np.ndarray) -> DataFrame:
     return found.select(F.col(index).getField("_1").cast("long").alias("blockRowIndex"), F.col(cells).alias("projected"))
 
 
+def rows_of_blocks(batch: pa.RecordBatch, ident: str, width: int) -> dict:
+    """Columns of the rows in blocks of (ids, deviations, projected); the rows a block was filled up with are left out."""
+    ids, deviations = batch.column(0), batch.column(1)
+    rows = []
+    for length, cells in zip(pc.list_value_length(ids).to_pylist(), batch.column(2).to_pylist()):
+        rows.append(np.array(cells["values"]).reshape((-1, width), order="F")[:length])
+    z = np.concatenate(rows)
+    offsets = np.arange(0, z.size + 1, width, dtype=np.int32)
+    return {ident: ids.flatten(), "deviation": deviations.flatten(), "z": pa.ListArray.from_arrays(offsets, z.ravel())}
+
+
 def whiten(
     vectors: DataFrame, ident: str = "vec_id", vector: str = "embedding", components: int = COMPONENTS,
     scale: int = SCALE, shift: int = SHIFT, rows_per_block: int = ROWS_PER_BLOCK,
@@ -193,22 +207,9 @@ def whiten(
         flat = named.select(F.inline(F.arrays_zip("ids", "deviations")).alias(ident, "deviation"))
         return flat.withColumn("z", F.array().cast("array<double>")), n, []
 
-    def make():
-        def work(batch):
-            ids, deviations = batch.column(0), batch.column(1)
-            rows, lists = [], pa.compute.list_value_length(ids).to_pylist()
-            for length, cells in zip(lists, batch.column(2).to_pylist()):
-                rows.append(np.array(cells["values"]).reshape((-1, width), order="F")[:length])
-            z = np.concatenate(rows)
-            offsets = np.arange(0, z.size + 1, width, dtype=np.int32)
-            return {ident: ids.flatten(), "deviation": deviations.flatten(),
-                    "z": pa.ListArray.from_arrays(offsets, z.ravel())}
-
-        return work
-
     joined = named.join(project(matrix, whitening), "blockRowIndex").select("ids", "deviations", "projected")
     schema = f"`{ident}` {kind}, deviation long, z array<double>"
-    return stored(map_batches(joined, schema, make), "whitened"), n, shares.tolist()
+    return stored(map_batches(joined, schema, lambda: partial(rows_of_blocks, ident=ident, width=width)), "whitened"), n, shares.tolist()
 
 
 def identity_error(rows: DataFrame, width: int) -> float:

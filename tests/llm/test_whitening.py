@@ -1,10 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.llm.whitening import exact_offsets, identity_error, squared_lengths, whiten
+from marlstone.llm.whitening import exact_offsets, identity_error, rows_of_blocks, squared_lengths, whiten
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -100,3 +101,14 @@ def test_offsets_and_squares_stay_exact():
 def test_large_entries_raise(spark):
     with pytest.raises(Exception, match="after scaling"):
         whiten(table_of(spark, [(1, [1e30]), (2, [0.0])]))[0].collect()
+
+
+def test_a_worker_that_has_not_loaded_compute(monkeypatch):
+    batch = pa.RecordBatch.from_pydict({
+        "ids": pa.array([[7, None], [3]], pa.list_(pa.int64())), "deviations": pa.array([[1, 2], [3]], pa.list_(pa.int64())),
+        "projected": [{"values": [1.0, 2.0, 10.0, 20.0]}, {"values": [3.0, 0.0, 30.0, 0.0]}]})
+    # Until something imports the submodule, the package has no such attribute.
+    monkeypatch.delattr(pa, "compute", raising=False)
+    found = rows_of_blocks(batch, "vec_id", 2)
+    assert found["vec_id"].to_pylist() == [7, None, 3] and found["deviation"].to_pylist() == [1, 2, 3]
+    assert found["z"].to_pylist() == [[1.0, 10.0], [2.0, 20.0], [3.0, 30.0]]
