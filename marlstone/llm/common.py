@@ -66,6 +66,24 @@ class Memo(dict):
         return value
 
 
+class Lately(Memo):
+    """A memo in two halves: when one is full, the other half, of results not asked for since, is dropped."""
+
+    def __init__(self, f, limit: int):
+        super().__init__(f, limit // 2)
+        self.before = {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.f(key)
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Recent(dict):
     """Results by key, asked for in sets of keys; when full, those not asked for lately are dropped."""
 

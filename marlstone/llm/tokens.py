@@ -14,18 +14,19 @@ from array import array
 
 import numpy as np
 
-from marlstone.llm.common import Recent, encoded, plain_pattern
+from marlstone.llm.common import Lately, Recent, encoded, plain_pattern
 
 _DOUBLE_SPACE = re.compile(r"\s\s|\x00")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 # A full stop or comma between a letter or digit and a space is a token run of its own.
 _STOP = re.compile(r"(?<=[A-Za-z0-9])([.,])(?= |$)")
 _STOP_BYTES = re.compile(rb"(?<=[a-z0-9])([.,])(?=\s|$)")
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS, MEMO_WORDS = 300_000, 1_000_000
 # Texts of ASCII and Latin letters without odd white space: every edition of Unicode reads them alike.
 PLAIN = re.compile("[\t-\r -~\xa1-\u024f]*")
 # Fixed value: the word pattern that the byte-level pre-tokenizer of the library has built in.
-BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Runs of letters are most words, so they are tried first; no other branch matches where one begins.
+BYTE_LEVEL_WORDS = r" ?[\p{L}]+|'(?:s|t|re|ve|m|ll|d)| ?[\p{N}]+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_letters() -> list[str]:
@@ -36,7 +37,7 @@ def _byte_letters() -> list[str]:
 
 
 BYTE_LETTERS = _byte_letters()
-_ASCII_LETTERS = {b: BYTE_LETTERS[b] for b in range(128)}
+_SPELLED = dict(enumerate(BYTE_LETTERS))
 
 
 def word_cutter(path: str):
@@ -68,6 +69,8 @@ class ChunkEncoder:
         self.end = end_id.to_bytes(4, "little")
         self.memo = Recent(MEMO_CHUNKS)
         self.words = word_cutter(path)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.word_ids = Lately(self.ids_of_word, MEMO_WORDS)
         # A special token ends whatever stands before it, so it separates chunks encoded in one go.
         self.mark_id, mark = next(iter(self.tokenizer.get_added_tokens_decoder().items()))
         self.mark = mark.content
@@ -98,31 +101,28 @@ class ChunkEncoder:
             self.memo[chunk] = flat[4 * begin:4 * end]
             begin = end + 1
 
-    def learn_words(self, words) -> None:
-        """Words are what the merges work on: they need the model only, spelled in its byte alphabet."""
-        tokenize, memo = self.tokenizer.model.tokenize, self.memo
-        for word in words:
-            spelled = word.translate(_ASCII_LETTERS) if word.isascii() else "".join(
-                map(BYTE_LETTERS.__getitem__, word.encode()))
-            memo[word] = array("I", [t.id for t in tokenize(spelled)]).tobytes()
+    def ids_of_word(self, word: str) -> bytes:
+        """A word is what the merges work on: it needs the model only, spelled in its byte alphabet."""
+        spelled = (word if word.isascii() else word.encode().decode("latin-1")).translate(_SPELLED)
+        return array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
 
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text and the end id."""
-        cut, words, chunks = [], set(), set()
-        for text in texts:
-            if self.words and text and PLAIN.fullmatch(text) and "<|" not in text:
-                cut.append(self.words(text))
-                words.update(cut[-1])
+        out: list = [None] * len(texts)
+        cut, chunks = {}, set()
+        for k, text in enumerate(texts):
+            if self.words and text and "<|" not in text and PLAIN.fullmatch(text):
+                out[k] = b"".join(map(self.word_ids.__getitem__, self.words(text))) + self.end
             else:
-                cut.append(self.chunks(text))
-                chunks.update(cut[-1])
+                cut[k] = self.chunks(text)
+                chunks.update(cut[k])
         memo = self.memo
-        missing = memo.unseen(words | chunks)
-        self.learn_words([w for w in missing if w in words])
-        missing = [c for c in missing if c not in words]
+        missing = memo.unseen(chunks)
         for k in range(0, len(missing), 4096):
             self.learn(missing[k:k + 4096])
-        return [b"".join(map(memo.__getitem__, parts)) + self.end for parts in cut]
+        for k, parts in cut.items():
+            out[k] = b"".join(map(memo.__getitem__, parts)) + self.end
+        return out
 
 
 class ByteBpe(ChunkEncoder):

@@ -31,6 +31,22 @@ def test_chunks_give_the_ids_of_the_text(kind, path, prose, monkeypatch):
     assert [encoder.encode([t])[0] for t in texts] == expected
 
 
+@pytest.mark.parametrize("kind, path", [(ByteBpe, BYTE), (WordBpe, WORD)])
+def test_a_word_asks_the_model_once_while_it_is_kept(kind, path, monkeypatch):
+    texts = ["we'll they're I'd x'Yz 's's '' 's9 'lL 'm\u00e9 d'un l'\u00e9t\u00e9 ' t 've", "so they're not 're 'd'd 9'9's"]
+    monkeypatch.setattr("marlstone.llm.tokens.MEMO_WORDS", 1000)
+    encoder, asked = kind(path, 7), []
+    tokenize = encoder.tokenize
+    encoder.tokenize = lambda word: asked.append(word) or tokenize(word)
+    expected = [direct(path, 7, t).tobytes() for t in texts]
+    assert [encoder.encode(texts) for _ in range(3)] == [expected] * 3
+    assert len(asked) == len(set(asked)) == len(encoder.word_ids)
+    monkeypatch.setattr("marlstone.llm.tokens.MEMO_WORDS", 8)
+    small = kind(path, 7)
+    assert [small.encode(texts) for _ in range(3)] == [expected] * 3
+    assert len(small.word_ids) <= 4 and len(small.word_ids.before) <= 4
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_shard_round_trip(bits):
     draw = np.random.default_rng(1)
