@@ -17,6 +17,7 @@ import heapq
 import re
 import zlib
 from array import array
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,13 @@ SHORT = 64
 _WIDTHS, ROWS = (5, 8, 11, 16, 64), 65_536
 _NONE = np.int32(2**31 - 1)
 # Texts are encoded together up to so many bytes; a longer one alone.
-TEXT_BYTES = 500_000
+TEXT_BYTES = 1_000_000
+# Chunks of these texts are looked up so many at a time.
+LOOKED_UP = 262_144
 DROPOUT = 0.1
 SEED = 17
 # Lists of candidates that are kept before older ones are dropped and made anew.
-KEPT_LISTS = 250_000
+KEPT_LISTS = 500_000
 _ALL = 2**64 - 1
 # Odd multipliers of the keyed hash.
 _BY_CHUNK, _BY_PLACE, _SPREAD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
@@ -252,15 +255,14 @@ class MergeDropout:
         flat = numbers.astype("<u2").tobytes()
         counts = own.sum(1)
         ends = counts.cumsum()
-        spelled = set(np.repeat(np.arange(len(columns)), counts)[numbers < 0].tolist())
-        begin = 0
-        for k, (i, column, end) in enumerate(zip(which[columns].tolist(), columns.tolist(), (2 * ends).tolist())):
-            if k in spelled:
-                cuts = [*np.flatnonzero(own[k]).tolist(), len(chunks[column])]
-                ids[i] = self._ids([chunks[column][a:b] for a, b in zip(cuts, cuts[1:])])
-            else:
-                ids[i] = flat[begin:end]
-            begin = end
+        cuts = (2 * ends).tolist()
+        found = [flat[a:b] for a, b in zip([0, *cuts], cuts)]
+        for k in set(np.repeat(np.arange(len(columns)), counts)[numbers < 0].tolist()):
+            chunk = chunks[columns[k]]
+            cuts = [*np.flatnonzero(own[k]).tolist(), len(chunk)]
+            found[k] = self._ids([chunk[a:b] for a, b in zip(cuts, cuts[1:])])
+        for i, one in zip(which[columns].tolist(), found):
+            ids[i] = one
 
     def _heaped(self, chunk: str, skipped) -> list[str]:
         """Merges of a chunk of any length."""
@@ -300,16 +302,21 @@ class MergeDropout:
         numbers = np.arange(len(chunks)) - np.repeat(ends - counts, counts)
         keys = np.repeat(bases, counts) + numbers.astype(np.uint64) * np.uint64(_BY_CHUNK)
         out: list[bytes] = []
-        for k in range(0, len(chunks), ROWS):
-            out += self._chunk_ids(chunks[k:k + ROWS], keys[k:k + ROWS])
+        for k in range(0, len(chunks), LOOKED_UP):
+            out += self._chunk_ids(chunks[k:k + LOOKED_UP], keys[k:k + LOOKED_UP])
         return [b"".join(out[end - n:end]) for end, n in zip(ends.tolist(), counts.tolist())]
 
     def _chunk_ids(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
-        unseen = [c for c in self.lists.unseen(set(chunks)) if len(c) <= SHORT]
-        self.lists.update(zip(unseen, zip(*self._merged(unseen))))
-        known = [self.lists.get(chunk, (b"", None)) for chunk in chunks]
-        codes, out = [one[0] for one in known], [one[1] for one in known]
-        for i in [i for i, one in enumerate(out) if one is None]:
+        unseen = self.lists.unseen(set(chunks))
+        short, long = [c for c in unseen if len(c) <= SHORT], [c for c in unseen if len(c) > SHORT]
+        self.lists.update(zip(short, zip(*self._merged(short))))
+        # Long chunks are listed for this call only.
+        self.lists.update(dict.fromkeys(long, (b"", None)))
+        known = list(map(self.lists.__getitem__, chunks))
+        codes, out = list(map(itemgetter(0), known)), list(map(itemgetter(1), known))
+        for chunk in long:
+            del self.lists[chunk]
+        for i in [i for i, one in enumerate(out) if one is None] if long else ():
             key = int(keys[i])
             out[i] = self._ids(self._heaped(
                 chunks[i], lambda place, joined, key=key: skip_hash(key, place, len(joined)) < self.below))

@@ -26,6 +26,16 @@ def test_both_agendas_agree(prose, monkeypatch):
     assert [pd.MergeDropout(MODEL, 0.2).encode(t, 1) for t in texts] == listed
 
 
+def test_chunks_are_looked_up_in_one_go_and_long_ones_are_not_kept(prose, monkeypatch):
+    texts = [*TEXTS, "y" * 70 + " é漢 " + "y" * 70, prose(4, 60)]
+    expected = [pd.MergeDropout(MODEL, 0.2).encode(t, 1) for t in texts]
+    engine = pd.MergeDropout(MODEL, 0.2)
+    # A default for each chunk was half of what a lookup took.
+    monkeypatch.setattr(pd.Recent, "get", None, raising=False)
+    assert [engine.encode_all(texts, [1] * len(texts)) for _ in range(2)] == [expected] * 2
+    assert max(map(len, engine.lists)) <= pd.SHORT
+
+
 def test_no_piece_joins_across_a_cut():
     assert not any("\n" in p or pd._STOP.search(p) for p in pd.PieceModel(MODEL).id)
 
