@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import uuid
@@ -124,6 +125,12 @@ def per_process(key: tuple, make):
     return kept[key]
 
 
+def forget_kept() -> None:
+    """Give up what this worker process keeps for other operators, before a task that needs the room itself."""
+    if sys.__dict__.pop("_llm_kept", None):
+        gc.collect()  # memos refer to the engines that hold them
+
+
 def word_hasher() -> Memo:
     return Memo(xxhash.xxh3_64_intdigest)
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import ascii_words, map_batches, remainder, stored, table, tag
+from marlstone.llm.common import ascii_words, forget_kept, map_batches, remainder, stored, table, tag
 from marlstone.llm.labels import fit_logistic, labelled_texts, share
 
 # Bytes of a run (the last one is predicted), and of the longest shared run.
@@ -120,6 +120,7 @@ def evidence(words: list[bytes], score_of: dict[bytes, float]) -> list[float]:
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, toxic, ordinary) over (text, label) rows; counted within tasks before the shuffle."""
     def count(batches):
+        forget_kept()
         counts = {0: Counter(), 1: Counter()}
 
         def flush():
@@ -390,6 +391,7 @@ def _with_measures(rows: DataFrame, make_scores, inputs: tuple[str, ...] = ("tex
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ", x array<double>"
 
     def make():
+        forget_kept()
         scores = make_scores()
 
         def work(batch):

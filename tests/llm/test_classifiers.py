@@ -4,8 +4,9 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marlstone.llm import language_id, quality_rank, toxicity
+from marlstone.llm import common, language_id, quality_rank, toxicity
 from marlstone.llm.common import remainder
 
 EDGE = [(9001, None), (9002, ""), (9003, "  \n"), (9004, "word"), (9005, "12 34 !"), (None, "no id here")]
@@ -294,3 +295,23 @@ def test_ftrl_learns_sparse_weights():
     weights, bias = language_id.fit(samples, 2)
     right = [np.argmax(x @ weights[at] + bias) == y for y, at, x in samples]
     assert np.mean(right) > 0.95 and not weights[1000:].any()
+
+
+def test_toxicity_tasks_give_up_what_other_operators_keep(spark, monkeypatch):
+    class Rows:
+        """Takes the function that tasks would run."""
+
+        columns, schema = ["doc_id", "text"], T.StructType().add("doc_id", "long")
+        select = groupBy = agg = lambda self, *_: self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            return self
+
+    for task in (lambda rows: toxicity.word_counts(rows), lambda rows: toxicity._with_measures(rows, lambda: None)):
+        kept = common.per_process(("word_bpe", "other operator"), list)
+        assert common.per_process(("word_bpe", "other operator"), list) is kept
+        rows = Rows()
+        task(rows)
+        assert list(rows.run(iter([]))) == []
+        assert common.per_process(("word_bpe", "other operator"), list) is not kept
