@@ -17,7 +17,7 @@ import heapq
 import re
 import zlib
 from array import array
-from operator import itemgetter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +25,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import Recent, map_batches, per_process, table
+from marlstone.llm.common import Recent, map_batches, per_process, table  # noqa: F401 (Recent: tests patch it here)
 
 SPACE_MARK = "▁"
 # Stands for a space mark that is itself part of the text; no valid text contains it.
 OWN_MARK = "\ud800"
 _RUNS = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}]*")
 _STOP = re.compile(r"(?<=[A-Za-z0-9])([.,])")
+# The same, one pattern each: a search for a fixed character and a fixed replacement are quicker than a class and a group.
+_STOPS = [(re.compile(rf"{c}(?<=[A-Za-z0-9]{c})"), "\0" + c[-1]) for c in (r"\.", ",")]
 # Chunks of up to so many characters are merged side by side; places in them take six bits.  Longer ones use a heap each.
 SHORT = 64
 # Chunks go together by length, up to so many characters, and at most so many at a time.
@@ -43,7 +45,7 @@ TEXT_BYTES = 1_000_000
 LOOKED_UP = 262_144
 DROPOUT = 0.1
 SEED = 17
-# Lists of candidates that are kept before older ones are dropped and made anew.
+# Chunks whose candidates are kept before all are dropped and made anew.
 KEPT_LISTS = 500_000
 _ALL = 2**64 - 1
 # Odd multipliers of the keyed hash.
@@ -131,18 +133,81 @@ class PairTable:
         return found
 
 
+class Runs:
+    """Runs of numbers in one array, each given by its start and its length."""
+
+    def __init__(self, n: int, kind):
+        self.parts, self.size = [np.empty(0, kind)], 0
+        self.starts, self.counts = np.zeros(n, np.int64), np.zeros(n, np.int64)
+
+    @property
+    def flat(self) -> np.ndarray:
+        if len(self.parts) > 1:
+            self.parts = [np.concatenate(self.parts)]
+        return self.parts[0]
+
+    def put(self, which, flat: np.ndarray, starts, counts) -> None:
+        """Runs of another array in place of some of these."""
+        self.starts[which], self.counts[which] = starts + self.size, counts
+        self.parts.append(flat)
+        self.size += len(flat)
+
+    def add(self, other: "Runs") -> None:
+        """The runs of the other one behind these."""
+        self.starts = np.concatenate((self.starts, other.starts + self.size))
+        self.counts = np.concatenate((self.counts, other.counts))
+        self.parts.append(other.flat)
+        self.size += other.size
+
+    def some(self, which: np.ndarray) -> "Runs":
+        picked = Runs(0, self.flat.dtype)
+        picked.parts, picked.size = [self.flat], self.size
+        picked.starts, picked.counts = self.starts[which], self.counts[which]
+        return picked
+
+    def joined(self) -> np.ndarray:
+        """All runs, one behind the other."""
+        ends = self.counts.cumsum()
+        at = np.repeat(self.starts - (ends - self.counts), self.counts)
+        at += np.arange(len(at))
+        return self.flat[at]
+
+
+class Numbers(dict):
+    """Chunks by number; ``new`` holds those not seen before."""
+
+    def __init__(self):
+        super().__init__()
+        self.given, self.new = 0, []
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        number = self[chunk] = self.given
+        self.given += 1
+        return number
+
+
 class MergeDropout:
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         self.model = PieceModel(path)
         self.pairs = PairTable(self.model)
         self.below = int(dropout * 2**64)
         self.seed = seed
-        # By chunk: candidates as 64-bit integers, and ids, both if none is skipped.
-        self.lists = Recent(KEPT_LISTS)
+        self._forget()
+
+    def _forget(self) -> None:
+        # By the number of a chunk: candidates as 64-bit integers, and ids, both if none is skipped.
+        self.numbers, self.candidates, self.ids = Numbers(), Runs(0, np.uint64), Runs(0, "<u2")
 
     @property
     def kept(self) -> int:
-        return len(self.lists) + len(self.lists.before)
+        return self.numbers.given
+
+    @property
+    def lists(self) -> dict[str, tuple[bytes, bytes]]:
+        """Candidates and ids by chunk, to look at."""
+        return {chunk: tuple(runs.some(np.array([k])).joined().tobytes() for runs in (self.candidates, self.ids))
+                for chunk, k in self.numbers.items()}
 
     def chunks(self, text: str) -> list[str]:
         """Space mark and what follows it; no piece has a space mark behind another character."""
@@ -153,10 +218,11 @@ class MergeDropout:
             return _RUNS.findall(text)
         # No piece holds a line end, or a stop behind a letter or digit, so nothing merges across.
         text = text.replace(SPACE_MARK, "\0" + SPACE_MARK).replace("\n", "\0\n\0")
-        return _STOP.sub("\0\\1", text).split("\0")[1:]
+        for stop, marked in _STOPS:
+            text = stop.sub(marked, text)
+        return text.split("\0")[1:]
 
-    def _ids(self, parts: list[str]) -> bytes:
-        """Little-endian 16-bit integers."""
+    def _ids(self, parts: list[str]) -> np.ndarray:
         ids = array("H")
         for part in parts:
             known = self.model.id.get(part)
@@ -164,11 +230,11 @@ class MergeDropout:
                 ids.append(known)
             else:
                 ids.extend(self.model.byte_id[b] for b in part.replace(OWN_MARK, SPACE_MARK).encode())
-        return ids.tobytes()
+        return np.array(ids, "<u2")
 
-    def _merged(self, chunks: list[str], keys: np.ndarray | None = None) -> tuple[list[bytes], list[bytes]]:
+    def _merged(self, chunks: list[str], keys: np.ndarray | None = None) -> tuple[Runs, Runs]:
         """Candidates and ids of short chunks, merged side by side; without keys nothing is skipped, with keys no candidates are listed."""
-        candidates, ids = [b""] * len(chunks), [b""] * len(chunks)
+        candidates, ids = Runs(len(chunks), np.uint64), Runs(len(chunks), "<u2")
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         low = 0
         for high in _WIDTHS:
@@ -176,13 +242,11 @@ class MergeDropout:
             low = high
             for k in range(0, len(which), ROWS):
                 some = which[k:k + ROWS]
-                listed = self._side_by_side([chunks[i] for i in some.tolist()], sizes[some], None if keys is None else keys[some], ids, some)
-                if keys is None:
-                    for i, codes in zip(some.tolist(), listed):
-                        candidates[i] = codes
+                listed, counts = self._side_by_side([chunks[i] for i in some.tolist()], sizes[some], None if keys is None else keys[some], ids, some)
+                candidates.put(some, listed, counts.cumsum() - counts, counts)
         return candidates, ids
 
-    def _side_by_side(self, chunks, sizes, keys, ids, which) -> list[bytes]:
+    def _side_by_side(self, chunks, sizes, keys, ids, which) -> tuple[np.ndarray, np.ndarray]:
         """One merge or skip of every chunk at a time.
 
         Arrays have a row per place and a column per chunk; the agenda holds rank and place of what may merge
@@ -241,28 +305,24 @@ class MergeDropout:
             merge[at], listed[at] = both[:len(at)], ranks[:len(at)]
             merge[start], listed[start] = both[len(at):], ranks[len(at):]
         if keys is not None or not found:
-            return [b""] * len(chunks)
+            return np.empty(0, np.uint64), np.zeros(len(chunks), np.int64)
         found, asked = np.concatenate(found), np.concatenate(asked)
-        flat = asked[found.argsort(kind="stable")].tobytes()
-        ends = (8 * np.bincount(found, minlength=len(chunks)).cumsum()).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+        return asked[found.argsort(kind="stable")], np.bincount(found, minlength=len(chunks))
 
     def _write(self, symbols, columns, chunks, sizes, ids, which) -> None:
         """Ids of finished chunks; characters that are no pieces are spelled in bytes."""
         symbols = symbols[:-2].T
         own = (symbols >= 0) & (np.arange(symbols.shape[1]) < sizes[columns, None])
         numbers = self.pairs.ids[symbols[own]]
-        flat = numbers.astype("<u2").tobytes()
         counts = own.sum(1)
         ends = counts.cumsum()
-        cuts = (2 * ends).tolist()
-        found = [flat[a:b] for a, b in zip([0, *cuts], cuts)]
-        for k in set(np.repeat(np.arange(len(columns)), counts)[numbers < 0].tolist()):
+        ids.put(which[columns], numbers.astype("<u2"), ends - counts, counts)
+        strange = np.flatnonzero(numbers < 0)
+        for k in np.unique(np.searchsorted(ends, strange, "right")).tolist():
             chunk = chunks[columns[k]]
             cuts = [*np.flatnonzero(own[k]).tolist(), len(chunk)]
-            found[k] = self._ids([chunk[a:b] for a, b in zip(cuts, cuts[1:])])
-        for i, one in zip(which[columns].tolist(), found):
-            ids[i] = one
+            one = self._ids([chunk[a:b] for a, b in zip(cuts, cuts[1:])])
+            ids.put(which[columns[k]], one, 0, len(one))
 
     def _heaped(self, chunk: str, skipped) -> list[str]:
         """Merges of a chunk of any length."""
@@ -295,40 +355,48 @@ class MergeDropout:
     def encode_all(self, texts: list[str | None], variants: list[int]) -> list[bytes]:
         """Ids of each text."""
         cut = [self.chunks(text or "") for text in texts]
-        chunks = [chunk for one in cut for chunk in one]
+        chunks = list(chain.from_iterable(cut))
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
         ends = counts.cumsum()
         bases = np.array([(self.seed * _BY_PLACE + v) * _SPREAD & _ALL for v in variants], np.uint64)
         numbers = np.arange(len(chunks)) - np.repeat(ends - counts, counts)
         keys = np.repeat(bases, counts) + numbers.astype(np.uint64) * np.uint64(_BY_CHUNK)
-        out: list[bytes] = []
+        flat, sizes = [], [np.zeros(1, np.int64)]
         for k in range(0, len(chunks), LOOKED_UP):
-            out += self._chunk_ids(chunks[k:k + LOOKED_UP], keys[k:k + LOOKED_UP])
-        return [b"".join(out[end - n:end]) for end, n in zip(ends.tolist(), counts.tolist())]
-
-    def _chunk_ids(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
-        unseen = self.lists.unseen(set(chunks))
-        short, long = [c for c in unseen if len(c) <= SHORT], [c for c in unseen if len(c) > SHORT]
-        self.lists.update(zip(short, zip(*self._merged(short))))
-        # Long chunks are listed for this call only.
-        self.lists.update(dict.fromkeys(long, (b"", None)))
-        known = list(map(self.lists.__getitem__, chunks))
-        codes, out = list(map(itemgetter(0), known)), list(map(itemgetter(1), known))
+            found = self._chunk_ids(chunks[k:k + LOOKED_UP], keys[k:k + LOOKED_UP])
+            flat.append(found.joined().tobytes())
+            sizes.append(found.counts)
+        flat = b"".join(flat)
+        cuts = (2 * np.concatenate(sizes).cumsum()[ends]).tolist()
+        return [flat[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _chunk_ids(self, chunks: list[str], keys: np.ndarray) -> Runs:
+        if self.numbers.given > KEPT_LISTS:
+            self._forget()
+        which = np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks))
+        new, self.numbers.new = self.numbers.new, []
+        long = [chunk for chunk in new if len(chunk) > SHORT]
+        if new:
+            candidates, ids = self._merged([chunk if len(chunk) <= SHORT else "" for chunk in new])
+            self.candidates.add(candidates)
+            self.ids.add(ids)
+        out = self.ids.some(which)
         for chunk in long:
-            del self.lists[chunk]
-        for i in [i for i, one in enumerate(out) if one is None] if long else ():
+            del self.numbers[chunk]  # they are merged anew every time
+        for i in [i for i, chunk in enumerate(chunks) if len(chunk) > SHORT] if long else ():
             key = int(keys[i])
-            out[i] = self._ids(self._heaped(
+            one = self._ids(self._heaped(
                 chunks[i], lambda place, joined, key=key: skip_hash(key, place, len(joined)) < self.below))
+            out.put(i, one, 0, len(one))
         if self.below:
-            sizes = np.fromiter(map(len, codes), np.int64, len(codes)) >> 3
-            asked = np.repeat(keys, sizes) ^ np.frombuffer(b"".join(codes), np.uint64)
+            asked = self.candidates.some(which)
+            sizes, asked = asked.counts, asked.joined()
+            asked ^= np.repeat(keys, sizes)
             skips = np.flatnonzero(_spread(asked) <= np.uint64(self.below - 1))
             # Chunks with a skip are merged anew, each occurrence with its own answers.
             again = np.unique(np.searchsorted(sizes.cumsum(), skips, "right"))
-            places = again.tolist()
-            for i, one in zip(places, self._merged([chunks[i] for i in places], keys[again])[1]):
-                out[i] = one
+            anew = self._merged([chunks[i] for i in again.tolist()], keys[again])[1]
+            out.put(again, anew.flat, anew.starts, anew.counts)
         return out
 
 

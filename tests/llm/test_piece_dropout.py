@@ -154,3 +154,27 @@ def test_merges_of_two_symbols(prose):
     cuts = [(a, b) for a, b in cuts if a in model.id and b in model.id]
     left, right = (np.array([number[model.id[c[k]]] for c in cuts], np.int32) for k in (0, 1))
     assert pairs.ids[pairs(left, right)].tolist() == [model.id.get(a + b, -1) if a + b in model.score else -1 for a, b in cuts]
+
+
+def test_known_chunks_take_no_step_of_python_each(prose):
+    texts = [prose(k, 300) + " \u4e2d\u6587\U0001f600 a.b,c" for k in range(6)] + [None, "", "x" * 200]
+    engine = pd.MergeDropout(MODEL)
+    expected = [pd.MergeDropout(MODEL).encode(t, v) for v, t in enumerate(texts)]
+    assert engine.encode_all(texts, list(range(len(texts)))) == expected
+    # Numbers of chunks lead to runs in two flat arrays; nothing is kept as an object per chunk but its number.
+    known = engine.kept
+    assert len(engine.candidates.counts) == len(engine.ids.counts) == known and set(map(type, engine.numbers.values())) == {int}
+    assert engine.encode_all(texts, list(range(len(texts)))) == expected and engine.kept == known + 1
+    assert engine.encode_all([], []) == [] and engine.encode_all([None, ""], [1, 2]) == [b"", b""]
+
+
+def test_runs_are_replaced_and_joined():
+    runs = pd.Runs(3, np.int64)
+    runs.put(np.array([2, 0]), np.array([7, 8, 9]), np.array([0, 1]), np.array([1, 2]))
+    assert runs.joined().tolist() == [8, 9, 7]
+    other = pd.Runs(1, np.int64)
+    other.put(0, np.array([5, 6]), 0, 2)
+    runs.add(other)
+    some = runs.some(np.array([3, 0, 3]))
+    some.put(1, np.array([1]), 0, 1)
+    assert some.joined().tolist() == [5, 6, 1, 5, 6] and runs.joined().tolist() == [8, 9, 7, 5, 6]
