@@ -442,7 +442,8 @@ def components_of(links: DataFrame, label: str = "components") -> DataFrame:
     links = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(),
                    label)
     tasks = links.count() // EDGES_PER_TASK + 1
-    edges = stored(local_stars(links.repartition(tasks, "u")), label)
+    # Coalesced, one task is one task; a number given with a key may be raised.
+    edges = stored(local_stars(links.repartition(tasks, "u") if tasks > 1 else links.coalesce(1)), label)
     if tasks == 1:  # one task has seen all links: its stars are the components
         return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
@@ -503,7 +504,7 @@ def near_duplicates(
     named = nodes.select("node", F.col("first.doc_id").alias("low")).join(components, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    of_node = named.join(lowest, "component").select("node", "component_id")
+    of_node = _spread_join(named, lowest, "component").select("node", "component_id")
     return (
         rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
         .join(of_node, "node", "left")

@@ -150,3 +150,14 @@ def test_components_of_a_long_chain(spark):
         "a binary, b binary")
     got = nd.components_of(links).collect()
     assert len(got) == n and {bytes(r.component) for r in got} == {b"\0\0"}
+
+
+def test_components_are_whole_when_keyed_partitions_are_raised(spark, monkeypatch):
+    repartition = DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, n, *cols: repartition(
+        self, max(n, 7) if cols and isinstance(n, int) else n, *cols))
+    ids = [bytes([k]) for k in range(60)]
+    chain = [(a, b) for a, b in zip(ids, ids[1:]) if a[0] % 20 != 19]
+    random.Random(3).shuffle(chain)
+    found = nd.components_of(spark.createDataFrame(chain, "a binary, b binary")).collect()
+    assert sorted((r.node[0], r.component[0]) for r in found) == [(k, k - k % 20) for k in range(60) if k % 20]
