@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import sys
@@ -129,6 +130,15 @@ def forget_kept() -> None:
     """Give up what this worker process keeps for other operators, before a task that needs the room itself."""
     if sys.__dict__.pop("_llm_kept", None):
         gc.collect()  # memos refer to the engines that hold them
+    release()
+
+
+def release() -> None:
+    """Hand freed memory back to the system: workers outlive their tasks, and idle ones count against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
+    if trim:
+        trim(0)
 
 
 def word_hasher() -> Memo:
@@ -150,17 +160,25 @@ def logistic(x):
 
 
 def map_batches(df: DataFrame, schema: str | T.StructType, make) -> DataFrame:
-    """``mapInArrow`` with ``make() -> (batch -> dict of columns)``; ``make`` runs once per task."""
+    """``mapInArrow`` with ``make() -> (batch -> dict of columns)``; ``make`` runs once per task.
+
+    If what it returns has an attribute ``end``, that is called when the task ends.
+    """
     target = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(target)
 
     def run(batches):
         work = make()
-        for batch in batches:
-            if batch.num_rows:
-                columns = work(batch)
-                yield pa.RecordBatch.from_arrays(
-                    [columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type)
-                     for f in arrow], schema=arrow)
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    columns = work(batch)
+                    yield pa.RecordBatch.from_arrays(
+                        [columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type)
+                         for f in arrow], schema=arrow)
+        finally:
+            getattr(work, "end", lambda: None)()
+            batch = columns = work = None
+            release()
 
     return df.mapInArrow(run, target)

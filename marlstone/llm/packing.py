@@ -90,6 +90,8 @@ def tokenized_pieces(
                         seen[length] += 1
             return out | {"part": [part] * len(out["piece"])}
 
+        # Idle workers would hold the words while later stages need the room.
+        work.end = encoder.forget
         return work
 
     kind = docs.schema[ident].dataType.simpleString()

@@ -75,6 +75,12 @@ class ChunkEncoder:
         self.mark_id, mark = next(iter(self.tokenizer.get_added_tokens_decoder().items()))
         self.mark = mark.content
 
+    def forget(self) -> None:
+        """Drop the ids of words and chunks; the tokenizer stays."""
+        for memo in (self.memo, self.word_ids):
+            memo.clear()
+            memo.before = {}
+
     def chunks(self, text: str | None) -> list:
         raise NotImplementedError
 

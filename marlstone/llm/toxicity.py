@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import ascii_words, forget_kept, map_batches, remainder, stored, table, tag
+from marlstone.llm.common import ascii_words, forget_kept, map_batches, release, remainder, stored, table, tag
 from marlstone.llm.labels import fit_logistic, labelled_texts, share
 
 # Bytes of a run (the last one is predicted), and of the longest shared run.
@@ -141,6 +141,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 if len(counts[0]) + len(counts[1]) > 300_000:
                     yield from flush()
         yield from flush()
+        batch = texts_ = None
+        release()
 
     rows = texts.select("text", "label").mapInArrow(count, "word binary, toxic long, ordinary long")
     return rows.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))

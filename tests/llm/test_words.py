@@ -5,10 +5,12 @@ import random
 import re
 
 import public_tokenizers
+import pyarrow as pa
+import pytest
 import regex
 
-from marlstone.llm.common import Recent, plain_pattern
-from marlstone.llm.tokens import BYTE_LEVEL_WORDS
+from marlstone.llm.common import Recent, map_batches, plain_pattern
+from marlstone.llm.tokens import BYTE_LEVEL_WORDS, WordBpe
 
 
 def test_plain_patterns_cut_as_the_library_does():
@@ -35,3 +37,48 @@ def test_frequent_keys_stay():
             made.append(key)
         assert memo["often"] == "often" and memo[k] == k and len(memo) + len(memo.before) <= 24
     assert made.count("often") == 1 and len(made) == 401
+
+
+def test_packing_tasks_leave_no_words_behind(spark, documents, prose):
+    from marlstone.llm.packing import tokenized_pieces
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = documents([(k, prose(k, 50)) for k in range(20)])
+
+    def look(batches):
+        import sys
+
+        for _ in batches:
+            pass
+        for encoder in sys.__dict__.get("_llm_kept", {}).values():
+            left = sum(len(x) + len(x.before) for x in (encoder.memo, encoder.word_ids)) if hasattr(encoder, "word_ids") else 0
+            yield pa.RecordBatch.from_pydict({"n": pa.array([left], pa.int64())})
+
+    assert tokenized_pieces(rows, path).count() >= 20
+    left = [r.n for r in spark.range(0, 64, 1, 16).mapInArrow(look, "n long").collect()]
+    assert left and not any(left)
+    engine = WordBpe(path, 1)
+    first = engine.encode(["some words", "and中 others"])
+    assert engine.word_ids
+    engine.forget()
+    assert not (engine.word_ids or engine.word_ids.before or engine.memo or engine.memo.before)
+    assert engine.encode(["some words", "and中 others"]) == first
+
+
+def test_a_task_says_when_it_ends(spark):
+    def make():
+        rows = []
+
+        def work(batch):
+            rows.append(batch.num_rows)
+            return {"n": batch.column(0)}
+
+        def end():
+            assert sum(rows) == 5
+            raise ValueError("end was called")
+
+        work.end = end
+        return work
+
+    with pytest.raises(Exception, match="end was called"):
+        map_batches(spark.range(0, 5, 1, 1), "n long", make).collect()
