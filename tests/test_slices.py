@@ -90,3 +90,24 @@ def test_copies_collapse_in_slices_and_commit_as_one_batch(spark, tmp_path, monk
     silver = store.read("silver", "slv_order_items")
     assert silver.count() == 41 and {(r.order_id, r.unit_price) for r in silver.collect()} == {
         *((f"o{i}", 2.0) for i in range(40)), ("new", 1.0)}
+
+
+@pytest.mark.parametrize("track", [None, ["v"]])
+def test_a_history_in_slices_equals_one_in_a_piece(spark, tmp_path, monkeypatch, track):
+    in_slices(monkeypatch, 3, "streaming.history")
+    store = TableStore(spark, str(tmp_path))
+    store.open_stream_version("silver", "log")
+    day = datetime(2024, 1, 1)
+    log = spark.createDataFrame(
+        [(None if i % 13 == 0 else i % 30, None if i % 17 == 0 else day + timedelta(i * 7 % 50), i % 3) for i in range(300)],
+        "k int, at timestamp, v int")
+    store.store_schema("silver", "log", log.schema)
+    buckets_read = []
+    read_parts = TableStore.read_parts
+    monkeypatch.setattr(TableStore, "read_parts", lambda self, layer, table, kind, schema, some=None: (
+        buckets_read.append(len(some)) if some else None, read_parts(self, layer, table, kind, schema, some))[1])
+    for n in range(2):
+        store.append(log.where(F.pmod(F.xxhash64("k", "at", "v"), F.lit(2)) == n), "silver", "log", n)
+        refresh_history(store, ("silver", "log"), ("gold", "history"), ["k"], "at", track, buckets=8)
+    assert len(buckets_read) == 6 and max(buckets_read) <= 3
+    assert same(store.read("gold", "history"), scd2_versions(log, ["k"], "at", track))
