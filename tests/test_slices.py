@@ -44,6 +44,33 @@ def test_slices_are_disjoint_and_whole_with_null_keys(spark):
     assert [slices.slices_for(n) for n in (0, slices.SLICE_BYTES, slices.SLICE_BYTES + 1)] == [1, 1, 2]
 
 
+def test_shuffle_files_leave_with_their_execution(spark, tmp_path):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def held():
+        return {f for at in folders for f in glob.glob(f"{at}/*/shuffle_*.data")}
+
+    before = held()
+    with freeing_shuffles(spark):
+        assert spark.conf.get(CLEANUP) == "true"
+        rows = spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 10).alias("k")).count()
+        rows.write.parquet(str(tmp_path / "rows"))
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not held() - before and spark.conf.get(CLEANUP) == "false"
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 10
+
+
+def test_a_run_frees_its_shuffles(spark, tmp_path, monkeypatch):
+    store, seen = TableStore(spark, str(tmp_path)), []
+    store.publish(spark.range(2), "gold", "dim_customer_quarantine")
+    for step in ("refresh_bronze", "refresh_silver", "refresh_gold"):
+        monkeypatch.setattr(refresh, step, lambda *_: seen.append(spark.conf.get(CLEANUP)))
+    refresh.run_medallion(spark, "nowhere", str(tmp_path))
+    assert seen == ["true"] * (2 * len(ENTITIES) + 1) and spark.conf.get(CLEANUP) == "false"
+
+
 def test_slices_of_a_view_become_visible_together(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.publish(spark.range(3), "gold", "v")
@@ -68,6 +95,38 @@ def test_stored_tables_are_packed(spark, tmp_path):
     assert len(data) >= 5 and all(f.endswith(".zstd.parquet") for f in data)
 
 
+def test_packed_landing_files_give_the_same_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "PACKED_ROWS", 10)
+    rows = spark.range(0, 45, 1, 1).selectExpr(
+        "if(id % 9 = 0, null, concat('s', id)) as seller_id", "concat(' \"n\", ', id) as seller_name",
+        "if(id % 5 = 0, '', ' c ') as seller_city", "'x' as seller_state")
+    reviews = spark.range(0, 25, 1, 1).selectExpr(
+        "cast(id as string) as review_id", "'o' as order_id", "id % 5 as score", "if(id % 2 = 0, null, 'c') as comment",
+        "'2024-01-02' as review_date", "if(id % 3 = 0, null, named_struct('verified', true, 'helpful_votes', id)) as meta")
+    found = {}
+    for compression in ("none", "gzip"):
+        root, store = str(tmp_path / compression), TableStore(spark, str(tmp_path / f"{compression}-tables"))
+        for entity, df in (("sellers", rows), ("reviews", reviews)):
+            queries._land(None, entity, root, df, compression)
+            refresh_bronze(store, entity, root)
+            table = store.read("bronze", ENTITIES[entity].bronze)
+            found[compression, entity] = table.select(*ENTITIES[entity].schema.names, "_rescued_data")
+    names = os.listdir(tmp_path / "gzip/sellers")
+    assert sum(n.endswith(".csv.gz") for n in names) == 5 and not any(n.endswith(".csv") for n in names)
+    assert found["gzip", "sellers"].count() == 45 and found["gzip", "reviews"].count() == 25
+    assert all(same(found["none", e], found["gzip", e]) for e in ("sellers", "reviews"))
+
+
+def test_a_run_over_the_test_tables_lands_packed_files(spark, tmp_path, monkeypatch):
+    landed = []
+    monkeypatch.setattr(Shop, "raw", lambda self, entity: spark.createDataFrame([], ENTITIES[entity].schema))
+    monkeypatch.setattr(refresh, "run_medallion", lambda spark, landing, tables: landed.append(landing))
+    monkeypatch.setattr(queries, "_RUNS", {})
+    queries._medallion(Shop(spark, str(tmp_path)))
+    files = [f for f in glob.glob(f"{landed[0]}/*/*") if not f.endswith("_SUCCESS")]
+    assert len(files) == len(ENTITIES) and all(f.endswith(".gz") for f in files)
+
+
 def test_copies_collapse_in_slices_and_commit_as_one_batch(spark, tmp_path, monkeypatch):
     in_slices(monkeypatch, 3, "streaming.silver")
     landing, store = str(tmp_path / "landing"), TableStore(spark, str(tmp_path / "tables"))
