@@ -170,3 +170,46 @@ def test_a_history_in_slices_equals_one_in_a_piece(spark, tmp_path, monkeypatch,
         refresh_history(store, ("silver", "log"), ("gold", "history"), ["k"], "at", track, buckets=8)
     assert len(buckets_read) == 6 and max(buckets_read) <= 3
     assert same(store.read("gold", "history"), scd2_versions(log, ["k"], "at", track))
+
+
+FILES = {
+    "customers": "customer_id,customer_name,email,city,state,signup_date\n" + "".join(
+        f"c{i % 9},Ann,a@x.example,t,tx,2024-01-{1 + i % 20:02d}\n" for i in range(60)) + ",No,,x,y,2024-01-03\n",
+    "products": "product_id,product_category,product_name,base_price,weight_grams\n" + "".join(
+        f"p{i},Toys,Top,{10 - i},5\n" for i in range(12)),
+    "sellers": "seller_id,seller_name,seller_city,seller_state\ns1,S,c,tx\ns1,S,c,tx\n",
+    "orders": "order_id,customer_id,order_status,order_date,order_total\n" + "".join(
+        f"o{i % 25},c{i % 11},Paid,2024-01-{1 + i % 20:02d},30\n" for i in range(30)) + "o99,c1,paid,soon,1\n",
+    "order_items": "order_id,item_seq,product_id,seller_id,quantity,unit_price\n" + "".join(
+        f"o{i % 27},{i % 4},p{i % 14},s{i % 2},{i % 5},{i}\n" for i in range(150)) + ",1,p1,s1,1,1\no99,,p1,s1,1,1\no99,2,p1,s1,1,3\n",
+}
+
+
+def test_a_run_in_slices_gives_the_same_tables(spark, tmp_path, monkeypatch):
+    landing = str(tmp_path / "landing")
+    for entity, text in FILES.items():
+        os.makedirs(f"{landing}/{entity}")
+        (tmp_path / "landing" / entity / "a.csv").write_text(text)
+    for entity, row in (("payments", {"order_id": "o1", "payment_type": "boleto", "installments": [
+            {"installment_no": 1, "amount": 1.0, "paid": True}]}), ("reviews", {"review_id": "r1", "order_id": "o1", "score": 4})):
+        os.makedirs(f"{landing}/{entity}")
+        (tmp_path / "landing" / entity / "a.json").write_text(json.dumps(row))
+    refresh.run_medallion(spark, landing, str(tmp_path / "whole"))
+    in_slices(monkeypatch, 3, *(f"streaming.{m}" for m in ("silver", "history", "balance", "refresh")), "workload.queries")
+    monkeypatch.setattr(refresh, "LARGE_SILVER", 0)
+    counts = refresh.run_medallion(spark, landing, str(tmp_path / "cut"))
+    whole, cut = (TableStore(spark, str(tmp_path / name)) for name in ("whole", "cut"))
+    assert counts["order_items"]["valid_order_ref"] == 1
+    tables = sorted(os.listdir(tmp_path / "whole/gold"))
+    assert "fct_sales" in tables and "run_balance" in tables and tables == sorted(os.listdir(tmp_path / "cut/gold"))
+    for table in tables:
+        assert same(whole.read("gold", table), cut.read("gold", table)), table
+    assert cut.read("gold", "run_balance").where("not adds_up").isEmpty() and cut.read("gold", "fct_sales").count() > 50
+    # The balance is counted piece by piece: what is left is no job over the tables.
+    assert "FileScan" not in balance(cut)._jdf.queryExecution().toString()
+    # The query that names the keys of a large fact writes it slice by slice.
+    monkeypatch.setattr(queries, "_medallion", lambda shop: cut)
+    shop = Shop(spark, str(tmp_path))
+    named = queries.medallion_fct_sales(shop)
+    assert same(named, queries._named_fact(whole, whole.read("gold", "fct_sales")))
+    assert named.count() == whole.read("gold", "fct_sales").count() and "medallion_fct_sales" in shop._written
